@@ -17,6 +17,19 @@ from harborline.sources.schemas import VESSEL_TYPES
 PRIORITIES = ("1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW")
 PAGE_RECORDS = 400
 
+# Stated, so that opening a table costs no job to find its columns out.
+COLUMNS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+    "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, event_type string, value double, props string",
+}
+
 
 class Tables:
     """The driver's tables and the views over them; nothing runs until a result is asked for."""
@@ -26,57 +39,48 @@ class Tables:
         self.folder = folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(COLUMNS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     # ---- country reference and traffic ---------------------------------------
 
     def country_records(self) -> DataFrame:
-        n, r = self.table("nation"), self.table("region")
-        key = F.col("n_nationkey")
-        region = F.when(F.col("r_name") == "MIDDLE EAST", "Aggregates").when(key != 20, F.col("r_name"))
-        coordinate = F.when(key % 5 == 0, "").when(key % 7 == 0, "n/a").otherwise(key.cast("string"))
-        return n.join(r, n.n_regionkey == r.r_regionkey).select(
-            F.col("n_name").alias("id"),
-            F.substring("n_name", 1, 2).alias("iso2Code"),
-            F.col("n_name").alias("name"),
-            F.struct(F.col("r_regionkey").cast("string").alias("id"), region.alias("value")).alias("region"),
-            F.col("n_name").alias("capitalCity"),
-            coordinate.alias("longitude"),
-            coordinate.alias("latitude"),
-            key.alias("nationkey"),
+        regions = self.table("region").withColumnRenamed("r_regionkey", "n_regionkey")
+        return self.table("nation").join(regions, "n_regionkey").selectExpr(
+            "n_name AS id",
+            "substring(n_name, 1, 2) AS iso2Code",
+            "n_name AS name",
+            """named_struct('id', CAST(n_regionkey AS STRING), 'value', CASE
+                 WHEN r_name = 'MIDDLE EAST' THEN 'Aggregates' WHEN n_nationkey <> 20 THEN r_name END) AS region""",
+            "n_name AS capitalCity",
+            """CASE WHEN n_nationkey % 5 = 0 THEN '' WHEN n_nationkey % 7 = 0 THEN 'n/a'
+                 ELSE CAST(n_nationkey AS STRING) END AS longitude""",
+            "CAST(n_nationkey AS STRING) AS latitude",
+            "n_nationkey AS nationkey",
         )
 
     def traffic_records(self) -> DataFrame:
-        orders = self.table("orders").select(
-            "o_custkey", F.year("o_orderdate").alias("year"), F.col("o_totalprice").cast("decimal(18,2)").alias("price")
-        )
-        customers = self.table("customer").select("c_custkey", "c_nationkey")
-        sums = (
-            orders.join(customers, orders.o_custkey == customers.c_custkey)
-            .groupBy("c_nationkey", "year").agg(F.sum("price").cast("double").alias("total"))
+        orders = self.table("orders").selectExpr(
+            "o_custkey AS c_custkey", "year(o_orderdate) AS year", "CAST(o_totalprice AS DECIMAL(18,2)) AS price"
         )
+        customers = self.table("customer").selectExpr("c_custkey", "c_nationkey AS n_nationkey")
+        sums = orders.join(customers, "c_custkey").groupBy("n_nationkey", "year").agg(F.sum("price").alias("total"))
         nations = self.table("nation").select("n_nationkey", "n_name")
-        key = F.col("n_nationkey")
-        return sums.join(nations, key == F.col("c_nationkey")).select(
-            F.struct(key.alias("id"), F.col("n_name").alias("value")).alias("country"),
-            F.col("n_name").alias("countryiso3code"),
-            F.col("year").cast("string").alias("date"),
-            F.when((key + F.col("year")) % 11 != 0, F.col("total")).alias("value"),
+        return sums.join(nations, "n_nationkey").selectExpr(
+            "named_struct('id', n_nationkey, 'value', n_name) AS country",
+            "n_name AS countryiso3code",
+            "CAST(year AS STRING) AS date",
+            "CASE WHEN (n_nationkey + year) % 11 <> 0 THEN CAST(total AS DOUBLE) END AS value",
         )
 
     # ---- ports, calls, connections --------------------------------------------
 
     def port_records(self) -> DataFrame:
-        s, n, r = self.table("supplier"), self.table("nation"), self.table("region")
-        return (
-            s.join(n, s.s_nationkey == n.n_nationkey).join(r, n.n_regionkey == r.r_regionkey)
-            .select(
-                F.col("s_suppkey").alias("portid"), F.col("s_name").alias("portname"),
-                F.col("n_name").alias("country"), F.col("n_name").alias("ISO3"), F.col("r_name").alias("continent"),
-                F.col("s_acctbal").alias("lat"), F.col("s_acctbal").alias("lon"),
-                F.concat(F.lit("L"), F.col("s_suppkey").cast("string")).alias("LOCODE"),
-                F.floor("s_acctbal").cast("double").alias("vessel_count_total"),
-            )
+        nations = self.table("nation").withColumnRenamed("n_nationkey", "s_nationkey")
+        regions = self.table("region").withColumnRenamed("r_regionkey", "n_regionkey")
+        return self.table("supplier").join(nations, "s_nationkey").join(regions, "n_regionkey").selectExpr(
+            "s_suppkey AS portid", "s_name AS portname", "n_name AS country", "n_name AS ISO3", "r_name AS continent",
+            "s_acctbal AS lat", "s_acctbal AS lon", "concat('L', s_suppkey) AS LOCODE",
+            "CAST(floor(s_acctbal) AS DOUBLE) AS vessel_count_total",
         )
 
     def ports(self) -> DataFrame:
@@ -85,17 +89,15 @@ class Tables:
         )
 
     def daily_calls(self) -> DataFrame:
-        lines = self.table("lineitem").select(
-            "l_orderkey", F.col("l_suppkey").alias("portid"),
-            F.year("l_shipdate").alias("year"), F.month("l_shipdate").alias("month"),
+        lines = self.table("lineitem").selectExpr(
+            "l_orderkey AS o_orderkey", "l_suppkey AS portid", "year(l_shipdate) AS year", "month(l_shipdate) AS month"
         )
         orders = self.table("orders").select("o_orderkey", "o_orderpriority")
         flags = [
-            F.when(F.col("o_orderpriority") == p, 1).otherwise(0).alias(f"portcalls_{t}")
+            f"CASE WHEN o_orderpriority = '{p}' THEN 1 ELSE 0 END AS portcalls_{t}"
             for t, p in zip(VESSEL_TYPES, PRIORITIES)
         ]
-        joined = lines.join(orders, lines.l_orderkey == orders.o_orderkey)
-        return joined.select("portid", "year", "month", *flags, F.lit(1).alias("portcalls"))
+        return lines.join(orders, "o_orderkey").selectExpr("portid", "year", "month", *flags, "1 AS portcalls")
 
     def calls_monthly(self) -> DataFrame:
         return roll_up_months(self.daily_calls())
@@ -110,39 +112,30 @@ class Tables:
         Lines are reduced to (supplier, customer nation) before the supplier join, so a
         supplier with very many lines is a handful of rows by then.
         """
-        orders = self.table("orders").select("o_orderkey", "o_custkey")
-        customers = self.table("customer").select("c_custkey", "c_nationkey")
-        buyers = orders.join(customers, orders.o_custkey == customers.c_custkey).select("o_orderkey", "c_nationkey")
-        lines = self.table("lineitem").select("l_orderkey", "l_suppkey", "l_linenumber", "l_quantity")
-        quantity = F.sum(F.col("l_quantity").cast("decimal(18,2)"))
-        per_supplier = (
-            lines.join(buyers, lines.l_orderkey == buyers.o_orderkey)
-            .groupBy("l_suppkey", "c_nationkey")
-            .agg(F.min("l_linenumber").alias("days"), quantity.alias("quantity"))
+        orders = self.table("orders").selectExpr("o_orderkey", "o_custkey AS c_custkey")
+        buyers = orders.join(self.table("customer").select("c_custkey", "c_nationkey"), "c_custkey")
+        lines = self.table("lineitem").selectExpr(
+            "l_orderkey AS o_orderkey", "l_suppkey AS s_suppkey", "l_linenumber", "CAST(l_quantity AS DECIMAL(18,2)) AS quantity"
         )
+        per_supplier = lines.join(buyers.select("o_orderkey", "c_nationkey"), "o_orderkey").groupBy(
+            "s_suppkey", "c_nationkey"
+        ).agg(F.min("l_linenumber").alias("days"), F.sum("quantity").alias("quantity"))
         suppliers = self.table("supplier").select("s_suppkey", "s_nationkey")
-        pairs = (
-            per_supplier.join(suppliers, per_supplier.l_suppkey == suppliers.s_suppkey)
-            .groupBy("s_nationkey", "c_nationkey")
-            .agg(F.min("days").alias("days"), F.sum("quantity").alias("quantity"))
+        pairs = per_supplier.join(suppliers, "s_suppkey").groupBy("s_nationkey", "c_nationkey").agg(
+            F.min("days").alias("days"), F.sum("quantity").alias("quantity")
         )
-        nations = self.table("nation")
-        start, end = nations.alias("f"), nations.alias("t")
-        source, target = F.col("s_nationkey"), F.col("c_nationkey")
-        capacity = F.when((source * 25 + target) % 50 != 7, F.col("quantity").cast("bigint"))
-        return (
-            pairs.join(start, source == F.col("f.n_nationkey")).join(end, target == F.col("t.n_nationkey"))
-            .select(
-                source.alias("from_portid"), F.col("f.n_name").alias("from_portname"),
-                F.col("f.n_name").alias("from_country"),
-                F.when(source != 24, F.col("f.n_regionkey").cast("string")).alias("from_iso3"),
-                target.alias("to_portid"), F.col("t.n_name").alias("to_portname"),
-                F.col("t.n_name").alias("to_country"), F.col("t.n_regionkey").cast("string").alias("to_iso3"),
-                (F.col("days") - 1).cast("double").alias("average_transit_days"),
-                capacity.alias("daily_capacity_at_risk"),
-                F.try_divide(capacity.cast("double"), F.lit(100.0)).alias("relative_capacity_at_risk"),
-            )
+        near = self.table("nation").toDF("s_nationkey", "from_name", "from_region")
+        far = self.table("nation").toDF("c_nationkey", "to_name", "to_region")
+        named = pairs.join(near, "s_nationkey").join(far, "c_nationkey").selectExpr(
+            "s_nationkey AS from_portid", "from_name AS from_portname", "from_name AS from_country",
+            "CASE WHEN s_nationkey <> 24 THEN CAST(from_region AS STRING) END AS from_iso3",
+            "c_nationkey AS to_portid", "to_name AS to_portname", "to_name AS to_country",
+            "CAST(to_region AS STRING) AS to_iso3",
+            "CAST(days - 1 AS DOUBLE) AS average_transit_days",
+            """CASE WHEN (s_nationkey * 25 + c_nationkey) % 50 <> 7 THEN CAST(quantity AS BIGINT) END
+                 AS daily_capacity_at_risk""",
         )
+        return named.selectExpr("*", "daily_capacity_at_risk / 100.0D AS relative_capacity_at_risk")
 
     def stored_connections(self) -> DataFrame:
         return stage(self.connections(), "connections")
