@@ -292,9 +292,7 @@ def _body_quarantine(t: Tables) -> DataFrame:
 
 
 def _body_features(t: Tables) -> DataFrame:
-    bodies = _event_bodies(t)
-    good = bodies.join(landed.quarantine_features(bodies), "source", "left_anti")
-    return landed.read_feature_pages(good, "k bigint")
+    return landed.read_feature_pages(landed.readable_features(_event_bodies(t)), "k bigint")
 
 
 def _lenient_numbers(t: Tables) -> DataFrame:

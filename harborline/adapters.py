@@ -147,7 +147,9 @@ class Tables:
 def indicator_bodies(records: DataFrame, page: Column) -> DataFrame:
     """Records as ``[meta, records]`` bodies; ``page`` must put a bounded number on each."""
     columns = [F.col(c) for c in records.columns]
-    pages = records.groupBy(page.cast("int").alias("page")).agg(F.collect_list(F.struct(*columns)).alias("records"))
+    pages = stage(
+        records.groupBy(page.cast("int").alias("page")).agg(F.collect_list(F.struct(*columns)).alias("records")), "pages"
+    )
     meta = F.to_json(F.struct("page", F.col("last").alias("pages")))
     last = pages.agg(F.max("page")).scalar()
     body = F.concat(F.lit("["), meta, F.lit(","), F.to_json("records"), F.lit("]"))
@@ -160,8 +162,9 @@ def feature_bodies(records: DataFrame, page: Column, part: Column | None = None)
     """Records as feature bodies; ``part`` splits a page that would not be of bounded size."""
     part = F.lit(0) if part is None else part
     feature = F.struct(F.struct(*[F.col(c) for c in records.columns]).alias("attributes"))
-    pages = records.groupBy(page.cast("int").alias("page"), part.alias("part")).agg(
-        F.collect_list(feature).alias("features")
+    pages = stage(
+        records.groupBy(page.cast("int").alias("page"), part.alias("part")).agg(F.collect_list(feature).alias("features")),
+        "pages",
     )
     last = pages.agg(F.max("page")).scalar()
     body = F.to_json(F.struct("features", (F.col("page") < F.col("last")).alias("exceededTransferLimit")))

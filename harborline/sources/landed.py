@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from harborline.functions.columns import nan_to_null
+from harborline.session import stage
 
 STRICT = {"mode": "FAILFAST"}
 BLOCK = 10_000
@@ -71,6 +72,12 @@ def read_feature_pages(bodies: DataFrame, attributes: str, positions: bool = Fal
     return nan_to_null(rows.select(*kept, "feature.attributes.*"))
 
 
+def readable_features(bodies: DataFrame) -> DataFrame:
+    """The bodies that are feature pages; the others are in ``quarantine_features``."""
+    parts = _feature_parts(bodies, "exceededTransferLimit boolean")
+    return parts.where("problem IS NULL").select("source", "page", "body")
+
+
 def quarantine_indicator(bodies: DataFrame) -> DataFrame:
     """Bodies that are not a page, with the reason."""
     return _indicator_parts(bodies).where("problem IS NOT NULL").select("source", "problem", "body")
@@ -118,7 +125,8 @@ def audit_indicator_pages(bodies: DataFrame) -> DataFrame:
     issue = F.when(F.col("bodies") > 1, "repeated").when(
         (F.col("records") == 0) & (F.col("page") < F.col("pages")), "empty before the last page"
     )
-    last = pages.agg(F.max("meta.pages").cast("bigint").alias("last"))
+    found = stage(found, "audit")
+    last = found.agg(F.max("pages").cast("bigint").alias("last"))
     return _with_missing(found.select("page", "bodies", "records", issue.alias("issue")), last)
 
 
@@ -137,7 +145,8 @@ def audit_feature_pages(bodies: DataFrame) -> DataFrame:
         F.count("*").alias("bodies"), F.sum("n").cast("bigint").alias("records"),
         F.bool_or("more").alias("more"),
     )
-    last = pages.agg(F.max("page").cast("bigint").alias("last"))
+    found = stage(found, "audit")
+    last = found.agg(F.max("page").cast("bigint").alias("last"))
     final = F.col("page") == last.select("last").scalar()
     issue = (
         F.when(F.col("bodies") > 1, "repeated")
