@@ -88,11 +88,12 @@ class Catalog:
         """Merge: known assets, fields and checks are refreshed, known edges left alone."""
         asset_refresh = ("last_run_at", "last_row_count", "last_batch_rows", "pipeline_uuid", "block_uuid")
         field_refresh = ("data_type", "is_nullable") + (("description", "unit") if refresh_docs else ())
+        check_refresh = ("passed", "bad", "detail", "checked_at")
         merges = {
             ASSET_TABLE: lambda t, b: self.store.merge_columns(t, b, ("asset_key",), asset_refresh),
             FIELD_TABLE: lambda t, b: self.store.merge_columns(t, b, ("asset_key", "field_name"), field_refresh),
             EDGE_TABLE: lambda t, b: self.store.add_rows(t, b),
-            CHECK_TABLE: lambda t, b: self.store.upsert(t, b, ("asset_key", "check_name")),
+            CHECK_TABLE: lambda t, b: self.store.merge_columns(t, b, ("asset_key", "check_name"), check_refresh),
         }
         for table, frames in self.pending.items():
             if frames:

@@ -57,25 +57,29 @@ def run_jobs(
 
 
 def _run_one(asset: Asset, store: TableStore, inputs: Inputs, run: Run, record: Catalog, enforce: bool) -> None:
-    staged = stage(asset.build(inputs), asset.key.replace(".", "-"))
-    batch = staged.drop(*asset.position)
+    built = catalog.with_docs(asset.build(inputs), asset.docs)
+    commit = None
+    if asset.write == "upsert":
+        incoming = stage(built, asset.key.replace(".", "-"))
+    else:
+        # Written once, as the table's next content, and published after the checks.
+        commit = store.prepare(asset.key, store.fitted(asset.key, built) if asset.write == "reload" else built)
+        incoming = store.prepared(commit)
+    batch = incoming.drop(*asset.position)
     _require_landed_fields(asset, batch, inputs)
     if asset.enforce_key:
         assert_key(batch, asset.keys, asset.key)
-    # Evaluated before the table changes hands; advisory unless enforced.
-    results = stage(run_checks(batch, asset.key, asset.checks, run.at), "checks")
+    results = run_checks(batch, asset.key, asset.checks, run.at)
     record.add(catalog.CHECK_TABLE, results)
     failed = [r["check_name"] for r in results.where(~F.col("passed")).collect()] if enforce else []
     if failed:
         raise QualityFailure(f"{asset.key}: {', '.join(failed)}")
 
-    documented = catalog.with_docs(staged, asset.docs)
-    if asset.write == "upsert":
-        stored = store.upsert(asset.key, documented, asset.keys, asset.partition_by, asset.position)
-    elif asset.write == "reload":
-        stored = store.reload(asset.key, documented)
+    if commit:
+        store.publish(commit)
+        stored = batch
     else:
-        stored = store.replace(asset.key, documented)
+        stored = store.upsert(asset.key, incoming, asset.keys, asset.partition_by, asset.position, staged=True)
 
     record.add(catalog.ASSET_TABLE, catalog.asset_row(stored, batch, asset, run))
     if asset.docs:

@@ -1,25 +1,37 @@
 """Tables on plain Parquet that are replaced and merged without a torn state.
 
 Every write goes to a commit folder of its own, ``<root>/<schema>/<table>/commit=<n>-<kind>-<id>``,
-and becomes visible with the ``_SUCCESS`` marker Spark writes last. A *full* commit hides
-everything before it; a *delta* commit holds the whole new content of the partitions it
-touches. Readers take, per partition, the newest finished commit, so a crashed job leaves
-the old table in place and a running reader keeps its files.
+and becomes visible when a marker file is put there after the data is complete: write,
+check, publish, with the data written once. A *full* commit hides everything before it; a
+*delta* commit holds the whole new content of the partitions it touches. Readers take, per
+partition, the newest published commit, so a crashed job leaves the old table in place and
+a running reader keeps its files.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import uuid
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from harborline.operators.upserts import assert_key, insert_ignore, last_wins, partial_upsert, upsert
 from harborline.session import stage
 
+MARKER = "_PUBLISHED"
 _COMMIT = re.compile(r"commit=(\d+)-(full|delta)-[0-9a-f]+$")
 
 
+@dataclass(frozen=True)
+class Commit:
+    """Content that is written but not published."""
+
+    path: str
+    schema: T.StructType
+
+
 class TableStore:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
@@ -30,15 +42,18 @@ class TableStore:
     def path(self, key: str) -> str:
         return f"{self.root}/{key.replace('.', '/')}"
 
+    def _files(self, path: str):
+        """The Hadoop path and the file system it lives on."""
+        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        return folder, folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+
     def _list(self, pattern: str) -> list[str]:
-        jvm = self.spark.sparkContext._jvm
-        glob = jvm.org.apache.hadoop.fs.Path(pattern)
-        files = glob.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        glob, files = self._files(pattern)
         return sorted(s.getPath().toString() for s in files.globStatus(glob) or [])
 
     def _commits(self, key: str) -> list[str]:
-        """Finished commits since the last full one, oldest first."""
-        done = [p.rsplit("/", 1)[0] for p in self._list(f"{self.path(key)}/commit=*/_SUCCESS")]
+        """Published commits since the last full one, oldest first."""
+        done = [p.rsplit("/", 1)[0] for p in self._list(f"{self.path(key)}/commit=*/{MARKER}")]
         full = [i for i, p in enumerate(done) if _COMMIT.search(p).group(2) == "full"]
         return done[full[-1]:] if full else []
 
@@ -50,53 +65,81 @@ class TableStore:
         commits = self._commits(key)
         if not commits:
             raise FileNotFoundError(f"no table {key} under {self.root}")
-        # The last full commit gives the columns; an empty one still has a footer to read.
+        schema = self._schema(commits[0])
         newest: dict[str, str] = {}
         for commit in commits:
             for folder in self._list(f"{commit}/*=*"):
                 newest[folder.rsplit("/", 1)[1]] = folder
-        if not newest:
-            return self.spark.read.parquet(commits[-1])
-        wanted = sorted(newest.values())
-        df = self.spark.read.option("basePath", self.path(key)).parquet(*wanted).drop("commit")
+        if newest:
+            reader = self.spark.read.schema(schema).option("basePath", self.path(key))
+            df = reader.parquet(*sorted(newest.values())).select(*schema.names)
+        else:
+            df = self.prepared(Commit(commits[-1], schema))
         for column, values in (partitions or {}).items():
             df = df.where(F.col(column).isin(values))
         return df
 
     # ---- writes --------------------------------------------------------------
 
-    def _commit(self, key: str, df: DataFrame, kind: str, partition_by=()) -> None:
+    def prepare(self, key: str, df: DataFrame, partition_by=(), kind: str = "full") -> Commit:
+        """Write new content next to the current one, not visible yet."""
         numbers = [int(_COMMIT.search(p).group(1)) for p in self._list(f"{self.path(key)}/commit=*")]
-        name = f"commit={max(numbers, default=0) + 1:012d}-{kind}-{uuid.uuid4().hex[:8]}"
-        writer = df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
-        writer.partitionBy(*partition_by).parquet(f"{self.path(key)}/{name}")
+        path = f"{self.path(key)}/commit={max(numbers, default=0) + 1:012d}-{kind}-{uuid.uuid4().hex[:8]}"
+        df.write.partitionBy(*partition_by).parquet(path)
+        return Commit(path, df.schema)
+
+    def prepared(self, commit: Commit) -> DataFrame:
+        return self.spark.read.schema(commit.schema).parquet(commit.path).select(*commit.schema.names)
+
+    def publish(self, commit: Commit) -> None:
+        """Make prepared content the current one: the marker, with the columns in it, is moved in place."""
+        draft, files = self._files(f"{commit.path}/.{MARKER}")
+        out = files.create(draft, False)
+        out.write(json.dumps(commit.schema.jsonValue()).encode())
+        out.close()
+        if not files.rename(draft, self._files(f"{commit.path}/{MARKER}")[0]):
+            raise RuntimeError(f"could not publish {commit.path}")
+
+    def _schema(self, commit: str) -> T.StructType:
+        marker, files = self._files(f"{commit}/{MARKER}")
+        source = files.open(marker)
+        text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
+        source.close()
+        return T.StructType.fromJson(json.loads(text))
 
     def replace(self, key: str, df: DataFrame, partition_by=()) -> DataFrame:
         """Whole new content, with whatever columns the frame has."""
-        self._commit(key, df, "full", partition_by)
+        self.publish(self.prepare(key, df, partition_by))
         return self.read(key)
 
+    def fitted(self, key: str, df: DataFrame) -> DataFrame:
+        """The frame under the columns the table already has; any difference is an error."""
+        if not self.exists(key):
+            return df
+        current = self.read(key).schema
+        want = {f.name: f.dataType for f in current}
+        have = {f.name: f.dataType for f in df.schema}
+        if want != have:
+            raise ValueError(f"{key} has {want}, the batch has {have}")
+        return df.select(*current.names)
+
     def reload(self, key: str, df: DataFrame, partition_by=()) -> DataFrame:
         """Whole new content under the columns the table already has."""
-        if self.exists(key):
-            current = self.read(key).schema
-            want = {f.name: f.dataType for f in current}
-            have = {f.name: f.dataType for f in df.schema}
-            if want != have:
-                raise ValueError(f"{key} has {want}, the batch has {have}")
-            df = df.select(*current.names)
-        return self.replace(key, df, partition_by)
-
-    def upsert(self, key: str, batch: DataFrame, keys, partition_by: str | None = None, position=()) -> DataFrame:
+        return self.replace(key, self.fitted(key, df), partition_by)
+
+    def upsert(
+        self, key: str, batch: DataFrame, keys, partition_by: str | None = None, position=(), staged: bool = False
+    ) -> DataFrame:
         """Merge a batch by key: known keys are replaced, other rows stay.
 
         With ``position`` columns a repeated key is allowed and its last row wins; without,
         it is an error, as is an incomplete key. Of a partitioned table only the partitions
-        the batch touches are read and rewritten.
+        the batch touches are read and rewritten. ``staged`` says the batch is a written table.
         """
         if position:
             batch = last_wins(batch, keys, position)
-        batch = stage(batch, "batch")
+        if position or not staged:
+            batch = stage(batch, "batch")
         assert_key(batch, keys, f"batch for {key}")
         if not self.exists(key):
             return self.replace(key, batch, (partition_by,) if partition_by else ())
@@ -106,7 +149,7 @@ class TableStore:
         touched = [r[0] for r in batch.select(partition_by).distinct().collect()]
         if touched:
             kept = self.read(key, {partition_by: touched})
-            self._commit(key, upsert(kept, batch, keys), "delta", (partition_by,))
+            self.publish(self.prepare(key, upsert(kept, batch, keys), (partition_by,), "delta"))
         return self.read(key)
 
     def merge_columns(self, key: str, batch: DataFrame, keys, refresh) -> DataFrame:
@@ -123,12 +166,9 @@ class TableStore:
 
     def vacuum(self, key: str) -> int:
         """Delete commits no reader of the current content needs; returns how many."""
-        keep = set(self._commits(key))
-        jvm = self.spark.sparkContext._jvm
-        removed = 0
-        for commit in self._list(f"{self.path(key)}/commit=*"):
-            if keep and commit not in keep and commit < min(keep):
-                folder = jvm.org.apache.hadoop.fs.Path(commit)
-                files = folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-                removed += bool(files.delete(folder, True))
-        return removed
+        keep = self._commits(key)
+        old = [c for c in self._list(f"{self.path(key)}/commit=*") if keep and c < keep[0]]
+        for commit in old:
+            folder, files = self._files(commit)
+            files.delete(folder, True)
+        return len(old)
