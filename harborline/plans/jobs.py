@@ -40,7 +40,7 @@ def landed_inputs(spark: SparkSession, folder: str, store: TableStore, packed: b
 def in_order(assets) -> list[Asset]:
     """Upstreams first; an upstream outside the selection is taken as stored already."""
     by_key = {a.key: a for a in assets}
-    graph = {a.key: [u for u in a.upstreams if u in by_key] for a in assets}
+    graph = {a.key: [u for u in a.upstreams if u in by_key] for a in by_key.values()}
     return [by_key[k] for k in TopologicalSorter(graph).static_order()]
 
 
