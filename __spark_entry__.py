@@ -18,7 +18,7 @@ from harborline.operators import calls, connections, quality as q, traffic, upse
 from harborline.operators.ranking import rank_in_slices, rank_min_desc  # noqa: E402
 from harborline.plans import assets as published, catalog  # noqa: E402
 from harborline.plans.jobs import landed_inputs, run_jobs  # noqa: E402
-from harborline.session import apply_settings, scratch_path, stage  # noqa: E402
+from harborline.session import apply_settings, scratch_path, spread, stage  # noqa: E402
 from harborline.sinks.files import write_csv  # noqa: E402
 from harborline.sinks.tables import TableStore  # noqa: E402
 from harborline.sources import landed, schemas  # noqa: E402
@@ -69,6 +69,15 @@ def _country_dim_derive(t: Tables) -> DataFrame:
     )
 
 
+def _dim_stats(t: Tables) -> DataFrame:
+    return traffic.country_dim_stats(_countries(t))
+
+
+def _summary_stats(t: Tables) -> DataFrame:
+    found = traffic.country_summary(_raw_traffic(t), base_year=1996, compare_year=2000)
+    return traffic.country_summary_stats(found, base_year=1996, compare_year=2000)
+
+
 def _stats(t: Tables) -> DataFrame:
     return traffic.clean_traffic_stats(t.traffic_records(), _countries(t))
 
@@ -323,7 +332,7 @@ def _run(t: Tables, *keys: str) -> TableStore:
     if published.CONNECTIONS in keys:
         land("connections", feature_bodies(t.stored_connections(), F.col("from_portid") + 1))
     if published.CALLS in keys:
-        t.daily_calls().write.partitionBy("year").parquet(f"{folder}/daily_calls")
+        spread(t.daily_calls(), ("year",)).write.partitionBy("year").parquet(f"{folder}/daily_calls")
     inputs = landed_inputs(t.spark, folder, store, packed=True, shapes=SHAPES)
     chosen = [a for a in published.ASSETS if a.key in keys]
     run_jobs(store, inputs, catalog.Run(at=RUN_AT, pipeline_uuid="spark_entry"), chosen)
@@ -352,11 +361,13 @@ def _job_check_results(t: Tables) -> DataFrame:
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "country_dim_derive": _country_dim_derive,
+    "country_dim_stats": _dim_stats,
     "clean_traffic": _traffic,
     "clean_traffic_stats": _stats,
     "raw_traffic_join": lambda t: _raw_traffic(t).drop("latitude"),
     "region_totals": _region_totals,
     "country_summary": _summary,
+    "country_summary_stats": _summary_stats,
     "rank_global": _rank_global,
     "rank_hot_groups": _rank_hot_groups,
     "calls_max_year": _calls_max_year,

@@ -40,6 +40,11 @@ def country_dim(records: DataFrame) -> DataFrame:
     )
 
 
+def country_dim_stats(countries: DataFrame) -> DataFrame:
+    """Entities, and how many of them are groupings."""
+    return countries.agg(F.count("*").alias("rows"), F.count_if("is_aggregate").alias("aggregates"))
+
+
 def _reported(records: DataFrame) -> DataFrame:
     return records.where(F.col("value").isNotNull()).select(
         F.col("countryiso3code").alias("country_iso3"),
@@ -86,8 +91,11 @@ def enrich_traffic(traffic: DataFrame, countries: DataFrame) -> DataFrame:
     return traffic.select("country_iso3", "country_name", "traffic_year", "teu").join(attributes, "country_iso3")
 
 
-def region_totals(traffic: DataFrame, countries: DataFrame) -> DataFrame:
-    """Total, number of rows and rounded mean per region and year."""
+def region_totals(traffic: DataFrame, countries: DataFrame, ordered: bool = False) -> DataFrame:
+    """Total, number of rows and rounded mean per region and year.
+
+    ``ordered`` sorts by region name and year for reading; a table write has no use for it.
+    """
     joined = traffic.select("country_iso3", "traffic_year", "teu").join(
         countries.where(~F.col("is_aggregate")).select("country_iso3", "region_code", "region_name"), "country_iso3"
     )
@@ -95,12 +103,13 @@ def region_totals(traffic: DataFrame, countries: DataFrame) -> DataFrame:
         exact_sum(F.col("teu")).alias("total"), F.count("*").alias("countries_reporting"),
         F.count("teu").alias("values"),
     )
-    return sums.select(
+    totals = sums.select(
         "region_code", "region_name", "traffic_year",
         F.col("total").cast("bigint").alias("total_teu"),
         "countries_reporting",
         rounded_mean(F.col("total"), F.col("values")).alias("mean_teu"),
     )
+    return totals.orderBy(F.col("region_name").asc_nulls_last(), "traffic_year") if ordered else totals
 
 
 def country_summary(traffic: DataFrame, base_year: int = BASE_YEAR, compare_year: int = COMPARE_YEAR) -> DataFrame:
@@ -136,3 +145,17 @@ def country_summary(traffic: DataFrame, base_year: int = BASE_YEAR, compare_year
     )
     # One row per country from here on; the rank reads it more than once.
     return rank_min_desc(stage(summary, "country-summary"), compare, f"rank_{compare_year}")
+
+
+def country_summary_stats(
+    summary: DataFrame, base_year: int = BASE_YEAR, compare_year: int = COMPARE_YEAR
+) -> DataFrame:
+    """Countries, those with the compared figure, those with growth, and those whose growth is undefined."""
+    base, compare = F.col(f"teu_{base_year}"), F.col(f"teu_{compare_year}")
+    growth = F.col(f"cagr_{base_year}_{compare_year}")
+    return summary.agg(
+        F.count("*").alias("countries"),
+        F.count(compare).alias("with_figure"),
+        F.count(growth).alias("with_growth"),
+        F.count_if(base.isNotNull() & compare.isNotNull() & growth.isNull()).alias("growth_undefined"),
+    )

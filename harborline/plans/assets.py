@@ -42,6 +42,7 @@ class Asset:
     grain: str
     upstreams: tuple[str, ...] = ()
     partition_by: str | None = None
+    sort_by: tuple[str, ...] = ()
     position: tuple[str, ...] = ()
     docs: dict[str, tuple[str, str | None]] = field(default_factory=dict)
     landed: str | None = None
@@ -231,14 +232,14 @@ ASSETS = (
     ),
     Asset(
         key=CALLS_MART, build=_calls_mart, write="replace", keys=calls.CALL_KEYS, enforce_key=True,
-        checks=(q.HasRows(),), parity_with=CALLS,
+        checks=(q.HasRows(),), parity_with=CALLS, sort_by=("country_iso3", "portid"),
         description="Monthly calls by vessel type with the port they belong to",
         source=DERIVED, source_detail="Rebuilt whole on every run", grain="one row per port, year and month",
         upstreams=(CALLS, PORTS),
     ),
     Asset(
         key=CONNECTION_MART, build=_connection_mart, write="replace", keys=connections.PAIR, enforce_key=True,
-        checks=(q.HasRows(),),
+        checks=(q.HasRows(),), sort_by=("from_portid", "rank_from_port"),
         description="Port pairs ranked by capacity at either end, with a domestic flag",
         source=DERIVED, source_detail="Rebuilt whole on every run", grain="one row per directed pair of ports",
         upstreams=(CONNECTIONS, PORTS),

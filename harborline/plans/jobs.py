@@ -11,7 +11,7 @@ from harborline.operators.upserts import assert_key
 from harborline.plans import catalog
 from harborline.plans.assets import ASSETS, Asset, Inputs
 from harborline.plans.catalog import Catalog, Run
-from harborline.session import stage
+from harborline.session import scratch_scope, stage
 from harborline.sinks.tables import TableStore
 from harborline.sources import landed, schemas
 
@@ -45,15 +45,23 @@ def in_order(assets) -> list[Asset]:
 
 
 def run_jobs(
-    store: TableStore, inputs: Inputs, run: Run, assets=ASSETS, enforce: bool = False, refresh_docs: bool = False
+    store: TableStore, inputs: Inputs, run: Run, assets=ASSETS, enforce: bool = False, refresh_docs: bool = False,
+    register: bool = False,
 ) -> None:
-    """Build, check and publish every asset; what was done is recorded even if a later one fails."""
+    """Build, check and publish every asset; what was done is recorded even if a later one fails.
+
+    ``enforce`` turns the advisory checks into a gate before publication, ``register``
+    refreshes the SQL names of the tables. Scratch tables of the run are deleted.
+    """
     record = Catalog(store)
-    try:
-        for asset in in_order(assets):
-            _run_one(asset, store, inputs, run, record, enforce)
-    finally:
-        record.flush(refresh_docs)
+    with scratch_scope(store.spark):
+        try:
+            for asset in in_order(assets):
+                _run_one(asset, store, inputs, run, record, enforce)
+                if register:
+                    store.register(asset.key)
+        finally:
+            record.flush(refresh_docs)
 
 
 def _run_one(asset: Asset, store: TableStore, inputs: Inputs, run: Run, record: Catalog, enforce: bool) -> None:
@@ -63,7 +71,8 @@ def _run_one(asset: Asset, store: TableStore, inputs: Inputs, run: Run, record:
         incoming = stage(built, asset.key.replace(".", "-"))
     else:
         # Written once, as the table's next content, and published after the checks.
-        commit = store.prepare(asset.key, store.fitted(asset.key, built) if asset.write == "reload" else built)
+        content = store.fitted(asset.key, built) if asset.write == "reload" else built
+        commit = store.prepare(asset.key, content, sort_by=asset.sort_by)
         incoming = store.prepared(commit)
     batch = incoming.drop(*asset.position)
     _require_landed_fields(asset, batch, inputs)

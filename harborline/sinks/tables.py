@@ -18,7 +18,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from harborline.operators.upserts import assert_key, insert_ignore, last_wins, partial_upsert, upsert
-from harborline.session import stage
+from harborline.session import hadoop_path, spread, stage
 
 MARKER = "_PUBLISHED"
 _COMMIT = re.compile(r"commit=(\d+)-(full|delta)-[0-9a-f]+$")
@@ -42,13 +42,8 @@ class TableStore:
     def path(self, key: str) -> str:
         return f"{self.root}/{key.replace('.', '/')}"
 
-    def _files(self, path: str):
-        """The Hadoop path and the file system it lives on."""
-        folder = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        return folder, folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-
     def _list(self, pattern: str) -> list[str]:
-        glob, files = self._files(pattern)
+        glob, files = hadoop_path(self.spark, pattern)
         return sorted(s.getPath().toString() for s in files.globStatus(glob) or [])
 
     def _commits(self, key: str) -> list[str]:
@@ -57,6 +52,14 @@ class TableStore:
         full = [i for i, p in enumerate(done) if _COMMIT.search(p).group(2) == "full"]
         return done[full[-1]:] if full else []
 
+    def _partitions(self, commits: list[str]) -> list[str]:
+        """Per partition value, its folder in the newest of the commits that has it."""
+        newest: dict[str, str] = {}
+        for commit in commits:
+            for folder in self._list(f"{commit}/*=*"):
+                newest[folder.rsplit("/", 1)[1]] = folder
+        return sorted(newest.values())
+
     def exists(self, key: str) -> bool:
         return bool(self._commits(key))
 
@@ -66,13 +69,10 @@ class TableStore:
         if not commits:
             raise FileNotFoundError(f"no table {key} under {self.root}")
         schema = self._schema(commits[0])
-        newest: dict[str, str] = {}
-        for commit in commits:
-            for folder in self._list(f"{commit}/*=*"):
-                newest[folder.rsplit("/", 1)[1]] = folder
-        if newest:
+        folders = self._partitions(commits)
+        if folders:
             reader = self.spark.read.schema(schema).option("basePath", self.path(key))
-            df = reader.parquet(*sorted(newest.values())).select(*schema.names)
+            df = reader.parquet(*folders).select(*schema.names)
         else:
             df = self.prepared(Commit(commits[-1], schema))
         for column, values in (partitions or {}).items():
@@ -81,11 +81,17 @@ class TableStore:
 
     # ---- writes --------------------------------------------------------------
 
-    def prepare(self, key: str, df: DataFrame, partition_by=(), kind: str = "full") -> Commit:
-        """Write new content next to the current one, not visible yet."""
+    def prepare(self, key: str, df: DataFrame, partition_by=(), kind: str = "full", sort_by=()) -> Commit:
+        """Write new content next to the current one, not visible yet.
+
+        ``sort_by`` orders each file, so that filters on those columns skip row groups.
+        """
         numbers = [int(_COMMIT.search(p).group(1)) for p in self._list(f"{self.path(key)}/commit=*")]
         path = f"{self.path(key)}/commit={max(numbers, default=0) + 1:012d}-{kind}-{uuid.uuid4().hex[:8]}"
-        df.write.partitionBy(*partition_by).parquet(path)
+        laid_out = spread(df, partition_by)
+        if sort_by:
+            laid_out = laid_out.sortWithinPartitions(*sort_by)
+        laid_out.write.partitionBy(*partition_by).parquet(path)
         return Commit(path, df.schema)
 
     def prepared(self, commit: Commit) -> DataFrame:
@@ -93,15 +99,15 @@ class TableStore:
 
     def publish(self, commit: Commit) -> None:
         """Make prepared content the current one: the marker, with the columns in it, is moved in place."""
-        draft, files = self._files(f"{commit.path}/.{MARKER}")
+        draft, files = hadoop_path(self.spark, f"{commit.path}/.{MARKER}")
         out = files.create(draft, False)
         out.write(json.dumps(commit.schema.jsonValue()).encode())
         out.close()
-        if not files.rename(draft, self._files(f"{commit.path}/{MARKER}")[0]):
+        if not files.rename(draft, hadoop_path(self.spark, f"{commit.path}/{MARKER}")[0]):
             raise RuntimeError(f"could not publish {commit.path}")
 
     def _schema(self, commit: str) -> T.StructType:
-        marker, files = self._files(f"{commit}/{MARKER}")
+        marker, files = hadoop_path(self.spark, f"{commit}/{MARKER}")
         source = files.open(marker)
         text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
         source.close()
@@ -164,11 +170,37 @@ class TableStore:
             return self.replace(key, batch.distinct())
         return self.replace(key, insert_ignore(self.read(key), batch))
 
+    def register(self, key: str) -> None:
+        """Make the current content readable in SQL under its own name, schema included.
+
+        A partitioned table is a union of its folders with the partition value as a
+        literal, so that a filter on it drops whole branches. Call again after a write.
+        """
+        commits = self._commits(key)
+        schema = self._schema(commits[0])
+        columns = ", ".join(f"`{c}`" for c in schema.names)
+        selects = []
+        for folder in self._partitions(commits) or [commits[-1]]:
+            name, found, value = folder.rsplit("/", 1)[1].partition("=")
+            # Folders of a table without partitions are the commits themselves.
+            literal = {} if name == "commit" or not found else {name: value}
+            parts = [
+                f"CAST('{literal[f.name]}' AS {f.dataType.simpleString()}) AS `{f.name}`" if f.name in literal else f"`{f.name}`"
+                for f in schema
+            ]
+            if self._list(f"{folder}/*.parquet"):
+                selects.append(f"SELECT {', '.join(parts)} FROM parquet.`{folder}`")
+        if not selects:
+            nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema)
+            selects = [f"SELECT {nulls} WHERE false"]
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{key.split('.')[0]}`")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {key} AS SELECT {columns} FROM ({' UNION ALL '.join(selects)})")
+
     def vacuum(self, key: str) -> int:
         """Delete commits no reader of the current content needs; returns how many."""
         keep = self._commits(key)
         old = [c for c in self._list(f"{self.path(key)}/commit=*") if keep and c < keep[0]]
         for commit in old:
-            folder, files = self._files(commit)
+            folder, files = hadoop_path(self.spark, commit)
             files.delete(folder, True)
         return len(old)

@@ -117,6 +117,8 @@ def _suite(view: str, checks) -> str:
 
 QUERIES = {
     "country_dim_derive": "SELECT country_iso3, country_name, region_code, region_name, longitude, is_aggregate FROM country_dim",
+    "country_dim_stats": """
+SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(CASE WHEN is_aggregate THEN 1 END) AS BIGINT) AS aggregates FROM country_dim""",
     "clean_traffic": "SELECT country_iso3, country_id, country_name, traffic_year, teu FROM traffic",
     "clean_traffic_stats": """
 SELECT CAST((SELECT count(*) FROM traffic_src) AS BIGINT) AS rows_in,
@@ -127,6 +129,11 @@ FROM traffic""",
     "raw_traffic_join": "SELECT * FROM raw_traffic",
     "region_totals": "SELECT * FROM totals",
     "country_summary": "SELECT * FROM summary",
+    "country_summary_stats": """
+SELECT CAST(count(*) AS BIGINT) AS countries, CAST(count(teu_cmp) AS BIGINT) AS with_figure,
+       CAST(count(cagr) AS BIGINT) AS with_growth,
+       CAST(count(CASE WHEN teu_cmp IS NOT NULL AND teu_base IS NOT NULL AND cagr IS NULL THEN 1 END) AS BIGINT) AS growth_undefined
+FROM summary""",
     "rank_global": """
 SELECT o_orderkey, CAST(floor(o_totalprice / 100) AS BIGINT) AS spend,
        CASE WHEN o_orderstatus <> 'P' THEN CAST(rank() OVER (ORDER BY CASE WHEN o_orderstatus <> 'P'

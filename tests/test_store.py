@@ -114,3 +114,27 @@ def test_csv(spark, folder, rows):
     write_csv(df, f"{folder}/csv", single_file=True)
     assert len(list(pathlib.Path(folder, "csv").glob("part-*.csv"))) == 1
     assert rows(spark.read.schema(df.schema).option("header", "true").csv(f"{folder}/csv")) == rows(df)
+
+
+def test_register_for_sql(spark, store, rows):
+    store.replace("sql_raw.plain", spark.createDataFrame([(1, "x")], "a int, b string"))
+    store.register("sql_raw.plain")
+    assert rows(spark.sql("SELECT a, b FROM sql_raw.plain")) == [(1, "x")]
+    store.upsert("sql_raw.calls", calls(spark, []), KEYS, "calls_year")
+    store.register("sql_raw.calls")
+    assert spark.table("sql_raw.calls").schema == calls(spark, []).schema and spark.table("sql_raw.calls").count() == 0
+    store.upsert("sql_raw.calls", calls(spark, [("p", 2021, 1, 1), ("p", 2022, 1, 2)]), KEYS, "calls_year")
+    store.upsert("sql_raw.calls", calls(spark, [("p", 2022, 1, 20)]), KEYS, "calls_year")
+    store.register("sql_raw.calls")
+    assert rows(spark.table("sql_raw.calls")) == [("p", 2021, 1, 1), ("p", 2022, 1, 20)]
+    one_year = spark.sql("SELECT * FROM sql_raw.calls WHERE calls_year = 2021")
+    assert one_year._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+
+
+def test_partitioned_write_makes_few_files(spark, store):
+    wide = spark.range(0, 4000, numPartitions=8).selectExpr(
+        "CAST(id AS STRING) AS portid", "CAST(2020 + id % 3 AS INT) AS calls_year", "1 AS calls_month", "id AS calls_total"
+    )
+    store.replace("raw.calls", wide, ("calls_year",))
+    assert len(list(pathlib.Path(store.path("raw.calls")).rglob("*.parquet"))) == 3
+    assert store.read("raw.calls").count() == 4000

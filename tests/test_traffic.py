@@ -62,6 +62,21 @@ def test_region_totals(spark, countries, rows):
     assert rows(traffic.region_totals(t, countries)) == [("R1", "North", 2019, 3, 2, 2), ("R2", None, 2019, 7, 1, 7)]
 
 
+def test_region_totals_in_reading_order(spark, countries):
+    t = spark.createDataFrame(
+        [("CCC", "C", 2019, 7), ("AAA", "A", 2019, 1), ("AAA", "A", 2010, 1)],
+        "country_iso3 string, country_name string, traffic_year int, teu bigint",
+    )
+    got = traffic.region_totals(t, countries, ordered=True).collect()
+    assert [(r["region_name"], r["traffic_year"]) for r in got] == [("North", 2010), ("North", 2019), (None, 2019)]
+
+
+def test_counts_for_the_log(spark, countries):
+    assert tuple(traffic.country_dim_stats(countries).first()) == (4, 1)
+    rows = [("AAA", 2010, 0), ("AAA", 2019, 250), ("BBB", 2019, 1), ("CCC", 2010, 5), ("CCC", 2019, 6)]
+    assert tuple(traffic.country_summary_stats(traffic.country_summary(enriched(spark, rows))).first()) == (3, 3, 1, 1)
+
+
 def enriched(spark, rows):
     ddl = "country_iso3 string, country_name string, traffic_year int, teu bigint, region_code string, region_name string, longitude double, latitude double"
     return spark.createDataFrame([(c, f"name {c}", y, v, "R", "Region", 1.0, 2.0) for c, y, v in rows], ddl)
