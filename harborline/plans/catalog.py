@@ -43,22 +43,28 @@ def asset_row(stored: DataFrame, batch: DataFrame, asset, run: Run) -> DataFrame
     )
 
 
-def profile_fields(df: DataFrame, asset_key: str, docs=None) -> DataFrame:
-    """Type, documentation and observed nullability of every column, from one pass."""
+def measure_fields(df: DataFrame, asset_key: str, docs=None) -> DataFrame:
+    """Per column: type, documentation, rows and filled values; one pass, one row a column."""
     docs = docs or {}
-    seen = df.agg(*[F.bool_or(F.col(f.name).isNull()).alias(f"n{i}") for i, f in enumerate(df.schema)])
-    rows = []
+    counts = df.agg(F.count("*").alias("rows"), *[F.count(f.name).alias(f"n{i}") for i, f in enumerate(df.schema)])
+    found = []
     for i, f in enumerate(df.schema):
         description, unit = docs.get(f.name, (None, None))
-        rows.append(
+        found.append(
             F.struct(
                 F.lit(asset_key).alias("asset_key"), F.lit(f.name).alias("field_name"),
                 F.lit(f.dataType.simpleString()).alias("data_type"),
                 F.lit(description).cast("string").alias("description"), F.lit(unit).cast("string").alias("unit"),
-                F.coalesce(f"n{i}", F.lit(False)).alias("is_nullable"),
+                (F.col(f"n{i}") < F.col("rows")).alias("is_nullable"),
+                F.col("rows"), F.col(f"n{i}").alias("filled"),
             )
         )
-    return seen.select(F.inline(F.array(*rows)))
+    return counts.select(F.inline(F.array(*found)))
+
+
+def profile_fields(df: DataFrame, asset_key: str, docs=None) -> DataFrame:
+    """The registry's view of every column, with nullability as observed."""
+    return measure_fields(df, asset_key, docs).drop("rows", "filled")
 
 
 def edges_to(spark: SparkSession, asset_key: str, upstreams) -> DataFrame:

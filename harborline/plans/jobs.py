@@ -75,7 +75,12 @@ def _run_one(asset: Asset, store: TableStore, inputs: Inputs, run: Run, record:
         commit = store.prepare(asset.key, content, sort_by=asset.sort_by)
         incoming = store.prepared(commit)
     batch = incoming.drop(*asset.position)
-    _require_landed_fields(asset, batch, inputs)
+    if asset.landed or asset.docs:
+        # One pass for both uses; as many rows as the table has columns.
+        fields = catalog.measure_fields(batch, asset.key, asset.docs)
+        measured = fields.collect()
+        _require_landed_fields(asset, measured, inputs)
+        fields = store.spark.createDataFrame(measured, fields.schema).drop("rows", "filled")
     if asset.enforce_key:
         assert_key(batch, asset.keys, asset.key)
     results = run_checks(batch, asset.key, asset.checks, run.at)
@@ -92,7 +97,7 @@ def _run_one(asset: Asset, store: TableStore, inputs: Inputs, run: Run, record:
 
     record.add(catalog.ASSET_TABLE, catalog.asset_row(stored, batch, asset, run))
     if asset.docs:
-        record.add(catalog.FIELD_TABLE, catalog.profile_fields(batch, asset.key, asset.docs))
+        record.add(catalog.FIELD_TABLE, fields)
     if asset.layer == "mart":
         record.add(catalog.EDGE_TABLE, catalog.edges_to(store.spark, asset.key, asset.upstreams))
     if asset.parity_with:
@@ -107,19 +112,16 @@ def _parity_result(asset: Asset, stored: DataFrame, raw: DataFrame, run: Run) ->
     )
 
 
-def _require_landed_fields(asset: Asset, batch: DataFrame, inputs: Inputs) -> None:
+def _require_landed_fields(asset: Asset, measured: list, inputs: Inputs) -> None:
     """A field that no landed record carries is schema drift and stops the job.
 
     Only a column that came out all NULL can be such a field, so the landed text is
     looked at again in that case alone.
     """
-    if not asset.landed:
-        return
-    filled = batch.agg(F.count("*").alias("rows"), *[F.count(c).alias(f"c_{c}") for c in batch.columns]).first()
-    if filled["rows"] and all(filled[f"c_{c}"] for c in batch.columns):
+    if not asset.landed or all(m["filled"] or not m["rows"] for m in measured):
         return
     shape = "indicator" if asset.landed in ("countries", "traffic") else "features"
     absent = landed.missing_fields(inputs.bodies(asset.landed), asset.required, shape)
     names = [r["field"] for r in absent.collect()]
-    if names and filled["rows"]:
+    if names:
         raise ValueError(f"{asset.key}: landed records never carry {', '.join(names)}")
