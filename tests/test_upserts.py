@@ -1,6 +1,5 @@
 import pytest
 from hypothesis import given, settings, strategies as st
-from pyspark.sql import functions as F
 
 from harborline.operators import upserts
 from harborline.operators.upserts import KeyViolation
