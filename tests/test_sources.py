@@ -70,7 +70,8 @@ def test_error_body_is_quarantined(spark, rows):
         ("b1", "error body"), ("b2", "error body"), ("b3", "not an object"),
     ]
     assert rows(landed.readable_features(pages).select("source")) == [("b0",)]
-    with pytest.raises(PySparkException, match="error body in b1"):
+    # Three bodies are bad; which task meets one first is open.
+    with pytest.raises(PySparkException, match="error body in b[12]|not an object in b3"):
         landed.read_feature_pages(pages, "portid string").collect()
 
 
