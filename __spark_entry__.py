@@ -359,6 +359,18 @@ def _job_check_results(t: Tables) -> DataFrame:
     return _run(t, *CALLS_JOBS).read(catalog.CHECK_TABLE).select("asset_key", "check_name", "passed", "bad")
 
 
+# The training-data operators live in a subpackage that may be absent.
+try:
+    from corpus_pipeline import ORACLE_SQL as PIPELINE_SQL, run as run_pipeline  # noqa: E402
+    from harborline.llm.queries import ORACLE_SQL as LLM_SQL, QUERIES as LLM_QUERIES  # noqa: E402
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith(("corpus_pipeline", "harborline.llm")):
+        raise
+    LLM_QUERIES, LLM_SQL = {}, {}
+else:
+    LLM_QUERIES = {**LLM_QUERIES, "pipeline": run_pipeline}
+    LLM_SQL = {**LLM_SQL, **({"pipeline": PIPELINE_SQL} if PIPELINE_SQL else {})}
+
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "country_dim_derive": _country_dim_derive,
     "country_dim_stats": _dim_stats,
@@ -419,8 +431,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     def bind(build: Callable[[Tables], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
         return lambda spark, sf_dir: build(Tables(apply_settings(spark), sf_dir))
 
-    return {name: bind(build) for name, build in QUERIES.items()}
+    return {name: bind(build) for name, build in QUERIES.items()} | LLM_QUERIES
 
 
 def oracle_sql() -> dict[str, str]:
-    return {name: oracle_views.compose(name) for name in QUERIES}
+    return {name: oracle_views.compose(name) for name in QUERIES} | LLM_SQL
