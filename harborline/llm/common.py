@@ -7,9 +7,9 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from harborline.session import apply_settings, stage
+from harborline.session import apply_settings, scratch_path, stage
 
-__all__ = ["arrow_map", "documents", "keep_rows", "prepare", "stage", "whole_text"]
+__all__ = ["arrow_map", "documents", "keep_rows", "prepare", "scratch_path", "stage", "stage_packed", "whole_text"]
 
 # Documents are long: few of them in one Arrow batch keep a Python worker's memory small.
 ARROW_ROWS = 500
@@ -33,6 +33,13 @@ def whole_text(name: str = "text"):
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def stage_packed(df: DataFrame, name: str) -> DataFrame:
+    """A table written once for several passes, like `stage`, packed tighter: for columns of ids or bits."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def arrow_map(df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """One Arrow batch in, one out, in parallel over the partitions."""
 

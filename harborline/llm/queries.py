@@ -6,8 +6,35 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from harborline.llm import quality_rules
-from harborline.llm.common import documents
+from harborline.llm import bpe, huffman, packing, quality_rules
+from harborline.llm.common import documents, scratch_path, stage_packed
+from harborline.llm.tokens import WORD_VOCABULARY, tokenize
+
+
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pieces = packing.cut(documents(spark, sf_dir))
+    placed = packing.place(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+    return placed.select(
+        "doc_id", "start", F.col("length").cast("bigint").alias("length"), "ids_crc32", "doc_tokens", "sequence_id", "offset"
+    )
+
+
+def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = bpe.round_trip(documents(spark, sf_dir))
+    return both.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tokens = stage_packed(tokenize(documents(spark, sf_dir), WORD_VOCABULARY, end_id=1), "ids")
+    path = scratch_path(spark, "token-files")
+    huffman.write_ids(tokens, path)
+    return huffman.read_ids(spark, path).select(
+        "doc_id", "start", F.col("n_ids").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
+    )
 
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,7 +48,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
+    "op2_bpe": op2_bpe,
     "op7_quality_rules": op7_quality_rules,
+    "op8_token_files": op8_token_files,
 }
 
 

@@ -1,26 +1,31 @@
 """Token ids of whole texts, as the tokenizers library gives them, at the speed of a dictionary.
 
-A text is cut at spaces (and line ends) into chunks whose ids do not depend on each other; each chunk is encoded by
-the library once and then looked up. Texts for which the cut is not certain go to the library whole. The cut is known
+A text is cut at spaces (and line ends) into chunks whose ids do not depend on each other; the library's model encodes
+a chunk once, and then it is looked up. Texts for which the cut is not certain go to the library whole. The cut is known
 for the two kinds of vocabulary below; any other tokenizer file gets every text whole.
 """
 
 from __future__ import annotations
 
 import json
-import re
 from array import array
 
 import public_tokenizers
+import pyarrow as pa
+import regex
+from pyspark.sql import DataFrame
 from tokenizers import Tokenizer
 
+from harborline.llm.common import arrow_map, whole_text
+
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
-# Chunks kept per worker before the dictionary starts anew; it bounds memory, not the result.
-KEPT_CHUNKS = 600_000
+# Chunks a worker remembers of the newer and of the older half; bounds memory, not the result.
+KEPT_CHUNKS = 400_000
+
+ODD_SPACES = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
 
-_two_spaces = re.compile(r"\s\s")
 _encoders: dict[str, "ChunkEncoder"] = {}
 
 
@@ -32,6 +37,23 @@ def little_endian(ids: list[int]) -> bytes:
     return out.tobytes()
 
 
+def byte_alphabet() -> dict[int, str]:
+    """The visible character that stands for each byte in byte-level vocabularies."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    hidden = [b for b in range(256) if b not in set(shown)]
+    return {b: chr(b) for b in shown} | {b: chr(256 + n) for n, b in enumerate(hidden)}
+
+
+_alphabet = byte_alphabet()
+
+
+def visible(text: str) -> str:
+    """The UTF-8 bytes of a text, each as its visible character."""
+    if text.isascii() and text.isprintable():
+        return text.replace(" ", _alphabet[32])
+    return text.encode("utf-8").decode("latin-1").translate(_alphabet)
+
+
 def load(path: str) -> Tokenizer:
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
@@ -39,18 +61,17 @@ def load(path: str) -> Tokenizer:
     return tokenizer
 
 
-def _cut_rule(path: str):
+def read_spec(path: str) -> dict:
     with open(path, encoding="utf-8") as f:
-        spec = json.load(f)
-    before, normal = spec["pre_tokenizer"] or {}, spec["normalizer"] or {}
-    byte_level = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}
-    if before == byte_level and not normal:
-        return cut_byte_level
-    steps = [step.get("type") for step in normal.get("normalizers", [])]
-    splits = [step.get("type") for step in before.get("pretokenizers", [])]
-    if steps == ["NFC", "Replace", "Lowercase"] and splits == ["Split", "ByteLevel"]:
-        return cut_words
-    return None
+        return json.load(f)
+
+
+def _is_latin(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return "<|" not in text and "\0" not in text and not any(c in text for c in ODD_SPACES)
 
 
 def cut_byte_level(text: str) -> list[str] | None:
@@ -58,7 +79,7 @@ def cut_byte_level(text: str) -> list[str] | None:
 
     A chunk stands for itself with the space before it; NUL marks the first, which has none.
     """
-    if _two_spaces.search(text) or "<|" in text or "\0" in text:
+    if not _is_latin(text) or any(run in text for run in ("  ", " \n", "\n ", "\n\n")):
         return None
     chunks = text.replace("\n", " \n").split(" ")
     chunks[0] = "\0" + chunks[0]
@@ -67,13 +88,7 @@ def cut_byte_level(text: str) -> list[str] | None:
 
 def cut_words(text: str) -> list[str] | None:
     """Lower-cased chunks between white space, for texts in Latin-1, where case and composition are plain."""
-    try:
-        text.encode("latin-1")
-    except UnicodeEncodeError:
-        return None
-    if "<|" in text or any(c in text for c in "\x1c\x1d\x1e\x1f"):
-        return None
-    return text.lower().split()
+    return text.lower().split() if _is_latin(text) else None
 
 
 class ChunkEncoder(dict):
@@ -81,27 +96,35 @@ class ChunkEncoder(dict):
 
     def __init__(self, path: str):
         super().__init__()
-        self.tokenizer, self.cut = load(path), _cut_rule(path)
+        self.tokenizer, self.older, self.cut = load(path), {}, None
+        spec = read_spec(path)
+        before, normal = spec["pre_tokenizer"] or {}, spec["normalizer"] or {}
+        steps = [step.get("type") for step in normal.get("normalizers", [])]
+        splits = before.get("pretokenizers", [])
+        if before.get("type") == "ByteLevel" and before.get("use_regex") and not before["add_prefix_space"] and not normal:
+            self.cut, self.pieces = cut_byte_level, regex.compile(public_tokenizers.PATTERN).findall
+        elif steps == ["NFC", "Replace", "Lowercase"] and [s.get("type") for s in splits] == ["Split", "ByteLevel"]:
+            self.cut, self.pieces = cut_words, regex.compile(splits[0]["pattern"]["Regex"]).findall
 
     def __missing__(self, chunk: str) -> bytes:
-        if self.cut is cut_byte_level:
-            text = chunk[1:] if chunk[:1] == "\0" else chunk if chunk[:1] == "\n" else " " + chunk
-        else:
+        found = self.older.pop(chunk, None)
+        if found is None:
             text = chunk
-        found = self.whole(text)
+            if self.cut is cut_byte_level:
+                text = chunk[1:] if chunk[:1] == "\0" else chunk if chunk[:1] == "\n" else " " + chunk
+            pieces, model = [text] if chunk.isalpha() else self.pieces(text), self.tokenizer.model
+            found = little_endian([t.id for piece in pieces for t in model.tokenize(visible(piece))])
         if len(chunk) <= 64:
             self[chunk] = found
         return found
 
-    def whole(self, text: str) -> bytes:
-        return little_endian(self.tokenizer.encode(text, add_special_tokens=False).ids)
-
     def encode(self, text: str | None) -> bytes:
         """Packed ids of one text; a null text counts as empty."""
         chunks = self.cut(text or "") if self.cut else None
         if chunks is None:
-            return self.whole(text or "")
+            return little_endian(self.tokenizer.encode(text or "", add_special_tokens=False).ids)
         if len(self) > KEPT_CHUNKS:
+            self.older = dict(self)
             self.clear()
         return b"".join(map(self.__getitem__, chunks))
 
@@ -111,3 +134,19 @@ def encoder(path: str) -> ChunkEncoder:
     if path not in _encoders:
         _encoders[path] = ChunkEncoder(path)
     return _encoders[path]
+
+
+def tokenize(docs: DataFrame, path: str, end_id: int | None = None) -> DataFrame:
+    """doc_id and ids (binary, little-endian unsigned 32-bit) of each document, with an end id if one is named."""
+    tail = b"" if end_id is None else little_endian([end_id])
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        encode = encoder(path).encode
+        ids = [encode(t) + tail for t in batch.column(1).to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary())], ["doc_id", "ids"])
+
+    return arrow_map(docs.select("doc_id", whole_text().alias("text")), run, f"doc_id {_type(docs)}, ids binary")
+
+
+def _type(docs: DataFrame) -> str:
+    return docs.schema["doc_id"].dataType.simpleString()
