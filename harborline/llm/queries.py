@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from harborline.llm import bpe, huffman, packing, quality_rules
+from harborline.llm import bpe, huffman, packing, quality_rules, toxicity
 from harborline.llm.common import documents, scratch_path, stage_packed
 from harborline.llm.tokens import WORD_VOCABULARY, tokenize
 
@@ -47,11 +47,21 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score(docs, model).select(
+        "doc_id", (toxicity.id_check() % 3 == 1).alias("held_out"), "score",
+        F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_bpe": op2_bpe,
     "op7_quality_rules": op7_quality_rules,
     "op8_token_files": op8_token_files,
+    "op10_toxicity": op10_toxicity,
 }
 
 
