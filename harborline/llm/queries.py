@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from harborline.llm import bpe, huffman, packing, quality_rules, toxicity
+from harborline.llm import bpe, huffman, packing, pii, quality_rules, toxicity
 from harborline.llm.common import documents, scratch_path, stage_packed
 from harborline.llm.tokens import WORD_VOCABULARY, tokenize
 
@@ -47,6 +47,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.spans(documents(spark, sf_dir)).withColumn("n_found", F.size("found").cast("bigint"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op7_quality_rules": op7_quality_rules,
     "op8_token_files": op8_token_files,
+    "op9_pii": op9_pii,
     "op10_toxicity": op10_toxicity,
 }
 
