@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from harborline.llm import bpe, huffman, packing, pii, quality_rules, toxicity
-from harborline.llm.common import documents, scratch_path, stage_packed
+from harborline.llm import bpe, fingerprints, huffman, packing, pii, quality_rules, sharding, toxicity
+from harborline.llm.common import documents, scratch_path, stage_packed, whole_text
 from harborline.llm.tokens import WORD_VOCABULARY, tokenize
 
 
@@ -28,6 +28,24 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sharded = sharding.shard(documents(spark, sf_dir), shards=8)
+    return sharded.select(
+        "doc_id", sharding.text_size().alias("size"), F.crc32(whole_text()).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fingerprints.edited_fingerprints(documents(spark, sf_dir))
+    own, edited, after = F.col("sketch"), F.col("edited_sketch"), F.col("next_sketch")
+    return rows.select(
+        "doc_id", F.col("n_chars").cast("bigint").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"),
+        fingerprints.fingerprint(own).alias("fingerprint"), fingerprints.fingerprint(edited).alias("edited_fingerprint"),
+        fingerprints.likeness(own, edited).alias("near_edited"), fingerprints.likeness(own, after).alias("near_next"),
+    )
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = stage_packed(tokenize(documents(spark, sf_dir), WORD_VOCABULARY, end_id=1), "ids")
     path = scratch_path(spark, "token-files")
@@ -63,6 +81,8 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_bpe": op2_bpe,
+    "op3_sharding": op3_sharding,
+    "op4_fingerprints": op4_fingerprints,
     "op7_quality_rules": op7_quality_rules,
     "op8_token_files": op8_token_files,
     "op9_pii": op9_pii,
