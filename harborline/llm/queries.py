@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from harborline.llm import bpe, fingerprints, huffman, packing, pii, quality_rules, sharding, toxicity
+from harborline.llm import bpe, fingerprints, huffman, near_duplicates, packing, pii, quality_rules, sharding, toxicity
 from harborline.llm.common import documents, scratch_path, stage_packed, whole_text
 from harborline.llm.tokens import WORD_VOCABULARY, tokenize
 
@@ -46,6 +46,10 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.classes(documents(spark, sf_dir)).drop("h1", "h2")
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = stage_packed(tokenize(documents(spark, sf_dir), WORD_VOCABULARY, end_id=1), "ids")
     path = scratch_path(spark, "token-files")
@@ -83,6 +87,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_sharding": op3_sharding,
     "op4_fingerprints": op4_fingerprints,
+    "op5_near_duplicates": op5_near_duplicates,
     "op7_quality_rules": op7_quality_rules,
     "op8_token_files": op8_token_files,
     "op9_pii": op9_pii,
