@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from harborline.llm import bpe, fingerprints, huffman, near_duplicates, packing, pii, quality_rules, sharding, toxicity
+from harborline.llm import bpe, fingerprints, huffman, language_model, near_duplicates, packing, pii, quality_rules, sharding, toxicity
 from harborline.llm.common import documents, scratch_path, stage_packed, whole_text
 from harborline.llm.tokens import WORD_VOCABULARY, tokenize
 
@@ -50,6 +50,11 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates.classes(documents(spark, sf_dir)).drop("h1", "h2")
 
 
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    number = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    return language_model.scores(documents(spark, sf_dir), number % 7 == 2)
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = stage_packed(tokenize(documents(spark, sf_dir), WORD_VOCABULARY, end_id=1), "ids")
     path = scratch_path(spark, "token-files")
@@ -88,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_sharding": op3_sharding,
     "op4_fingerprints": op4_fingerprints,
     "op5_near_duplicates": op5_near_duplicates,
+    "op6_language_model": op6_language_model,
     "op7_quality_rules": op7_quality_rules,
     "op8_token_files": op8_token_files,
     "op9_pii": op9_pii,
