@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -18,8 +19,15 @@ ARROW_ROWS = 500
 SPACES = r"[\x20\x09-\x0D]"
 
 
+# Python workers import this package; a worker started elsewhere needs to know where it is.
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
 def prepare(spark: SparkSession) -> SparkSession:
     apply_settings(spark)
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, *paths]))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     return spark
 

@@ -183,12 +183,12 @@ def _pairs(left: DataFrame, right: DataFrame, on: str, differ: str) -> DataFrame
 def _named(rows: DataFrame, *more: str) -> DataFrame:
     """doc_id, h1 and h2 under names that meet no column of a table of documents."""
     return rows.select(
-        F.col("doc_id").alias("_near_id"), F.col("h1").alias("_near_h1"), F.col("h2").alias("_near_h2"), *more
+        F.col("doc_id").alias("_harborline_id"), F.col("h1").alias("_harborline_h1"), F.col("h2").alias("_harborline_h2"), *more
     )
 
 
 def _same(h1: Column, h2: Column) -> Column:
-    return (h1 == F.col("_near_h1")) & (h2 == F.col("_near_h2")) & F.col("doc_id").eqNullSafe(F.col("_near_id"))
+    return (h1 == F.col("_harborline_h1")) & (h2 == F.col("_harborline_h2")) & F.col("doc_id").eqNullSafe(F.col("_harborline_id"))
 
 
 def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -280,10 +280,10 @@ def classes(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """One document of each class, with all its columns: the one with the smallest doc_id."""
-    rows = classes(docs).groupBy("doc_id", "h1", "h2").agg(F.max("kept").alias("kept"), F.count("*").alias("_near_times"))
-    winners = stage(_named(rows.where("kept"), "_near_times"), "winners")
+    rows = classes(docs).groupBy("doc_id", "h1", "h2").agg(F.max("kept").alias("kept"), F.count("*").alias("_harborline_times"))
+    winners = stage(_named(rows.where("kept"), "_harborline_times"), "winners")
     kept = docs.join(winners, _same(*_key()))
-    if winners.where("_near_times > 1").isEmpty():
+    if winners.where("_harborline_times > 1").isEmpty():
         return kept.select(*docs.columns)
-    repeated = kept.where("_near_times > 1").dropDuplicates(["_near_id", "_near_h1", "_near_h2"])
-    return kept.where("_near_times = 1").union(repeated).select(*docs.columns)
+    repeated = kept.where("_harborline_times > 1").dropDuplicates(["_harborline_id", "_harborline_h1", "_harborline_h2"])
+    return kept.where("_harborline_times = 1").union(repeated).select(*docs.columns)

@@ -66,7 +66,7 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     measured = quality_rules.measure(documents(spark, sf_dir).select("doc_id", "text"))
-    m = F.col("_measures")
+    m = F.col(quality_rules.MEASURES)
     base = (m["n_words"] < 50) | (100 * m["n_repeat_words"] > 50 * m["n_words"])
     return measured.select(
         "doc_id", *[m[n].alias(n) for n in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],

@@ -90,23 +90,23 @@ def shard(docs: DataFrame, shards: int, dims: dict[str, Column] | None = None) -
 
     plain = docs.drop("shard", "slot", "curve", "cells")
     keyed = plain.withColumn("cells", F.struct(*[c.alias(n) for n, c in dims.items()]))
-    keyed = keyed.withColumn("curve", index("cells")).withColumn("_tie", F.xxhash64(whole_text()))
-    order = ("curve", "_tie", "doc_id")
+    keyed = keyed.withColumn("curve", index("cells")).withColumn("_harborline_tie", F.xxhash64(whole_text()))
+    order = ("curve", "_harborline_tie", "doc_id")
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    laid = keyed.repartitionByRange(width, *order).sortWithinPartitions(*order).drop("_tie")
+    laid = keyed.repartitionByRange(width, *order).sortWithinPartitions(*order).drop("_harborline_tie")
     # The row number inside a partition stands in the lower 33 bits.
     at = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))
-    laid = stage(laid.withColumns({"_part": F.spark_partition_id(), "_at": at}), "curve")
-    sizes = sorted((r["_part"], r["n"]) for r in laid.groupBy("_part").agg(F.count("*").alias("n")).collect())
+    laid = stage(laid.withColumns({"_harborline_part": F.spark_partition_id(), "_harborline_at": at}), "curve")
+    sizes = sorted((r["_harborline_part"], r["n"]) for r in laid.groupBy("_harborline_part").agg(F.count("*").alias("n")).collect())
     starts = np.cumsum([0, *(n for _, n in sizes)]).tolist()
     total = starts[-1]
     # One row for each written partition.
-    offsets = spark.createDataFrame([(p, s) for (p, _), s in zip(sizes, starts)], "_part int, _start bigint")
-    rank = F.col("_start") + F.col("_at")
-    which = F.expr(f"int((_start + _at) * {shards}L div {max(total, 1)}L)")
-    placed = laid.join(F.broadcast(offsets), "_part").withColumn("shard", which)
+    offsets = spark.createDataFrame([(p, s) for (p, _), s in zip(sizes, starts)], "_harborline_part int, _harborline_start bigint")
+    rank = F.col("_harborline_start") + F.col("_harborline_at")
+    which = F.expr(f"int((_harborline_start + _harborline_at) * {shards}L div {max(total, 1)}L)")
+    placed = laid.join(F.broadcast(offsets), "_harborline_part").withColumn("shard", which)
     first = F.expr(f"(bigint(shard) * {total}L + {shards - 1}L) div {shards}L")
-    return placed.withColumn("slot", rank - first).drop("_part", "_at", "_start")
+    return placed.withColumn("slot", rank - first).drop("_harborline_part", "_harborline_at", "_harborline_start")
 
 
 def write_shards(sharded: DataFrame, path: str) -> None:
