@@ -38,7 +38,8 @@ THRESHOLD = 0.7
 
 TOXIC_ROWS = 2000
 CLEAN_ROWS = 4000
-SAMPLE_CHARS = 50_000
+SAMPLE_CHARS = 20_000
+AT_ONCE = 20_000
 
 ROUNDS = 8
 EPOCHS = 3
@@ -141,26 +142,32 @@ def _spans(starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
 
 def train(texts: list[str], labels: list[int], seed: int = 1) -> Model:
     """Fit on documents with labels 0 and 1."""
-    split = [words_of(t) for t in texts]
-    kept = [i for i, found in enumerate(split) if found]
-    y = np.array([labels[i] for i in kept], np.int64)
     share = float(np.mean(labels)) if labels else 0.0
-    if len(set(y.tolist())) < 2:
+    number: dict[str, int] = {}
+    streams, kept = [], []
+    for text, label in zip(texts, labels):
+        ids = np.array([number.setdefault(w, len(number)) for w in words_of(text)], np.int32)
+        if len(ids):
+            streams.append(ids[np.concatenate([[True], ids[1:] != ids[:-1]])])
+            kept.append(label)
+    y = np.array(kept, np.int64)
+    if len(set(kept)) < 2:
         return Model(np.zeros(BUCKETS, np.float32), 0.0, share)
     rng = np.random.default_rng(seed)
-    number: dict[str, int] = {}
-    streams = [np.array([number.setdefault(w, len(number)) for w in split[i]], np.int64) for i in kept]
-    streams = [s[np.concatenate([[True], s[1:] != s[:-1]])] for s in streams]
-    stream = np.concatenate(streams)
-    flat, of_word = grams(list(number))
-    flat, sizes = flat[np.argsort(of_word, kind="stable")], np.bincount(of_word)
+    stream, flat, sizes = np.concatenate(streams), [], []
+    known = list(number)
+    for at in range(0, len(known), AT_ONCE):
+        found, of_word = grams(known[at : at + AT_ONCE])
+        flat.append(found[np.argsort(of_word, kind="stable")].astype(np.int32))
+        sizes.append(np.bincount(of_word))
+    flat, sizes = np.concatenate(flat), np.concatenate(sizes)
     gram_ends = np.cumsum(sizes)
     gram_starts = gram_ends - sizes
     first = np.cumsum([0, *map(len, streams)])
     cuts = [bounds(len(s)) for s in streams]
     starts = np.concatenate([s + a for (s, _), a in zip(cuts, first)])
     ends = np.concatenate([e + a for (_, e), a in zip(cuts, first)])
-    owner = np.repeat(np.arange(len(kept)), [len(s) for s, _ in cuts])
+    owner = np.repeat(np.arange(len(y)), [len(s) for s, _ in cuts])
     begin = np.cumsum([0, *(len(s) for s, _ in cuts)])[:-1]
 
     table = rng.uniform(-1, 1, (BUCKETS, SIZE)).astype(np.float32) / SIZE
