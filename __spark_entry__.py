@@ -15,7 +15,7 @@ import oracle_views  # noqa: E402
 from harborline.adapters import PAGE_RECORDS, Tables, feature_bodies, indicator_bodies  # noqa: E402
 from harborline.functions.columns import lenient_double  # noqa: E402
 from harborline.operators import calls, connections, quality as q, traffic, upserts  # noqa: E402
-from harborline.operators.ranking import rank_in_slices, rank_min_desc  # noqa: E402
+from harborline.operators.ranking import rank_min_desc, rank_within  # noqa: E402
 from harborline.plans import assets as published, catalog  # noqa: E402
 from harborline.plans.jobs import landed_inputs, run_jobs  # noqa: E402
 from harborline.session import apply_settings, scratch_path, spread, stage  # noqa: E402
@@ -35,6 +35,10 @@ SHAPES = {
 }
 
 
+# Years that the test orders have figures for.
+SUMMARY_YEARS = (1996, 2000)
+
+
 # ---- country traffic -----------------------------------------------------------
 
 
@@ -55,18 +59,19 @@ def _region_totals(t: Tables) -> DataFrame:
 
 
 def _summary(t: Tables) -> DataFrame:
-    found = traffic.country_summary(_raw_traffic(t), base_year=1996, compare_year=2000)
-    return found.select(
-        "country_iso3", "region_code", "latest_year", "latest_teu",
-        F.col("teu_2000").alias("teu_cmp"), F.col("teu_1996").alias("teu_base"),
-        F.col("cagr_1996_2000").alias("cagr"), F.col("rank_2000").alias("rank_cmp"),
-    )
+    return _named_summary(traffic.country_summary(_raw_traffic(t), *SUMMARY_YEARS))
+
+
+def _named_summary(found: DataFrame) -> DataFrame:
+    base, compare = SUMMARY_YEARS
+    names = {
+        f"teu_{compare}": "teu_cmp", f"teu_{base}": "teu_base", f"cagr_{base}_{compare}": "cagr", f"rank_{compare}": "rank_cmp"
+    }
+    return found.select(*[F.col(c).alias(names.get(c, c)) for c in found.columns])
 
 
 def _country_dim_derive(t: Tables) -> DataFrame:
-    return _countries(t).select(
-        "country_iso3", "country_name", "region_code", "region_name", "longitude", "is_aggregate"
-    )
+    return _countries(t)
 
 
 def _dim_stats(t: Tables) -> DataFrame:
@@ -98,8 +103,7 @@ def _rank_hot_groups(t: Tables) -> DataFrame:
     sums = t.table("lineitem").groupBy(F.col("l_returnflag").alias("flag"), F.col("l_orderkey").alias("orderkey")).agg(
         F.sum(F.col("l_quantity").cast("decimal(18,2)")).cast("bigint").alias("quantity")
     )
-    width = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
-    return rank_in_slices(stage(sums, "sums"), "flag", "quantity", "orderkey", "place", slices=width)
+    return rank_within(stage(sums, "sums"), "flag", "quantity", "orderkey", "place")
 
 
 # ---- calls and connections -----------------------------------------------------
@@ -110,27 +114,23 @@ def _calls_max_year(t: Tables) -> DataFrame:
 
 
 def _calls_rollup(t: Tables) -> DataFrame:
-    # Rolled up once and stored by year; the newest years are then a partition-pruned read.
-    return calls.latest_years(t.stored_calls(), "calls_year")
+    return calls.roll_up_months(calls.latest_years(t.daily_calls(), "year"))
 
 
 def _union_years(t: Tables) -> DataFrame:
-    stored = t.stored_calls().select("portid", "calls_year", "calls_month", "calls_total")
-    return calls.concat_years([stored.where(F.col("calls_year") == year) for year in (2000, 2001)])
+    def one(year: int) -> DataFrame:
+        monthly = calls.roll_up_months(t.daily_calls().where(F.col("year") == year))
+        return monthly.select("portid", "calls_year", "calls_month", "calls_total")
+
+    return calls.concat_years([one(year) for year in (2000, 2001)])
 
 
 def _mart_port_calls(t: Tables) -> DataFrame:
     return calls.port_calls_mart(t.calls_monthly(), t.ports())
 
 
-CONNECTION_RESULT = (
-    "from_portid", "from_portname", "to_portid", "to_portname", "to_continent",
-    "average_transit_days", "daily_capacity_at_risk", "is_domestic", "rank_from_port", "rank_to_port",
-)
-
-
 def _mart_connections(t: Tables) -> DataFrame:
-    return connections.connection_mart(t.stored_connections(), t.ports()).select(*CONNECTION_RESULT)
+    return connections.connection_mart(t.stored_connections(), t.ports())
 
 
 def _row_parity(t: Tables) -> DataFrame:
@@ -141,8 +141,8 @@ def _row_parity(t: Tables) -> DataFrame:
 # ---- quality -------------------------------------------------------------------
 
 
-def _checked(df: DataFrame, name: str, checks) -> DataFrame:
-    return q.run_checks(stage(df, name), name, checks, RUN_AT).select("check_name", "passed", "bad")
+def _checked(df: DataFrame, name: str, checks, *more: str) -> DataFrame:
+    return q.run_checks(stage(df, name), name, checks, RUN_AT).select("check_name", "passed", "bad", *more)
 
 
 def _suite(build: Callable[[Tables], DataFrame], key: str) -> Callable[[Tables], DataFrame]:
@@ -161,6 +161,20 @@ def _summary_checks(t: Tables) -> DataFrame:
     return _checked(found, "summary", suite)
 
 
+def _checks_with_a_crash(t: Tables) -> DataFrame:
+    """A check that crashes while it runs fails alone; the others keep their results."""
+    suite = (
+        q.HasRows(),
+        q.CountOf("port_name_is_a_number", "CAST(portname AS INT) < 0", "below zero"),
+        q.UniqueKey("one_port_a_country", ("country",)),
+        q.NoNulls("key_fields_present", ("portid", "portname")),
+        q.NonNegative("portid_non_negative", "portid"),
+    )
+    found = _checked(t.ports(), "ports", suite, "detail")
+    # What follows the colon is Spark's own error text.
+    return found.withColumn("detail", F.regexp_replace("detail", "(?s)^(check crashed):.*", "$1"))
+
+
 def _duplicates(t: Tables) -> DataFrame:
     return q.duplicate_rows(t.table("lineitem"), ("l_orderkey", "l_linenumber"))
 
@@ -187,18 +201,10 @@ def _store(t: Tables) -> TableStore:
 
 def _upsert_calls(t: Tables) -> DataFrame:
     """Calls by ship date are stored; the newest two years, counted by order date, replace theirs."""
-    columns = ("portid", "calls_year", "calls_month", "calls_total")
-    store, keys = _store(t), calls.CALL_KEYS
-    store.replace(published.CALLS, t.calls_monthly().select(*columns), ("calls_year",))
-    lines = t.table("lineitem").select("l_orderkey", F.col("l_suppkey").alias("portid"))
-    orders = t.table("orders").select(
-        "o_orderkey", F.year("o_orderdate").alias("calls_year"), F.month("o_orderdate").alias("calls_month")
-    )
-    restated = lines.join(orders, lines.l_orderkey == orders.o_orderkey).groupBy(*keys).agg(
-        F.count("*").alias("calls_total")
-    )
-    batch = calls.latest_years(stage(restated, "restated", ("calls_year",)), "calls_year")
-    return store.upsert(published.CALLS, batch.select(*columns), keys, "calls_year").select(*columns)
+    store = _store(t)
+    stored = store.replace(published.CALLS, t.calls_monthly(), ("calls_year",))
+    batch = calls.roll_up_months(calls.latest_years(t.daily_calls("o_orderdate"), "year"))
+    return store.upsert(published.CALLS, batch.select(*stored.columns), calls.CALL_KEYS, "calls_year")
 
 
 def _upsert_last_wins(t: Tables) -> DataFrame:
@@ -212,25 +218,25 @@ def _upsert_last_wins(t: Tables) -> DataFrame:
 
 
 def _partial_upsert(t: Tables) -> DataFrame:
-    def by_order(flag: str, description) -> DataFrame:
-        lines = t.table("lineitem").where(F.col("l_returnflag") == flag)
+    def by_order(other: str, description) -> DataFrame:
+        lines = t.table("lineitem").where(F.col("l_returnflag") != other)
         return lines.groupBy(F.col("l_orderkey").alias("asset_key")).agg(
             description.alias("description"), F.count("*").alias("last_row_count")
         )
 
-    known = by_order("R", F.max(F.lit(None).cast("string")))
-    return upserts.partial_upsert(known, by_order("A", F.max("l_linestatus")), ("asset_key",), ("last_row_count",))
+    known = by_order("A", F.max(F.lit(None).cast("string")))
+    return upserts.partial_upsert(known, by_order("R", F.max("l_linestatus")), ("asset_key",), ("last_row_count",))
 
 
 def _edges(t: Tables) -> DataFrame:
-    def edges(flag: str) -> DataFrame:
-        lines = t.table("lineitem").where(F.col("l_returnflag") == flag)
+    def edges(other: str) -> DataFrame:
+        lines = t.table("lineitem").where(F.col("l_returnflag") != other)
         return lines.select(
             F.col("l_suppkey").alias("from_asset"), F.col("l_partkey").alias("to_asset"),
             F.lit(catalog.FEEDS).alias("edge_type"),
         )
 
-    return upserts.insert_ignore(edges("R"), edges("A"))
+    return upserts.insert_ignore(edges("A"), edges("R"))
 
 
 def _sink_replace(t: Tables) -> DataFrame:
@@ -276,12 +282,18 @@ def _feature_flatten(t: Tables) -> DataFrame:
 
 
 def _page_audit(t: Tables) -> DataFrame:
-    bodies = feature_bodies(t.port_records(), F.col("portid") % 7, F.floor(F.col("portid") / (7 * PAGE_RECORDS)))
-    return landed.audit_feature_pages(bodies).select("page", "records").where("records > 0")
+    """Suppliers on pages of their own, but for pages that are missing, landed twice, without a number or cut off."""
+    numbered = F.when(F.col("portid") % 11 != 6, F.col("portid"))
+    bodies = feature_bodies(t.port_records(), numbered).where("page IS NULL OR page % 5 <> 3")
+    twice = bodies.where("page % 7 = 1").withColumn("source", F.concat("source", F.lit("-again")))
+    return landed.audit_feature_pages(bodies.union(twice))
 
 
 def _page_audit_indicator(t: Tables) -> DataFrame:
-    return landed.audit_indicator_pages(_traffic_bodies(t)).select("page", "bodies", "records")
+    """Traffic pages of which every fourth is not landed, and every sixth twice."""
+    bodies = _traffic_bodies(t)
+    kept = bodies.where("page % 4 <> 2 OR page = 1")
+    return landed.audit_indicator_pages(kept.union(kept.where("page % 6 = 1")))
 
 
 def _event_bodies(t: Tables) -> DataFrame:
@@ -334,7 +346,8 @@ def _run(t: Tables, *keys: str) -> TableStore:
     if published.CALLS in keys:
         spread(t.daily_calls(), ("year",)).write.partitionBy("year").parquet(f"{folder}/daily_calls")
     inputs = landed_inputs(t.spark, folder, store, packed=True, shapes=SHAPES)
-    chosen = [a for a in published.ASSETS if a.key in keys]
+    chosen = [published.summary_asset(*SUMMARY_YEARS) if a.key == published.SUMMARY else a for a in published.ASSETS]
+    chosen = [a for a in chosen if a.key in keys]
     run_jobs(store, inputs, catalog.Run(at=RUN_AT, pipeline_uuid="spark_entry"), chosen)
     return store
 
@@ -376,7 +389,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "country_dim_stats": _dim_stats,
     "clean_traffic": _traffic,
     "clean_traffic_stats": _stats,
-    "raw_traffic_join": lambda t: _raw_traffic(t).drop("latitude"),
+    "raw_traffic_join": _raw_traffic,
     "region_totals": _region_totals,
     "country_summary": _summary,
     "country_summary_stats": _summary_stats,
@@ -395,6 +408,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "quality_ports": _suite(Tables.ports, published.PORTS),
     "quality_calls": _suite(Tables.calls_monthly, published.CALLS),
     "quality_connections": _suite(Tables.connections, published.CONNECTIONS),
+    "quality_with_a_crash": _checks_with_a_crash,
     "quality_duplicates": _duplicates,
     "key_violations": _key_violations,
     "quality_null_counts": _null_counts,
@@ -414,8 +428,10 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "sink_reload": _sink_reload,
     "sink_csv": _sink_csv,
     "job_region_totals": lambda t: _run(t, *TRAFFIC_JOBS).read(published.REGION_TOTALS),
+    "job_country_summary": lambda t: _named_summary(_run(t, *TRAFFIC_JOBS, published.SUMMARY).read(published.SUMMARY)),
+    "job_edges": lambda t: _run(t, *TRAFFIC_JOBS, published.SUMMARY).read(catalog.EDGE_TABLE),
     "job_port_calls": lambda t: _run(t, *CALLS_JOBS).read(published.CALLS_MART),
-    "job_connections": lambda t: _run(t, *CONNECTION_JOBS).read(published.CONNECTION_MART).select(*CONNECTION_RESULT),
+    "job_connections": lambda t: _run(t, *CONNECTION_JOBS).read(published.CONNECTION_MART),
     "job_asset_rows": _job_asset_rows,
     "job_check_results": _job_check_results,
     "job_field_profile": _job_field_profile,

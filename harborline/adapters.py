@@ -88,11 +88,14 @@ class Tables:
             "portid", "portname", "country", F.col("ISO3").alias("country_iso3"), "continent"
         )
 
-    def daily_calls(self) -> DataFrame:
-        lines = self.table("lineitem").selectExpr(
-            "l_orderkey AS o_orderkey", "l_suppkey AS portid", "year(l_shipdate) AS year", "month(l_shipdate) AS month"
+    def daily_calls(self, day: str = "l_shipdate") -> DataFrame:
+        """One call for each order line, on its ship date or another date of the line or order."""
+        lines, orders = self.table("lineitem"), self.table("orders")
+        dated = [f"year({day}) AS year", f"month({day}) AS month"]
+        lines = lines.selectExpr(
+            "l_orderkey AS o_orderkey", "l_suppkey AS portid", *(dated if day in lines.columns else [])
         )
-        orders = self.table("orders").select("o_orderkey", "o_orderpriority")
+        orders = orders.selectExpr("o_orderkey", "o_orderpriority", *(dated if day in orders.columns else []))
         flags = [
             f"CASE WHEN o_orderpriority = '{p}' THEN 1 ELSE 0 END AS portcalls_{t}"
             for t, p in zip(VESSEL_TYPES, PRIORITIES)

@@ -20,8 +20,8 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 
 def lenient_double(text: Column) -> Column:
-    """Number out of free text; anything unreadable is NULL."""
-    trimmed = F.lower(F.trim(text))
+    """Number out of free text, white space around it allowed; anything unreadable is NULL."""
+    trimmed = F.lower(F.trim(text, F.lit(" \t\n\r\x0b\x0c")))
     return F.when(trimmed.rlike(NUMBER_SHAPE), trimmed.try_cast("double"))
 
 

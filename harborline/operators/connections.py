@@ -4,20 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from harborline.operators.ranking import MAX_GROUP_ROWS, rank_within
+from harborline.operators.ranking import rank_within
 
 PAIR = ("from_portid", "to_portid")
 
 
-def connection_mart(connections: DataFrame, ports: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def connection_mart(connections: DataFrame, ports: DataFrame) -> DataFrame:
     """Port pairs ranked by capacity at each end, with the far continent and a domestic flag.
 
-    The flag is NULL where either country is unknown. Give a stored table: the group
-    sizes are counted before the windows are chosen.
+    The flag is NULL where either country is unknown.
     """
     capacity = "daily_capacity_at_risk"
-    ranked = rank_within(connections, "from_portid", capacity, "to_portid", "rank_from_port", max_group_rows)
-    ranked = rank_within(ranked, "to_portid", capacity, "from_portid", "rank_to_port", max_group_rows)
+    ranked = rank_within(connections, "from_portid", capacity, "to_portid", "rank_from_port")
+    ranked = rank_within(ranked, "to_portid", capacity, "from_portid", "rank_to_port")
     far = ports.select(F.col("portid").alias("to_portid"), F.col("continent").alias("to_continent"))
     return ranked.join(far, "to_portid", "left").select(
         "from_portid", "from_portname", "from_country", "from_iso3",

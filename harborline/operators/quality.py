@@ -107,12 +107,6 @@ def _outcome(name: str, passed: Column, bad: Column, detail: Column) -> Column:
     )
 
 
-def _failed(name: str, exc: Exception) -> Column:
-    first_line = (str(exc).splitlines() or [type(exc).__name__])[0]
-    text = F.lit(f"check crashed: {first_line}")
-    return _outcome(name, F.lit(False), F.lit(None), text)
-
-
 def _comparable(df: DataFrame, check) -> None:
     """Raise, before anything runs, for a check the columns cannot answer."""
     if isinstance(check, UniqueKey):
@@ -128,21 +122,58 @@ def run_checks(df: DataFrame, asset_key: str, checks, run_ts: datetime) -> DataF
     """One result row per check: passed, number of offending rows, detail.
 
     Expects a stored or staged table, which it reads once for all plain checks and
-    once, keys only, per key set. Give every check a name of its own.
+    once, keys only, per key set. The results are computed here and now, a row for each
+    check; if the common pass crashes, the checks run one by one, and those that crash
+    are recorded as failed. Every check needs a name of its own.
     """
+    names = [c.name for c in checks]
+    if len(set(names)) < len(names):
+        raise ValueError(f"{asset_key}: check names repeat: {', '.join(sorted(n for n in set(names) if names.count(n) > 1))}")
+    schema = "check_name string, passed boolean, bad bigint, detail string"
+    spark, custom = df.sparkSession, [c for c in checks if isinstance(c, Custom)]
+    plain = [c for c in checks if not isinstance(c, Custom)]
+    found = [_run_custom(df, c) for c in custom]
+    try:
+        found += _measured(df, plain).collect() if plain else []
+    except Exception:
+        for check in plain:
+            try:
+                found += _measured(df, [check]).collect()
+            except Exception as exc:  # a crash at run time is a failed check too
+                found.append(_crashed(check.name, exc))
+    order = {name: at for at, name in enumerate(names)}
+    rows = sorted((tuple(r) for r in found), key=lambda r: order[r[0]])
+    return spark.createDataFrame(rows, schema).select(
+        F.lit(asset_key).alias("asset_key"), "check_name", "passed", "bad", "detail",
+        F.lit(run_ts).cast("timestamp").alias("checked_at"),
+    )
+
+
+def _crashed(name: str, exc: Exception) -> tuple:
+    first_line = (str(exc).splitlines() or [type(exc).__name__])[0]
+    return name, False, None, f"check crashed: {first_line}"
+
+
+def _run_custom(df: DataFrame, check) -> tuple:
+    try:
+        passed, detail = check.run(df)
+        return check.name, bool(passed), None, detail
+    except Exception as exc:  # any crash is a failed check, never a silent pass
+        return _crashed(check.name, exc)
+
+
+def _measured(df: DataFrame, checks) -> DataFrame:
+    """The results of checks on columns, as one plan."""
     rows: list[Column] = []
     keyed: list[UniqueKey] = []
     measures: list[Column] = []
     pending = []
     for check in checks:
         try:
-            if isinstance(check, Custom):
-                passed, detail = check.run(df)
-                rows.append(_outcome(check.name, F.lit(bool(passed)), F.lit(None), F.lit(detail)))
-                continue
             _comparable(df, check)
         except Exception as exc:  # any crash is a failed check, never a silent pass
-            rows.append(_failed(check.name, exc))
+            name, passed, bad, detail = _crashed(check.name, exc)
+            rows.append(_outcome(name, F.lit(passed), F.lit(bad), F.lit(detail)))
             continue
         if isinstance(check, UniqueKey):
             keyed.append(check)
@@ -163,11 +194,7 @@ def run_checks(df: DataFrame, asset_key: str, checks, run_ts: datetime) -> DataF
                 F.inline(F.array(_outcome(check.name, dupes == 0, dupes, detail)))
             )
         )
-    found = reduce(lambda a, b: a.unionByName(b), parts)
-    return found.select(
-        F.lit(asset_key).alias("asset_key"), "check_name", "passed", "bad", "detail",
-        F.lit(run_ts).cast("timestamp").alias("checked_at"),
-    )
+    return reduce(lambda a, b: a.unionByName(b), parts)
 
 
 def row_parity(mart: DataFrame, raw: DataFrame) -> DataFrame:

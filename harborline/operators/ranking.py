@@ -2,61 +2,39 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import DataFrame, Window, functions as F
 
 from harborline.session import stage
 
-# Largest group one task numbers by itself.
-MAX_GROUP_ROWS = 5_000_000
-
 # A BIGINT is read as three digits of 22, 21 and 21 bits, which bounds every
 # window below by 2**22 rows whatever the values are.
 DIGIT_BITS = 21
 
+# monotonically_increasing_id() holds the row's place in its partition in the lower bits.
+PLACE_BITS = 33
 
-def rank_within(
-    df: DataFrame, by: str, value: str, tiebreak: str, out: str, max_group_rows: int = MAX_GROUP_ROWS
-) -> DataFrame:
+
+def rank_within(df: DataFrame, by: str, value: str, tiebreak: str, out: str) -> DataFrame:
     """Row number within ``by``, largest value first, NULL values last, ties by ``tiebreak``.
 
-    Group sizes are counted first (one pass over the key column, combined map-side). With
-    every group within bounds this is one window. Otherwise the rows are range-partitioned
-    by group and order, so a hot group spans many slices; each slice is numbered alone and
-    shifted by the number of rows its group has in earlier slices.
+    Rows are range-partitioned and sorted by group and order, so a hot group spans many
+    slices and no task holds more than a slice. A row's place in its slice, less the place
+    where its group begins there, plus the rows the group has in earlier slices, is its
+    number. Places are written before use: a recomputed partition cannot change them.
     """
-    sizes = df.groupBy(by).count().agg(F.max("count").alias("largest"), F.sum("count").alias("rows")).first()
-    if (sizes["largest"] or 0) <= max_group_rows:
-        number = F.row_number().over(Window.partitionBy(by).orderBy(*_order(value, tiebreak)))
-        return df.withColumn(out, number.cast("bigint"))
+    order = [F.col(by), F.col(value).desc_nulls_last(), F.col(tiebreak).asc()]
     width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return rank_in_slices(df, by, value, tiebreak, out, max(width, math.ceil(2 * sizes["rows"] / max_group_rows)))
-
-
-def _order(value: str, tiebreak: str) -> list:
-    return [F.col(value).desc_nulls_last(), F.col(tiebreak).asc()]
-
-
-def rank_in_slices(df: DataFrame, by: str, value: str, tiebreak: str, out: str, slices: int) -> DataFrame:
-    """The same numbers as ``rank_within``, with no task holding more than a slice of a group."""
-    order = _order(value, tiebreak)
-    ranged = df.repartitionByRange(slices, F.col(by), *order).withColumn("_slice", F.spark_partition_id())
-    # Slice numbers become data here: a recomputed partition cannot land in another slice.
-    rows = stage(ranged, f"slices-{out}")
-    numbered = rows.withColumn("_at", F.row_number().over(Window.partitionBy(by, "_slice").orderBy(*order)))
-    earlier = Window.partitionBy(by).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = (
-        rows.groupBy(by, "_slice").count()
-        .withColumn("_shift", F.sum("count").over(earlier))
-        .where(F.col("_shift") > 0)
-        .select(F.col(by).alias("_by"), F.col("_slice").alias("_in"), "_shift")
+    place = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    ranged = df.repartitionByRange(width, *order).sortWithinPartitions(*order)
+    rows = stage(ranged.withColumns({"_slice": F.spark_partition_id(), "_place": place}), f"slices-{out}")
+    parts = rows.groupBy(F.col(by).alias("_by"), F.col("_slice").alias("_in")).agg(
+        F.count("*").alias("_n"), F.min("_place").alias("_begins")
     )
-    # A slice continues at most one group, so there are fewer shifts than slices.
-    matches = F.col(by).eqNullSafe(F.col("_by")) & (F.col("_slice") == F.col("_in"))
-    joined = numbered.join(F.broadcast(shifts), matches, "left")
-    rank = F.col("_at") + F.coalesce("_shift", F.lit(0))
-    return joined.select(*df.columns, rank.cast("bigint").alias(out))
+    earlier = Window.partitionBy("_by").orderBy("_in").rowsBetween(Window.unboundedPreceding, -1)
+    shift = F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_begins") + 1
+    shifts = parts.select("_by", "_in", shift.alias("_shift"))
+    joined = rows.join(shifts, F.col(by).eqNullSafe(F.col("_by")) & (F.col("_slice") == F.col("_in")))
+    return joined.select(*df.columns, (F.col("_place") + F.col("_shift")).cast("bigint").alias(out))
 
 
 def rank_min_desc(df: DataFrame, value: str, out: str) -> DataFrame:

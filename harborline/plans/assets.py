@@ -90,8 +90,40 @@ def _calls(inputs: Inputs) -> DataFrame:
     return calls.roll_up_months(calls.latest_years(inputs.daily(), "year"))
 
 
-def _summary(inputs: Inputs) -> DataFrame:
-    return traffic.country_summary(traffic.enrich_traffic(inputs.stored(TRAFFIC), inputs.stored(COUNTRY_DIM)))
+def summary_asset(base_year: int = traffic.BASE_YEAR, compare_year: int = traffic.COMPARE_YEAR) -> Asset:
+    """The country summary for a pair of years."""
+    base, compare, growth = f"teu_{base_year}", f"teu_{compare_year}", f"cagr_{base_year}_{compare_year}"
+
+    def build(inputs: Inputs) -> DataFrame:
+        figures = traffic.enrich_traffic(inputs.stored(TRAFFIC), inputs.stored(COUNTRY_DIM))
+        return traffic.country_summary(figures, base_year, compare_year)
+
+    return Asset(
+        key=SUMMARY, build=build, write="replace", keys=("country_iso3",),
+        checks=(
+            q.HasRows(),
+            q.UniqueKey("unique_country", ("country_iso3",)),
+            q.NoNulls("key_fields_present", ("country_iso3", "country_name")),
+            q.NonNegative(f"{compare}_non_negative", compare),
+        ),
+        description="Container traffic of each country: latest, growth and rank",
+        source=DERIVED, source_detail=f"From {TRAFFIC} and {COUNTRY_DIM}", grain="one row per country",
+        upstreams=(TRAFFIC, COUNTRY_DIM),
+        docs={
+            "country_iso3": ("Three-letter code of the country", None),
+            "country_name": ("Name in the newest year with a figure", None),
+            "region_code": ("Region code in that year", None),
+            "region_name": ("Region name in that year", None),
+            "longitude": ("Where the capital lies; NULL if the source text is no number", "degrees"),
+            "latitude": ("Where the capital lies; NULL if the source text is no number", "degrees"),
+            "latest_year": ("Newest year with a figure", "year"),
+            "latest_teu": ("Figure of that year", "TEU"),
+            compare: (f"Figure of {compare_year}, NULL without one", "TEU"),
+            base: (f"Figure of {base_year}, NULL without one", "TEU"),
+            growth: (f"Yearly growth from {base_year} to {compare_year}; NULL where the ratio is undefined", "fraction"),
+            f"rank_{compare_year}": (f"One plus the countries with a larger figure of {compare_year}", None),
+        },
+    )
 
 
 def _region_totals(inputs: Inputs) -> DataFrame:
@@ -184,32 +216,7 @@ ASSETS = (
         description="Vessel calls per port and month by vessel type, summed from the daily layer",
         source=PORT_SERVICE, source_detail="Daily_Ports_Data", grain="one row per port, year and month",
     ),
-    Asset(
-        key=SUMMARY, build=_summary, write="replace", keys=("country_iso3",),
-        checks=(
-            q.HasRows(),
-            q.UniqueKey("unique_country", ("country_iso3",)),
-            q.NoNulls("key_fields_present", ("country_iso3", "country_name")),
-            q.NonNegative("teu_2019_non_negative", "teu_2019"),
-        ),
-        description="Container traffic of each country: latest, growth and rank",
-        source=DERIVED, source_detail=f"From {TRAFFIC} and {COUNTRY_DIM}", grain="one row per country",
-        upstreams=(TRAFFIC, COUNTRY_DIM),
-        docs={
-            "country_iso3": ("Three-letter code of the country", None),
-            "country_name": ("Name to display", None),
-            "region_code": ("Code of the region", None),
-            "region_name": ("Name of the region", None),
-            "longitude": ("Longitude of the capital, not of a port", "degrees"),
-            "latitude": ("Latitude of the capital, not of a port", "degrees"),
-            "latest_year": ("Newest year with a figure", "year"),
-            "latest_teu": ("Figure of that year", "TEU"),
-            "teu_2019": ("Figure of 2019, the last year nearly all countries report", "TEU"),
-            "teu_2010": ("Figure of 2010, where growth is counted from", "TEU"),
-            "cagr_2010_2019": ("Compound yearly growth from 2010 to 2019", "fraction"),
-            "rank_2019": ("Place among all countries by the 2019 figure, 1 is the largest", None),
-        },
-    ),
+    summary_asset(),
     Asset(
         key=REGION_TOTALS, build=_region_totals, write="replace", keys=("region_code", "traffic_year"),
         checks=(

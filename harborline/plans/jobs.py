@@ -6,7 +6,7 @@ from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from harborline.operators.quality import row_parity, run_checks
+from harborline.operators.quality import Custom, row_parity, run_checks
 from harborline.operators.upserts import assert_key
 from harborline.plans import catalog
 from harborline.plans.assets import ASSETS, Asset, Inputs
@@ -65,6 +65,7 @@ def run_jobs(
 
 
 def _run_one(asset: Asset, store: TableStore, inputs: Inputs, run: Run, record: Catalog, enforce: bool) -> None:
+    pages = _landed_checks(asset, inputs)
     built = catalog.with_docs(asset.build(inputs), asset.docs)
     commit = None
     if asset.write == "upsert":
@@ -75,15 +76,13 @@ def _run_one(asset: Asset, store: TableStore, inputs: Inputs, run: Run, record:
         commit = store.prepare(asset.key, content, sort_by=asset.sort_by)
         incoming = store.prepared(commit)
     batch = incoming.drop(*asset.position)
-    if asset.landed or asset.docs:
-        # One pass for both uses; as many rows as the table has columns.
-        fields = catalog.measure_fields(batch, asset.key, asset.docs)
-        measured = fields.collect()
-        _require_landed_fields(asset, measured, inputs)
-        fields = store.spark.createDataFrame(measured, fields.schema).drop("rows", "filled")
+    if asset.docs:
+        # Computed once; as many rows as the table has columns.
+        fields = catalog.profile_fields(batch, asset.key, asset.docs)
+        fields = store.spark.createDataFrame(fields.collect(), fields.schema)
     if asset.enforce_key:
         assert_key(batch, asset.keys, asset.key)
-    results = run_checks(batch, asset.key, asset.checks, run.at)
+    results = run_checks(batch, asset.key, (*pages, *asset.checks), run.at)
     record.add(catalog.CHECK_TABLE, results)
     failed = [r["check_name"] for r in results.where(~F.col("passed")).collect()] if enforce else []
     if failed:
@@ -105,23 +104,32 @@ def _run_one(asset: Asset, store: TableStore, inputs: Inputs, run: Run, record:
 
 
 def _parity_result(asset: Asset, stored: DataFrame, raw: DataFrame, run: Run) -> DataFrame:
-    return row_parity(stored, raw).select(
+    found = row_parity(stored, raw).select(
         F.lit(asset.key).alias("asset_key"), F.lit("every_row_has_a_named_port").alias("check_name"), "passed",
         F.abs(F.col("raw_rows") - F.col("mart_rows")).alias("bad"), "detail",
         F.lit(run.at).cast("timestamp").alias("checked_at"),
     )
+    return stored.sparkSession.createDataFrame(found.collect(), found.schema)
 
 
-def _require_landed_fields(asset: Asset, measured: list, inputs: Inputs) -> None:
-    """A field that no landed record carries is schema drift and stops the job.
+def _landed_checks(asset: Asset, inputs: Inputs) -> tuple[Custom, ...]:
+    """What the landed pages of an asset must hold, before anything is filtered.
 
-    Only a column that came out all NULL can be such a field, so the landed text is
-    looked at again in that case alone.
+    A field that no landed record carries is schema drift and stops the job. Pages that
+    are missing, repeated or cut off are a failed check, and under ``enforce`` a gate.
     """
-    if not asset.landed or all(m["filled"] or not m["rows"] for m in measured):
-        return
+    if not asset.landed:
+        return ()
     shape = "indicator" if asset.landed in ("countries", "traffic") else "features"
-    absent = landed.missing_fields(inputs.bodies(asset.landed), asset.required, shape)
-    names = [r["field"] for r in absent.collect()]
+    bodies = inputs.bodies(asset.landed)
+    names = [r["field"] for r in landed.missing_fields(bodies, asset.required, shape).collect()]
     if names:
         raise ValueError(f"{asset.key}: landed records never carry {', '.join(names)}")
+    audit = landed.audit_indicator_pages if shape == "indicator" else landed.audit_feature_pages
+
+    def complete(_: DataFrame) -> tuple[bool, str]:
+        issues = audit(bodies).where("issue IS NOT NULL").groupBy("issue").agg(F.count("*").alias("pages"))
+        found = [f"{r['issue']}: {r['pages']}" for r in issues.orderBy("issue").collect()]
+        return not found, "; ".join(found) or "all pages are there"
+
+    return (Custom("pages_complete", complete),)

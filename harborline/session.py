@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -63,7 +64,7 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
-    if not spark.sparkContext.master.startswith("local"):
+    if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_folders:

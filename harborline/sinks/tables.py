@@ -30,6 +30,7 @@ class Commit:
 
     path: str
     schema: T.StructType
+    base: str | None = None
 
 
 class TableStore:
@@ -81,24 +82,34 @@ class TableStore:
 
     # ---- writes --------------------------------------------------------------
 
-    def prepare(self, key: str, df: DataFrame, partition_by=(), kind: str = "full", sort_by=()) -> Commit:
+    def _newest(self, key: str) -> str | None:
+        return next(reversed(self._commits(key)), None)
+
+    def prepare(self, key: str, df: DataFrame, partition_by=(), kind: str = "full", sort_by=(), base=None) -> Commit:
         """Write new content next to the current one, not visible yet.
 
-        ``sort_by`` orders each file, so that filters on those columns skip row groups.
+        ``base`` is the commit the content was made from; without, the current one. ``sort_by`` orders each file, so that filters on those columns skip row groups.
         """
+        base = base or self._newest(key)
         numbers = [int(_COMMIT.search(p).group(1)) for p in self._list(f"{self.path(key)}/commit=*")]
         path = f"{self.path(key)}/commit={max(numbers, default=0) + 1:012d}-{kind}-{uuid.uuid4().hex[:8]}"
         laid_out = spread(df, partition_by)
         if sort_by:
             laid_out = laid_out.sortWithinPartitions(*sort_by)
         laid_out.write.partitionBy(*partition_by).parquet(path)
-        return Commit(path, df.schema)
+        return Commit(path, df.schema, base)
 
     def prepared(self, commit: Commit) -> DataFrame:
         return self.spark.read.schema(commit.schema).parquet(commit.path).select(*commit.schema.names)
 
     def publish(self, commit: Commit) -> None:
-        """Make prepared content the current one: the marker, with the columns in it, is moved in place."""
+        """Make prepared content the current one: the marker, with the columns in it, is moved in place.
+
+        A table that another writer changed meanwhile is left as it is, with an error.
+        """
+        table = commit.path.rsplit("/", 1)[0].removeprefix(self.root).strip("/").replace("/", ".")
+        if self._newest(table) != commit.base:
+            raise RuntimeError(f"{table} changed since {commit.path} was prepared")
         draft, files = hadoop_path(self.spark, f"{commit.path}/.{MARKER}")
         out = files.create(draft, False)
         out.write(json.dumps(commit.schema.jsonValue()).encode())
@@ -142,6 +153,9 @@ class TableStore:
         it is an error, as is an incomplete key. Of a partitioned table only the partitions
         the batch touches are read and rewritten. ``staged`` says the batch is a written table.
         """
+        if partition_by and partition_by not in keys:
+            raise ValueError(f"{key}: the partition column {partition_by} must be part of the key")
+        base = self._newest(key)
         if position:
             batch = last_wins(batch, keys, position)
         if position or not staged:
@@ -150,16 +164,18 @@ class TableStore:
         if not self.exists(key):
             return self.replace(key, batch, (partition_by,) if partition_by else ())
         if not partition_by:
-            return self.replace(key, upsert(self.read(key), batch, keys))
+            self.publish(self.prepare(key, upsert(self.read(key), batch, keys), base=base))
+            return self.read(key)
         # One value per partition folder: as many as the table has folders, not rows.
         touched = [r[0] for r in batch.select(partition_by).distinct().collect()]
         if touched:
             kept = self.read(key, {partition_by: touched})
-            self.publish(self.prepare(key, upsert(kept, batch, keys), (partition_by,), "delta"))
+            self.publish(self.prepare(key, upsert(kept, batch, keys), (partition_by,), "delta", base=base))
         return self.read(key)
 
     def merge_columns(self, key: str, batch: DataFrame, keys, refresh) -> DataFrame:
-        """Insert new keys; refresh only the listed columns of known ones."""
+        """Insert new keys; refresh only the listed columns of known ones. A batch must not repeat a key."""
+        assert_key(batch, keys, f"batch for {key}")
         if not self.exists(key):
             return self.replace(key, batch)
         return self.replace(key, partial_upsert(self.read(key), batch, keys, refresh))

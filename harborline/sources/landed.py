@@ -15,6 +15,7 @@ from harborline.session import stage
 
 STRICT = {"mode": "FAILFAST"}
 BLOCK = 10_000
+NO_NUMBER = "no page number"
 
 
 def read_bodies(spark: SparkSession, path: str, packed: bool = False) -> DataFrame:
@@ -88,19 +89,24 @@ def quarantine_features(bodies: DataFrame) -> DataFrame:
     return parts.where("problem IS NOT NULL").select("source", "problem", "body")
 
 
-def _page_numbers(last: DataFrame) -> DataFrame:
-    """1..last from a one-row frame, in blocks, so that no array or task grows with it."""
+def _page_numbers(last: DataFrame, step: int) -> DataFrame:
+    """The page numbers up to ``last`` from a one-row frame, in blocks, so that no array or task grows with it.
+
+    Counted pages are 1, 2, 3, ...; pages numbered by offset are 0, step, 2 * step, ...
+    """
+    last = last.select(F.col("last") if step == 1 else F.expr(f"last div {step} + 1").alias("last"))
     blocks = last.where("last >= 1").select(
         "last", F.explode(F.sequence(F.lit(0), (F.col("last") - 1).cast("bigint"), F.lit(BLOCK))).alias("low")
     )
     numbers = blocks.repartition("low").select(
         F.explode(F.sequence(F.col("low") + 1, F.least(F.col("low") + BLOCK, "last"))).alias("page")
     )
-    return numbers.select(F.col("page").cast("int"))
+    number = F.col("page") if step == 1 else (F.col("page") - 1) * step
+    return numbers.select(number.cast("int").alias("page"))
 
 
-def _with_missing(found: DataFrame, last: DataFrame) -> DataFrame:
-    absent = _page_numbers(last).join(found, "page", "left_anti")
+def _with_missing(found: DataFrame, last: DataFrame, step: int = 1) -> DataFrame:
+    absent = _page_numbers(last, step).join(found, "page", "left_anti")
     return found.unionByName(
         absent.select("page", F.lit(0).cast("bigint").alias("bodies"), F.lit(0).cast("bigint").alias("records"),
                       F.lit("missing").alias("issue"))
@@ -122,7 +128,7 @@ def audit_indicator_pages(bodies: DataFrame) -> DataFrame:
         F.count("*").alias("bodies"), F.sum("n").cast("bigint").alias("records"),
         F.max("meta.pages").alias("pages"),
     )
-    issue = F.when(F.col("bodies") > 1, "repeated").when(
+    issue = F.when(F.col("page").isNull(), NO_NUMBER).when(F.col("bodies") > 1, "repeated").when(
         (F.col("records") == 0) & (F.col("page") < F.col("pages")), "empty before the last page"
     )
     found = stage(found, "audit")
@@ -130,10 +136,11 @@ def audit_indicator_pages(bodies: DataFrame) -> DataFrame:
     return _with_missing(found.select("page", "bodies", "records", issue.alias("issue")), last)
 
 
-def audit_feature_pages(bodies: DataFrame) -> DataFrame:
+def audit_feature_pages(bodies: DataFrame, step: int = 1) -> DataFrame:
     """Per page number: bodies, records and an issue, judged by the transfer-limit flag.
 
-    Every page but the last must carry records and announce more; the last must not.
+    Every page but the last must carry records and announce more; the last must not. Pages
+    are counted from 1; where they are numbered by offset, ``step`` is the page size.
     """
     shape = "features array<struct<attributes: string>>, exceededTransferLimit boolean"
     pages = _feature_parts(bodies, shape).where("problem IS NULL").select(
@@ -149,16 +156,17 @@ def audit_feature_pages(bodies: DataFrame) -> DataFrame:
     last = found.agg(F.max("page").cast("bigint").alias("last"))
     final = F.col("page") == last.select("last").scalar()
     issue = (
-        F.when(F.col("bodies") > 1, "repeated")
+        F.when(F.col("page").isNull(), NO_NUMBER)
+        .when(F.col("bodies") > 1, "repeated")
         .when(final & F.col("more"), "cut off: more was announced")
         .when(~final & (F.col("records") == 0), "empty before the last page")
         .when(~final & ~F.col("more"), "end announced too early")
     )
-    return _with_missing(found.select("page", "bodies", "records", issue.alias("issue")), last)
+    return _with_missing(found.select("page", "bodies", "records", issue.alias("issue")), last, step)
 
 
 def missing_fields(bodies: DataFrame, required, shape: str) -> DataFrame:
-    """Required fields that no record carries at all (dotted names are nested)."""
+    """Required fields that no record carries at all (dotted names are nested); none where there is no record."""
     if shape == "indicator":
         texts = _indicator_parts(bodies).select(
             F.explode(F.from_json(F.get("parts", F.lit(1)), "array<string>")).alias("record")
@@ -173,6 +181,7 @@ def missing_fields(bodies: DataFrame, required, shape: str) -> DataFrame:
     listed = texts.select(*[k.alias(f"keys_{i}") for i, k in enumerate(keys.values())])
     column = {p: f"keys_{i}" for i, p in enumerate(keys)}
     seen = listed.agg(
+        F.count("*").alias("records"),
         *[
             F.coalesce(F.bool_or(F.array_contains(column[f.rpartition(".")[0]], f.rpartition(".")[2])), F.lit(False))
             .alias(f"seen_{i}")
@@ -180,4 +189,4 @@ def missing_fields(bodies: DataFrame, required, shape: str) -> DataFrame:
         ]
     )
     rows = F.array(*[F.struct(F.lit(f).alias("field"), F.col(f"seen_{i}").alias("seen")) for i, f in enumerate(required)])
-    return seen.select(F.inline(rows)).where(~F.col("seen")).select("field")
+    return seen.where("records > 0").select(F.inline(rows)).where(~F.col("seen")).select("field")

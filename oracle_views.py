@@ -4,16 +4,18 @@ from __future__ import annotations
 
 import re
 
+# The column names are the published ones.
 VIEWS = {
     "country_src": """
 SELECT n_name AS id, n_name AS name, CAST(r_regionkey AS VARCHAR(10)) AS region_id,
        CASE WHEN r_name = 'MIDDLE EAST' THEN 'Aggregates' WHEN n_nationkey = 20 THEN NULL ELSE r_name END AS region_value,
        CASE WHEN n_nationkey % 5 = 0 THEN '' WHEN n_nationkey % 7 = 0 THEN 'n/a'
-            ELSE CAST(n_nationkey AS VARCHAR(10)) END AS longitude
+            ELSE CAST(n_nationkey AS VARCHAR(10)) END AS longitude,
+       CAST(n_nationkey AS VARCHAR(10)) AS latitude, substring(n_name, 1, 2) AS iso2, n_name AS capital
 FROM nation JOIN region ON n_regionkey = r_regionkey""",
     "country_dim": """
 SELECT id AS country_iso3, name AS country_name, region_id AS region_code, region_value AS region_name,
-       TRY_CAST(longitude AS DOUBLE) AS longitude, COALESCE(region_value = 'Aggregates', FALSE) AS is_aggregate
+       iso2 AS country_iso2, capital AS capital_city, TRY_CAST(longitude AS DOUBLE) AS longitude, TRY_CAST(latitude AS DOUBLE) AS latitude, COALESCE(region_value = 'Aggregates', FALSE) AS is_aggregate
 FROM country_src""",
     "traffic_src": """
 SELECT n_name AS countryiso3code, n_nationkey AS country_id, n_name AS country_value,
@@ -60,28 +62,30 @@ JOIN supplier ON l_suppkey = s_suppkey
 JOIN nation fn ON fn.n_nationkey = s_nationkey JOIN nation tn ON tn.n_nationkey = c_nationkey
 GROUP BY s_nationkey, fn.n_name, fn.n_regionkey, c_nationkey, tn.n_name, tn.n_regionkey""",
     "raw_traffic": """
-SELECT t.country_iso3, t.country_name, t.traffic_year, t.teu, d.region_code, d.region_name, d.longitude
+SELECT t.country_iso3, t.country_name, t.traffic_year, t.teu, d.region_code, d.region_name, d.longitude, d.latitude
 FROM traffic t JOIN country_dim d ON d.country_iso3 = t.country_iso3 WHERE d.is_aggregate = FALSE""",
     "totals": """
 SELECT region_code, region_name, traffic_year, CAST(sum(teu) AS BIGINT) AS total_teu,
        CAST(count(*) AS BIGINT) AS countries_reporting, CAST(round(avg(teu)) AS BIGINT) AS mean_teu
 FROM raw_traffic GROUP BY region_code, region_name, traffic_year""",
     "summary": """
-SELECT country_iso3, region_code, latest_year, latest_teu, teu_cmp, teu_base,
+SELECT country_iso3, country_name, region_code, region_name, longitude, latitude, latest_year, latest_teu, teu_cmp, teu_base,
        CAST(round(power(CAST(teu_cmp AS DOUBLE) / CAST(teu_base AS DOUBLE), CAST(1 AS DOUBLE) / 4) - 1, 4) AS DOUBLE) AS cagr,
        CASE WHEN teu_cmp IS NOT NULL THEN CAST(rank() OVER (ORDER BY teu_cmp DESC NULLS LAST) AS BIGINT) END AS rank_cmp
-FROM (SELECT country_iso3, region_code, max(traffic_year) AS latest_year, max_by(teu, traffic_year) AS latest_teu,
+FROM (SELECT country_iso3, country_name, region_code, region_name, longitude, latitude, max(traffic_year) AS latest_year, max_by(teu, traffic_year) AS latest_teu,
              max(CASE WHEN traffic_year = 2000 THEN teu END) AS teu_cmp,
              max(CASE WHEN traffic_year = 1996 THEN teu END) AS teu_base
-      FROM raw_traffic GROUP BY country_iso3, region_code) a""",
+      FROM raw_traffic GROUP BY country_iso3, country_name, region_code, region_name, longitude, latitude) a""",
     "calls_mart": """
 SELECT p.portid, p.portname, p.country, p.country_iso3, p.continent, c.calls_year, c.calls_month,
        make_date(c.calls_year, c.calls_month, 1) AS month_start, c.calls_container, c.calls_dry_bulk,
        c.calls_general_cargo, c.calls_roro, c.calls_tanker, c.calls_total
 FROM calls_monthly c JOIN ports p ON p.portid = c.portid""",
     "connection_ranks": """
-SELECT c.from_portid, c.from_portname, c.to_portid, c.to_portname, t.continent AS to_continent,
-       c.average_transit_days, c.daily_capacity_at_risk, (c.from_iso3 = c.to_iso3) AS is_domestic,
+SELECT c.from_portid, c.from_portname, c.from_portname AS from_country, c.from_iso3,
+       c.to_portid, c.to_portname, c.to_portname AS to_country, c.to_iso3, t.continent AS to_continent,
+       c.average_transit_days, c.daily_capacity_at_risk,
+       c.daily_capacity_at_risk / CAST(100 AS DOUBLE) AS relative_capacity_at_risk, (c.from_iso3 = c.to_iso3) AS is_domestic,
        CAST(row_number() OVER (PARTITION BY c.from_portid ORDER BY c.daily_capacity_at_risk DESC NULLS LAST, c.to_portid) AS BIGINT) AS rank_from_port,
        CAST(row_number() OVER (PARTITION BY c.to_portid ORDER BY c.daily_capacity_at_risk DESC NULLS LAST, c.from_portid) AS BIGINT) AS rank_to_port
 FROM connections c LEFT JOIN ports t ON t.portid = c.to_portid""",
@@ -116,7 +120,7 @@ def _suite(view: str, checks) -> str:
 
 
 QUERIES = {
-    "country_dim_derive": "SELECT country_iso3, country_name, region_code, region_name, longitude, is_aggregate FROM country_dim",
+    "country_dim_derive": "SELECT * FROM country_dim",
     "country_dim_stats": """
 SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(CASE WHEN is_aggregate THEN 1 END) AS BIGINT) AS aggregates FROM country_dim""",
     "clean_traffic": "SELECT country_iso3, country_id, country_name, traffic_year, teu FROM traffic",
@@ -188,6 +192,13 @@ SELECT (SELECT count(*) FROM calls_mart) = count(*) AS passed, CAST(count(*) AS
         ("capacity_non_negative", "where", "daily_capacity_at_risk < 0"),
         ("transit_days_positive", "where", "average_transit_days <= 0"),
     ]),
+    "quality_with_a_crash": """
+SELECT 'has_rows' AS check_name, count(*) > 0 AS passed, CAST(count(*) AS BIGINT) AS bad, concat(count(*), ' rows') AS detail FROM ports
+UNION ALL SELECT 'port_name_is_a_number', FALSE, NULL, 'check crashed'
+UNION ALL SELECT 'one_port_a_country', n = 0, n, concat(n, ' repeated on (country)')
+FROM (SELECT CAST(count(*) - count(DISTINCT country) AS BIGINT) AS n FROM ports) q
+UNION ALL SELECT 'key_fields_present', TRUE, CAST(0 AS BIGINT), 'complete: portid, portname'
+UNION ALL SELECT 'portid_non_negative', TRUE, CAST(0 AS BIGINT), '0 below zero in portid'""",
     "quality_duplicates": """
 SELECT CAST(COALESCE(sum(n - 1), 0) AS BIGINT) AS dupes
 FROM (SELECT count(*) AS n FROM lineitem GROUP BY l_orderkey, l_linenumber) q""",
@@ -204,13 +215,19 @@ GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1 OR l_orderkey IS NULL OR l
     ),
     "upsert_calls": """
 WITH src AS (SELECT l_suppkey AS portid, CAST(year(o_orderdate) AS INT) AS calls_year,
-                    CAST(month(o_orderdate) AS INT) AS calls_month, CAST(count(*) AS BIGINT) AS calls_total
+                    CAST(month(o_orderdate) AS INT) AS calls_month,
+                    CAST(count(CASE WHEN o_orderpriority = '1-URGENT' THEN 1 END) AS BIGINT) AS calls_container,
+                    CAST(count(CASE WHEN o_orderpriority = '2-HIGH' THEN 1 END) AS BIGINT) AS calls_dry_bulk,
+                    CAST(count(CASE WHEN o_orderpriority = '3-MEDIUM' THEN 1 END) AS BIGINT) AS calls_general_cargo,
+                    CAST(count(CASE WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 1 END) AS BIGINT) AS calls_roro,
+                    CAST(count(CASE WHEN o_orderpriority = '5-LOW' THEN 1 END) AS BIGINT) AS calls_tanker,
+                    CAST(count(*) AS BIGINT) AS calls_total
              FROM lineitem JOIN orders ON l_orderkey = o_orderkey
              WHERE year(o_orderdate) >= (SELECT max(year(o_orderdate)) - 1 FROM lineitem JOIN orders ON l_orderkey = o_orderkey)
              GROUP BY ALL)
-SELECT portid, calls_year, calls_month, calls_total FROM src
+SELECT * FROM src
 UNION ALL
-SELECT t.portid, t.calls_year, t.calls_month, t.calls_total FROM calls_monthly t
+SELECT t.* FROM calls_monthly t
 WHERE NOT EXISTS (SELECT 1 FROM src s WHERE s.portid = t.portid AND s.calls_year = t.calls_year AND s.calls_month = t.calls_month)""",
     "upsert_last_wins": """
 WITH src AS (SELECT c_nationkey AS portid, c_name AS portname, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey DESC) AS rn FROM customer),
@@ -221,17 +238,34 @@ UNION ALL SELECT s_suppkey, s_name FROM supplier WHERE s_suppkey NOT IN (SELECT
 SELECT COALESCE(t.k, u.k) AS asset_key,
        CASE WHEN t.k IS NULL THEN u.description ELSE t.description END AS description,
        CASE WHEN u.k IS NULL THEN t.n ELSE u.n END AS last_row_count
-FROM (SELECT l_orderkey AS k, CAST(NULL AS VARCHAR(20)) AS description, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY l_orderkey) t
-FULL OUTER JOIN (SELECT l_orderkey AS k, max(l_linestatus) AS description, count(*) AS n FROM lineitem WHERE l_returnflag = 'A' GROUP BY l_orderkey) u ON t.k = u.k""",
+FROM (SELECT l_orderkey AS k, CAST(NULL AS VARCHAR(20)) AS description, count(*) AS n FROM lineitem WHERE l_returnflag <> 'A' GROUP BY l_orderkey) t
+FULL OUTER JOIN (SELECT l_orderkey AS k, max(l_linestatus) AS description, count(*) AS n FROM lineitem WHERE l_returnflag <> 'R' GROUP BY l_orderkey) u ON t.k = u.k""",
     "edges_insert_ignore": """
 SELECT DISTINCT l_suppkey AS from_asset, l_partkey AS to_asset, 'feeds' AS edge_type
-FROM lineitem WHERE l_returnflag IN ('R', 'A')""",
+FROM lineitem""",
     "wb_pages_flatten": "SELECT countryiso3code, country_id, country_value, date, value FROM traffic_src",
     "feature_pages_flatten": "SELECT portid, portname, country, country_iso3, continent FROM ports",
-    "page_audit": "SELECT CAST(portid % 7 AS INT) AS page, CAST(count(*) AS BIGINT) AS records FROM ports GROUP BY portid % 7",
+    "page_audit": """
+WITH landed AS (SELECT CASE WHEN portid % 11 <> 6 THEN portid END AS page FROM ports),
+     kept AS (SELECT page, count(*) AS n, CASE WHEN page % 7 = 1 THEN 2 ELSE 1 END AS bodies FROM landed
+              WHERE page IS NULL OR page % 5 <> 3 GROUP BY page),
+     bounds AS (SELECT max(page) AS newest, (SELECT max(page) FROM landed) AS announced FROM kept)
+SELECT CAST(page AS INT) AS page, CAST(bodies AS BIGINT) AS bodies, CAST(bodies * n AS BIGINT) AS records,
+       CASE WHEN page IS NULL THEN 'no page number' WHEN bodies > 1 THEN 'repeated'
+            WHEN page = newest AND page < announced THEN 'cut off: more was announced' END AS issue
+FROM kept, bounds
+UNION ALL
+SELECT CAST(p AS INT), 0, 0, 'missing' FROM (SELECT unnest(range(1, newest + 1)) AS p FROM bounds) q
+WHERE p NOT IN (SELECT page FROM kept WHERE page IS NOT NULL)""",
     "page_audit_indicator": """
-SELECT CAST(country_id + 1 AS INT) AS page, CAST(1 AS BIGINT) AS bodies, CAST(count(*) AS BIGINT) AS records
-FROM traffic_src GROUP BY country_id""",
+WITH landed AS (SELECT country_id + 1 AS page, count(*) AS n FROM traffic_src GROUP BY country_id),
+     kept AS (SELECT page, n, CASE WHEN page % 6 = 1 THEN 2 ELSE 1 END AS bodies FROM landed WHERE page % 4 <> 2 OR page = 1)
+SELECT CAST(page AS INT) AS page, CAST(bodies AS BIGINT) AS bodies, CAST(bodies * n AS BIGINT) AS records,
+       CASE WHEN bodies > 1 THEN 'repeated' END AS issue
+FROM kept
+UNION ALL
+SELECT CAST(p AS INT), 0, 0, 'missing' FROM (SELECT unnest(range(1, (SELECT max(page) FROM landed) + 1)) AS p) q
+WHERE p NOT IN (SELECT page FROM kept)""",
     "body_quarantine": "SELECT source, problem FROM event_bodies WHERE problem IS NOT NULL",
     "body_features": "SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM event_bodies WHERE problem IS NULL",
     "lenient_numbers": """
@@ -240,6 +274,12 @@ SELECT event_id, CASE WHEN event_type = 'error' THEN NULL ELSE value END AS numb
     "sink_reload": "SELECT * FROM ports",
     "sink_csv": "SELECT * FROM ports",
     "job_region_totals": "SELECT * FROM totals",
+    "job_country_summary": "SELECT * FROM summary",
+    "job_edges": """
+SELECT 'port_raw.country_port_traffic' AS from_asset, 'port_mart.country_traffic_summary' AS to_asset, 'feeds' AS edge_type
+UNION ALL SELECT 'port_raw.country_dim', 'port_mart.country_traffic_summary', 'feeds'
+UNION ALL SELECT 'port_raw.country_port_traffic', 'port_mart.traffic_by_region_year', 'feeds'
+UNION ALL SELECT 'port_raw.country_dim', 'port_mart.traffic_by_region_year', 'feeds'""",
     "job_port_calls": "SELECT * FROM calls_mart WHERE calls_year >= (SELECT max(year) - 1 FROM daily_calls)",
     "job_connections": "SELECT * FROM connection_ranks",
     "job_asset_rows": """
@@ -251,7 +291,8 @@ UNION ALL SELECT 'port_mart.traffic_by_region_year', 'mart', CAST(count(*) AS BI
         for asset, suite in (
             ("port_raw.portwatch_ports", _suite("ports", [
                 ("has_rows", "rows", ""), ("unique_port", "unique", "portid"),
-                ("key_fields_present", "where", "portid IS NULL OR portname IS NULL")])),
+                ("key_fields_present", "where", "portid IS NULL OR portname IS NULL")])
+             + " UNION ALL SELECT 'pages_complete', TRUE, CAST(NULL AS BIGINT)"),
             ("port_raw.port_calls_monthly", _suite(
                 "(SELECT * FROM calls_monthly WHERE calls_year >= (SELECT max(year) - 1 FROM daily_calls)) m", [
                     ("has_rows", "rows", ""), ("unique_port_month", "unique", "portid, calls_year, calls_month"),

@@ -105,7 +105,9 @@ def test_all_jobs_twice(spark, store, landed, rows):
     assert rows(fields.where("field_name = 'teu'").drop("description")) == [(a.TRAFFIC, "teu", "bigint", "TEU", False)]
     assert fields.select("asset_key").distinct().count() == 4
     checks = {(r["asset_key"], r["check_name"]): r for r in store.read(catalog.CHECK_TABLE).collect()}
-    assert len(checks) == sum(len(asset.checks) for asset in a.ASSETS) + 1
+    landed_assets = [asset.key for asset in a.ASSETS if asset.landed]
+    assert len(checks) == sum(len(asset.checks) for asset in a.ASSETS) + len(landed_assets) + 1
+    assert all(checks[(key, "pages_complete")]["detail"] == "all pages are there" for key in landed_assets)
     assert {k for k, r in checks.items() if not r["passed"]} == {(a.PORTS, "unique_port"), (a.CALLS_MART, "every_row_has_a_named_port")}
     assert checks[(a.CALLS_MART, "every_row_has_a_named_port")]["detail"] == "8 of 12 raw rows joined"
 
@@ -166,6 +168,57 @@ def test_field_gone_from_the_source_stops_the_job(spark, store, folder):
     assert not store.exists(a.PORTS)
 
 
+def test_a_renamed_figure_stops_the_job_and_keeps_the_table(spark, store, landed, rows):
+    only = [asset for asset in a.ASSETS if asset.key in (a.COUNTRY_DIM, a.TRAFFIC)]
+    inputs = landed_inputs(spark, landed, store)
+    run_jobs(store, inputs, FIRST, only)
+    before = rows(store.read(a.TRAFFIC))
+    for number in (1, 2):
+        path = pathlib.Path(landed, "traffic", f"page-{number:04d}.json")
+        path.write_text(path.read_text().replace('"value": 1', '"figure": 1').replace('"value": 2', '"figure": 2')
+                        .replace('"value": 3', '"figure": 3').replace('"value": 9', '"figure": 9').replace('"value": null', '"figure": null'))
+    for name in ("value", "countryiso3code"):
+        with pytest.raises(ValueError, match=name):
+            run_jobs(store, inputs, SECOND, only)
+        assert rows(store.read(a.TRAFFIC)) == before
+        for number in (1, 2):
+            path = pathlib.Path(landed, "traffic", f"page-{number:04d}.json")
+            path.write_text(path.read_text().replace('"figure"', '"value"').replace("countryiso3code", "iso3"))
+
+
+def test_missing_pages_are_a_failed_check(spark, store, landed, rows):
+    for name in ("traffic", "ports"):
+        pathlib.Path(landed, name, "page-0002.json").unlink()
+    only = [asset for asset in a.ASSETS if asset.key in (a.COUNTRY_DIM, a.TRAFFIC, a.PORTS)]
+    inputs = landed_inputs(spark, landed, store)
+    run_jobs(store, inputs, FIRST, only)
+    found = store.read(catalog.CHECK_TABLE).where("check_name = 'pages_complete' AND NOT passed").select("asset_key", "detail")
+    assert rows(found) == [(a.TRAFFIC, "missing: 1"), (a.PORTS, "cut off: more was announced: 1")]
+    for asset in only[1:]:
+        with pytest.raises(QualityFailure, match="pages_complete"):
+            run_jobs(store, inputs, SECOND, [asset], enforce=True)
+
+
+def test_a_crashing_check_spares_the_others(spark, store, landed, rows):
+    asset = next(asset for asset in a.ASSETS if asset.key == a.PORTS)
+    crash = q.CountOf("crash", "CAST(portname AS INT) < 0", "never")
+    run_jobs(store, landed_inputs(spark, landed, store), FIRST, [replace(asset, checks=(*asset.checks, crash))])
+    found = {r["check_name"]: r for r in store.read(catalog.CHECK_TABLE).collect()}
+    assert found["has_rows"]["passed"] and found["has_rows"]["detail"] == "3 rows"
+    assert not found["crash"]["passed"] and found["crash"]["detail"].startswith("check crashed")
+
+
+def test_checks_of_one_name_are_refused_and_runs_do_not_multiply(spark, store, landed):
+    asset = next(asset for asset in a.ASSETS if asset.key == a.PORTS)
+    inputs = landed_inputs(spark, landed, store)
+    twice = replace(asset, checks=(*asset.checks, q.HasRows()))
+    with pytest.raises(ValueError, match="has_rows"):
+        run_jobs(store, inputs, FIRST, [twice])
+    for _ in range(3):
+        run_jobs(store, inputs, FIRST, [asset])
+    assert store.read(catalog.CHECK_TABLE).count() == len(asset.checks) + 1
+
+
 def test_docs_are_refreshed_on_request(spark, store, landed, rows):
     only = [asset for asset in a.ASSETS if asset.key == a.COUNTRY_DIM]
     inputs = landed_inputs(spark, landed, store)

@@ -71,7 +71,7 @@ def test_crash_is_a_failure_and_spares_the_rest(spark):
 
 def test_one_scan_for_plain_checks_and_one_per_key(spark, folder):
     spark.createDataFrame([("x", "y", 0, 1.0)], DDL).write.parquet(f"{folder}/t")
-    found = q.run_checks(spark.read.parquet(f"{folder}/t"), "raw.t", SUITE, AT)
+    found = q._measured(spark.read.parquet(f"{folder}/t"), SUITE)
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan parquet") == 2
     assert any("ReadSchema: struct<a:string,b:string>" in part for part in plan.split("FileScan parquet"))

@@ -48,16 +48,21 @@ GROUPED = st.lists(
 
 @settings(max_examples=8, deadline=None)
 @given(GROUPED)
-def test_sliced_rank_equals_window(spark, groups):
+def test_rank_equals_window(spark, groups):
     df = spark.createDataFrame([(g, v, i) for i, (g, v) in enumerate(groups)], "g int, v int, i int")
-    plain = ranking.rank_within(df, "g", "v", "i", "place")
-    sliced = ranking.rank_in_slices(df, "g", "v", "i", "place", slices=5)
-    assert sorted(plain.collect(), key=repr) == sorted(sliced.collect(), key=repr)
-
-
-def test_large_groups_are_sliced(spark):
-    df = spark.range(2000).select((F.col("id") % 3 == 0).alias("g"), F.hash("id").alias("v"), "id")
-    plain = ranking.rank_within(df, "g", "v", "id", "place")
-    sliced = ranking.rank_within(df, "g", "v", "id", "place", max_group_rows=100)
-    assert "_slice" in sliced._jdf.queryExecution().optimizedPlan().toString()
-    assert sorted(plain.collect()) == sorted(sliced.collect())
+    number = F.row_number().over(Window.partitionBy("g").orderBy(F.desc_nulls_last("v"), "i"))
+    got = ranking.rank_within(df, "g", "v", "i", "place").collect()
+    assert sorted(got, key=repr) == sorted(df.withColumn("place", number).collect(), key=repr)
+
+
+def test_a_group_of_a_third_of_the_rows_is_sliced(spark):
+    group = F.when(F.col("id") % 3 == 0, -1).otherwise(F.col("id") % 200)
+    df = spark.range(6000).select(group.alias("g"), (F.hash("id") % 50).alias("v"), "id")
+    ranked = ranking.rank_within(df, "g", "v", "id", "place")
+    plan = ranked._jdf.queryExecution().optimizedPlan().toString()
+    # The one window sees a row for each group and slice, and no row of the table.
+    assert plan.count("Window [") == 1 and "hint" not in plan.lower()
+    window = plan[plan.index("Window [") :]
+    assert "Aggregate" in window
+    number = F.row_number().over(Window.partitionBy("g").orderBy(F.desc("v"), "id"))
+    assert sorted(ranked.collect()) == sorted(df.withColumn("place", number).collect())

@@ -138,3 +138,26 @@ def test_partitioned_write_makes_few_files(spark, store):
     store.replace("raw.calls", wide, ("calls_year",))
     assert len(list(pathlib.Path(store.path("raw.calls")).rglob("*.parquet"))) == 3
     assert store.read("raw.calls").count() == 4000
+
+
+def test_partition_column_must_be_in_the_key(spark, store):
+    batch = spark.createDataFrame([("k", 1)], "k string, y int")
+    with pytest.raises(ValueError, match="part of the key"):
+        store.upsert("s.t", batch, ("k",), "y")
+
+
+def test_a_table_changed_meanwhile_is_not_overwritten(spark, store, rows):
+    make = lambda k: spark.createDataFrame([(k, 1)], "k string, y int")
+    store.replace("s.t", make("p"), ("y",))
+    first = store.prepare("s.t", make("q"), ("y",), "delta")
+    second = store.prepare("s.t", make("r"), ("y",), "delta")
+    store.publish(first)
+    with pytest.raises(RuntimeError, match="changed since"):
+        store.publish(second)
+    assert rows(store.read("s.t")) == [("q", 1)]
+
+
+def test_repeated_batch_keys_are_refused(spark, store):
+    batch = spark.createDataFrame([("a", 1), ("a", 2)], "k string, v int")
+    with pytest.raises(KeyViolation):
+        store.merge_columns("s.t", batch, ("k",), ("v",))

@@ -183,8 +183,7 @@ PAIRS = (
 )
 
 
-@pytest.mark.parametrize("max_group_rows", [1, 1000])
-def test_connection_mart(spark, rows, max_group_rows):
+def test_connection_mart(spark, rows):
     def pair(a, b, near, far, capacity):
         return (a, a, near, near, b, b, far, far, 1.0, capacity, 0.1)
 
@@ -192,7 +191,7 @@ def test_connection_mart(spark, rows, max_group_rows):
         [pair("a", "b", "X", "X", 5.0), pair("a", "c", "X", None, None), pair("a", "d", "X", "Y", 9.0), pair("e", "b", None, "X", 5.0)], PAIRS
     )
     ports = spark.createDataFrame([("b", "Europe")], "portid string, continent string")
-    got = connections.connection_mart(df, ports, max_group_rows)
+    got = connections.connection_mart(df, ports)
     assert rows(got.select("from_portid", "to_portid", "to_continent", "is_domestic", "rank_from_port", "rank_to_port")) == [
         ("a", "b", "Europe", True, 2, 1), ("a", "c", None, None, 3, 1), ("a", "d", None, False, 1, 1), ("e", "b", "Europe", None, 1, 2),
     ]
