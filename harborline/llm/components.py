@@ -24,7 +24,7 @@ def connected(links: DataFrame, a: str, b: str) -> DataFrame:
     while True:
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = stage(small.union(least.select("u", "m")).where("u <> v").distinct(), "links")

@@ -7,16 +7,18 @@ asks for. Texts that share at least one sketch are candidates; a candidate pair
 the two word sequences aligns at least `SIMILAR` of the words of the longer one. Classes are the components of links.
 
 Equal texts are one node from the start, so copies are never paired with each other. In a bucket (the texts of one
-sketch) every text is compared with the bucket's most popular one, the text whose buckets are largest in sum; buckets of
-up to `SMALL` texts are compared throughout. Links make components, and what is then left are buckets whose texts are
-in several components: there one delegate for each component is compared with all others; where a bucket has more than
-`MANY` delegates, those that agree in a second sketch. So the work on a group of copies grows with its size and not its
-square, and no bucket is cut. Bucket sizes, pivots and delegates are sums and maxima taken before the shuffle.
+sketch) every text is compared with the bucket's first one, its smallest node; buckets of up to `SMALL` texts are
+compared throughout. A text's label is then the first text it is linked to. What is left are buckets whose texts have
+several labels: there one delegate for each label is compared with all others, or, where a bucket has more than `MANY`
+delegates, with those that agree in one of the `NEXT` following sketches too (and with the first of them, where that is
+a crowd again). Similar texts share many sketches, so each crowd they meet in gives another chance. The work on a group
+of copies grows with its size and not its square, and no bucket is cut. Bucket sizes, first texts and delegates are
+counts and minima taken before the shuffle.
 
 Defined results: a null text counts as empty, and texts without words that are equal are one class; a text of fewer than
 five words is one k-mer; equal texts are in one class; rows with equal doc_id and equal text are copies; the class id is
 the smallest doc_id in the class; an empty table gives an empty result; other columns are carried by `one_of_each`
-and not looked at. Ties in popularity fall to the row met first in the written table.
+and not looked at.
 """
 
 from __future__ import annotations
@@ -34,7 +36,8 @@ SKETCHES = 32
 PICKED = 3
 SIMILAR = 0.8
 SMALL = 8
-MANY = 64
+MANY = 8
+NEXT = 3
 
 # Up to so many k-mers all hash functions are worked off at once.
 AT_ONCE = 1 << 16
@@ -172,12 +175,17 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return arrow_map(both, run, "a bigint, b bigint")
 
 
+def _fits(n: Column, m: Column) -> Column:
+    """Whether two lengths allow enough aligned words."""
+    return F.least(n, m) >= F.lit(SIMILAR) * F.greatest(n, m)
+
+
 def _pairs(left: DataFrame, right: DataFrame, on: str, differ: str) -> DataFrame:
-    """Pairs of nodes with equal `on`, different `differ`, and lengths that allow enough aligned words."""
+    """Pairs of nodes with equal `on`, different `differ`, and lengths that fit. Buckets here are small."""
     l, r = left.alias("l"), right.alias("r")
-    fits = F.least("l.n_words", "r.n_words") >= F.lit(SIMILAR) * F.greatest("l.n_words", "r.n_words")
-    joined = l.join(r, (F.col(f"l.{on}") == F.col(f"r.{on}")) & (F.col(f"l.{differ}") != F.col(f"r.{differ}")) & fits)
-    return joined.select(F.least("l.node", "r.node").alias("a"), F.greatest("l.node", "r.node").alias("b"))
+    unlike = (F.col(f"l.{differ}") != F.col(f"r.{differ}")) & (F.col("l.node") < F.col("r.node"))
+    joined = l.join(r, (F.col(f"l.{on}") == F.col(f"r.{on}")) & unlike & _fits(F.col("l.n_words"), F.col("r.n_words")))
+    return joined.select(F.col("l.node").alias("a"), F.col("r.node").alias("b"))
 
 
 def _named(rows: DataFrame, *more: str) -> DataFrame:
@@ -212,53 +220,44 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     one = first.select(F.col("node").alias("row"), "node")
     nodes = stage(rows.join(one, "row").select("node", "doc_id", "h1", "h2", "n_words", "keys"), "nodes")
 
-    exploded = nodes.select("node", "n_words", F.explode("keys").alias("key"))
-    shared = exploded.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    exploded = nodes.select("node", "n_words", F.posexplode("keys").alias("band", "key"))
+    first = F.min(F.struct("node", "n_words")).alias("first")
+    shared = exploded.groupBy("key").agg(F.count("*").alias("size"), first).where("size > 1")
     members = stage(exploded.join(shared, "key"), "members")
-    popular = members.groupBy("node").agg(F.sum("size").alias("popular"))
-    members = stage(members.join(popular, "node"), "members")
-
-    rank = F.struct(F.col("popular"), (-F.col("node")).alias("node"), F.col("n_words"))
-    top = members.groupBy("key").agg(F.max(rank).alias("top"))
-    pivots = top.select("key", (-F.col("top.node")).alias("node"), F.col("top.n_words").alias("n_words"))
-    few = members.where(F.col("size").between(3, SMALL))
-    pairs = _pairs(members, pivots, "key", "node").union(_pairs(few, few, "key", "node")).distinct()
-    pairs = stage(pairs, "pairs")
+    few = members.where(F.col("size").between(3, SMALL)).select("key", "node", "n_words")
+    starred = members.where((F.col("node") != F.col("first.node")) & _fits(F.col("n_words"), F.col("first.n_words")))
+    stars = starred.select(F.col("first.node").alias("a"), F.col("node").alias("b"))
+    pairs = stage(stars.union(_pairs(few, few, "key", "node")).distinct(), "pairs")
     texts = _texts(docs, nodes, members.select("node").distinct())
     links = stage(_verified(pairs, texts), "alike")
-    roots = connected(links, "a", "b")
-
-    more = _split_buckets(members, roots).join(pairs, ["a", "b"], "left_anti")
-    added = stage(_verified(more, texts), "alike")
-    if not added.isEmpty():
-        # What is linked already enters as one edge from each node to its root.
-        old = roots.select(F.col("node").alias("a"), F.col("root").alias("b"))
-        roots = connected(old.union(added), "a", "b")
+    more = _split_buckets(members, links).join(pairs, ["a", "b"], "left_anti")
+    roots = connected(links.union(_verified(more, texts)), "a", "b")
     return rows, roots.join(nodes.select("node", "h1", "h2"), "node").select("h1", "h2", "root")
 
 
-def _split_buckets(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of delegates of different components that share a bucket."""
-    placed = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    several = placed.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x < y").select("key")
-    rank = F.struct("popular", "node", "n_words")
-    best = placed.join(several, "key").groupBy("key", "root").agg(F.max(rank).alias("best"))
-    delegates = best.select("key", "root", F.col("best.node").alias("node"), F.col("best.n_words").alias("n_words"), F.col("best.popular").alias("popular"))
-    counts = delegates.groupBy("key").agg(F.count("*").alias("n"))
-    delegates = stage(delegates.join(counts, "key"), "delegates")
+def _split_buckets(members: DataFrame, links: DataFrame) -> DataFrame:
+    """Pairs of delegates of different labels that share a bucket."""
+    labels = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("label"))
+    placed = members.select("key", "band", "node", "n_words").join(labels, "node", "left")
+    placed = placed.withColumn("label", F.coalesce("label", "node"))
+    several = placed.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
+    best = placed.join(several, "key").groupBy("key", "band", "label").agg(F.min(F.struct("node", "n_words")).alias("best"))
+    delegates = best.select("key", "band", "label", "best.node", "best.n_words")
+    delegates = stage(delegates.join(delegates.groupBy("key").agg(F.count("*").alias("n")), "key"), "delegates")
     few, many = delegates.where(F.col("n") <= MANY), delegates.where(F.col("n") > MANY)
-    pairs = _pairs(few, few, "key", "root")
+    pairs = _pairs(few, few, "key", "label")
     if many.isEmpty():
         return pairs.distinct()
-    # In a crowded bucket a second common sketch is asked for; a crowd there is compared with its most popular text.
-    other = members.select("node", F.col("key").alias("second"))
-    twice = many.drop("n").join(other, "node").where("second <> key")
-    twice = twice.select(F.xxhash64(F.least("key", "second"), F.greatest("key", "second")).alias("key"), "root", "node", "n_words", "popular").distinct()
-    twice = stage(twice.join(twice.groupBy("key").agg(F.count("*").alias("n")), "key").where("n > 1"), "delegates")
-    small = twice.where(F.col("n") <= MANY)
-    top = twice.where(F.col("n") > MANY).groupBy("key").agg(F.max(F.struct("popular", "node", "n_words", "root")).alias("t"))
-    top = top.select("key", F.col("t.node").alias("node"), F.col("t.n_words").alias("n_words"), F.col("t.root").alias("root"))
-    return pairs.union(_pairs(small, small, "key", "root")).union(_pairs(twice, top, "key", "root")).distinct()
+    after = members.select("node", F.col("key").alias("second"), F.col("band").alias("later"))
+    step = F.pmod(F.col("later") - F.col("band"), F.lit(SKETCHES))
+    twice = many.join(after, "node").where(step.between(1, NEXT))
+    twice = twice.select(F.xxhash64("key", "second").alias("key"), "label", "node", "n_words")
+    counts = twice.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("node", "n_words", "label")).alias("first"))
+    twice = stage(twice.join(counts.where("n > 1"), "key"), "delegates")
+    small, crowd = twice.where(F.col("n") <= MANY), twice.where(F.col("n") > MANY)
+    crowd = crowd.where((F.col("label") != F.col("first.label")) & _fits(F.col("n_words"), F.col("first.n_words")))
+    stars = crowd.select(F.least("node", "first.node").alias("a"), F.greatest("node", "first.node").alias("b"))
+    return pairs.union(_pairs(small, small, "key", "label")).union(stars).distinct()
 
 
 def classes(docs: DataFrame) -> DataFrame:
