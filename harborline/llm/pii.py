@@ -14,7 +14,9 @@ they pass.
 Defined results: a null text stays null; a text without findings stays as it is, character for character; findings do
 not overlap (kinds in the order of `KINDS`, then from left to right); the length of a text never changes; rows are
 independent, so repeated rows give repeated results, an empty table an empty one, and other columns are carried along.
-Digits that fail their check are left alone.
+Digits that fail their check are left alone. Cards and IBANs are looked for at every length and every start of a run of
+digits or capitals, so what follows a value (expiry, code, a word) does not hide it. One value has several pseudonyms in
+one case: where groups before it would, with the first groups of its pseudonym, look like a value themselves.
 """
 
 from __future__ import annotations
@@ -94,9 +96,14 @@ def _only(text: str, wanted: str) -> str:
     return "".join(re.findall(wanted, text))
 
 
+def luhn_sum(digits: str, more: int = 0) -> int:
+    """The Luhn sum of digits that have `more` digits behind them."""
+    doubled = (int(d) * (2 if at % 2 else 1) for at, d in enumerate(reversed(digits), more))
+    return sum(d - 9 if d > 9 else d for d in doubled) % 10
+
+
 def luhn(digits: str) -> bool:
-    doubled = (int(d) * (2 if at % 2 else 1) for at, d in enumerate(reversed(digits)))
-    return sum(d - 9 if d > 9 else d for d in doubled) % 10 == 0
+    return luhn_sum(digits) == 0
 
 
 def mod97(iban: str) -> int:
@@ -107,7 +114,8 @@ def _class(c: str) -> str:
     return DIGITS if c in DIGITS else LOWER if c in LOWER else UPPER if c in UPPER else c
 
 
-# Each of these takes a written value and gives its pseudonym, or None where it is no valid value.
+# Each of these takes a written value and gives its pseudonym, or None where it is no valid value. Those with a check
+# of their own are asked for valid values only, and walk over pseudonyms that are not clear of other findings.
 
 
 def _email(key: bytes, text: str, back: bool) -> str | None:
@@ -115,22 +123,57 @@ def _email(key: bytes, text: str, back: bool) -> str | None:
     return _spelled(key, f"email@{host.lower()}", name, [_class(c) for c in name], back=back) + "@" + host
 
 
-def _card(key: bytes, text: str, back: bool) -> str | None:
+def _is_card(text: str) -> bool:
     digits = _only(text, "[0-9]")
-    if not 13 <= len(digits) <= 19 or not luhn(digits) or len(set(digits)) == 1:
-        return None
-    body = digits[0] + _spelled(key, f"card{len(digits)}{digits[0]}", digits[1:-1], [DIGITS] * (len(digits) - 2), back=back)
-    last = next(d for d in DIGITS if luhn(body + d))
-    return _refill(text, body + last, "[0-9]")
+    return 13 <= len(digits) <= 19 and luhn(digits) and len(set(digits)) > 1
+
+
+def _card(key: bytes, text: str, back: bool, clear: Callable[[str], bool]) -> str | None:
+    digits = _only(text, "[0-9]")
+    shifted = luhn_sum(digits, 1)
+
+    def whole(p: list[int]) -> str:
+        body = digits[0] + "".join(map(str, p))
+        return body + str(-luhn_sum(body, 1) % 10)
 
+    def valid(p: list[int]) -> bool:
+        # With both sums as they were, a longer run of digits passes or fails as it did before.
+        return luhn_sum(whole(p), 1) == shifted and clear(_refill(text, whole(p), "[0-9]"))
+
+    tweak = f"card{len(digits)}{digits[0]}"
+    made = walk(key, tweak, [int(d) for d in digits[1:-1]], [10] * (len(digits) - 2), valid, back)
+    return _refill(text, whole(made), "[0-9]")
+
+
+# Lengths of the IBAN registry; a country that is not listed may have any.
+IBAN_LENGTHS = {
+    land: length
+    for length, lands in {
+        15: "NO", 16: "BE", 18: "DK FI FK FO GL NL SD", 19: "MK SI", 20: "AT BA EE KZ LT LU MN XK", 21: "CH HR LI LV",
+        22: "BG BH CR DE GB GE IE ME RS VA", 23: "AE GI IL IQ OM SO TL", 24: "AD CZ ES MD PK RO SA SE SK TN VG",
+        25: "LY PT ST", 26: "IS TR", 27: "BI DJ FR GR IT MC MR SM", 28: "AL AZ BY CY DO GT HN HU LB NI PL SV",
+        29: "BR EG PS QA UA", 30: "JO KW MU YE", 31: "MT SC", 32: "LC", 33: "RU",
+    }.items()
+    for land in lands.split()
+}
 
-def _iban(key: bytes, text: str, back: bool) -> str | None:
+
+def _is_iban(text: str) -> bool:
+    iban = _only(text, "[0-9A-Z]")
+    return 15 <= len(iban) <= 34 and len(iban) == IBAN_LENGTHS.get(iban[:2], len(iban)) and mod97(iban) == 1
+
+
+def _iban(key: bytes, text: str, back: bool, clear: Callable[[str], bool]) -> str | None:
     iban = _only(text, "[0-9A-Z]")
-    if not 15 <= len(iban) <= 34 or mod97(iban) != 1:
-        return None
     land, body = iban[:2], iban[4:]
-    body = _spelled(key, f"iban{land}", body, [_class(c) for c in body], back=back)
-    return _refill(text, f"{land}{98 - mod97(f'{land}00{body}'):02d}{body}", "[0-9A-Z]")
+    alphabets = [_class(c) for c in body]
+
+    def whole(p: list[int]) -> str:
+        new = "".join(a[x] for x, a in zip(p, alphabets))
+        return _refill(text, f"{land}{98 - mod97(f'{land}00{new}'):02d}{new}", "[0-9A-Z]")
+
+    places, radices = [a.index(c) for c, a in zip(body, alphabets)], [len(a) for a in alphabets]
+    return whole(walk(key, f"iban{land}", places, radices, lambda p: clear(whole(p)), back))
 
 
 def _phone(key: bytes, text: str, back: bool) -> str | None:
@@ -214,14 +257,17 @@ def _secret(key: bytes, text: str, back: bool) -> str | None:
 class Kind:
     name: str
     pattern: re.Pattern
-    make: Callable[[bytes, str, bool], str | None]
+    make: Callable[..., str | None]
+    # For kinds whose values may run on into what follows: whether a written value is valid, and what may follow one.
+    check: Callable[[str], bool] | None = None
+    after: re.Pattern | None = None
 
 
 KINDS = (
     Kind("email", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}"), _email),
     Kind("secret", re.compile(r"\bAKIA[0-9A-Z]{16}\b|\b(?i:password|passwd|secret|token|api[_-]?key)\s?[=:]\s?[\"']?[A-Za-z0-9_/+-]{8,128}"), _secret),
-    Kind("iban", re.compile(r"\b[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?\b"), _iban),
-    Kind("card", re.compile(r"(?<![0-9.-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"), _card),
+    Kind("iban", re.compile(r"\b[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?\b"), _iban, _is_iban, re.compile(r"\b")),
+    Kind("card", re.compile(r"(?<![0-9.-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"), _card, _is_card, re.compile(r"(?![0-9])")),
     Kind("phone", re.compile(r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4})(?![0-9])"), _phone),
     Kind("ip", re.compile(r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?!\.?[0-9])"), _address),
     Kind("social", re.compile(r"(?<![0-9-])[0-9]{3}([- ])[0-9]{2}\1[0-9]{4}(?![0-9-])"), _social),
@@ -232,12 +278,43 @@ _digit_or_at = re.compile("[0-9@]")
 _secret_word = re.compile("AKIA|(?i:passw|secret|token|key)")
 
 
+def _checked(kind: Kind, text: str, key: bytes, back: bool, taken: list[tuple[str, int, int, str]]) -> None:
+    """Add the valid values of a kind: at each start the longest one that passes, and after it from its end on.
+
+    A pseudonym must not make a span pass that failed, or `restore` would read other values than were replaced. Longer
+    spans at the same start pass or fail as before (see `_card`); those that end inside the value are tried.
+    """
+    at, failed = 0, []
+    while found := kind.pattern.search(text, at):
+        start = found.start()
+        at = start + 1
+        for end in range(found.end(), start, -1):
+            if not kind.after.match(text, end) or not kind.pattern.fullmatch(text, start, end):
+                continue
+            if any(a < end and start < b for _, a, b, _ in taken):
+                continue
+            if not kind.check(text[start:end]):
+                failed.append((start, end))
+                continue
+            near = [(a, b) for a, b in failed if start < b < end or a == start]
+
+            def clear(new: str) -> bool:
+                return not any(kind.check(text[a:start] + new[: b - start] + text[end:b]) for a, b in near)
+
+            taken.append((kind.name, start, end, kind.make(key, text[start:end], back, clear)))
+            at, failed = end, [x for x in failed if x[1] > end]
+            break
+
+
 def findings(text: str, key: bytes, back: bool = False) -> list[tuple[str, int, int, str]]:
     """(kind, start, end, pseudonym) of each value, from left to right."""
     if not _digit_or_at.search(text) and not _secret_word.search(text):
         return []
     taken: list[tuple[str, int, int, str]] = []
     for kind in KINDS:
+        if kind.check:
+            _checked(kind, text, key, back, taken)
+            continue
         for found in kind.pattern.finditer(text):
             start, end = found.span()
             if any(a < end and start < b for _, a, b, _ in taken):

@@ -213,6 +213,44 @@ def test_invalid_values_stay():
         assert pii.findings(text, KEY) == []
 
 
+RUN_ON = {
+    "card": [
+        ("4111 1111 1111 1111", " 12/26"), ("4111111111111111", " 123 ok"), ("4111-1111-1111-1111", " 5 items"),
+        ("378282246310005", " 0527 1234"), ("4041 8949 7460 8795", " 12/26 987"),
+    ],
+    "iban": [
+        ("ES91 2100 0418 4502 0005 1332", " BIC"), ("DE89370400440532013000", " COBADEFF 1234"),
+        ("GB82 WEST 1234 5698 7654 32", " USD"), ("NO93 8601 1117 947", " PAID 2024"),
+    ],
+}
+
+
+@pytest.mark.parametrize("kind", RUN_ON)
+def test_values_are_found_whatever_follows(kind):
+    for value, more in RUN_ON[kind]:
+        for before in ("", "pay ", "no 12 "):
+            text = f"{before}{value}{more}"
+            found = [f for f in pii.findings(text, KEY) if f[0] == kind]
+            assert [text[a:b] for _, a, b, _ in found] == [value]
+            new = pii.replace(text, pii.findings(text, KEY))
+            assert new[len(before) :][: len(value)] != value and pii.restore(new, KEY) == text
+            if not before:
+                assert found[0][3] == pii.findings(value, KEY)[0][3]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.randoms())
+def test_runs_of_groups_come_back(random):
+    def card():
+        body = "".join(random.choice("0123456789") for _ in range(random.choice([12, 14, 15, 18])))
+        whole = body + next(d for d in "0123456789" if pii.luhn(body + d))
+        return " ".join(whole[i : i + 4] for i in range(0, len(whole), 4)) if random.random() < 0.7 else whole
+
+    groups = [card() if random.random() < 0.4 else str(random.randrange(10 ** random.randrange(1, 6))) for _ in range(6)]
+    text = " ".join(groups)
+    assert pii.restore(pii.replace(text, pii.findings(text, KEY)), KEY) == text
+
+
 def test_pseudonyms_of_tables(llm, odd, empty):
     rows = [(i, f"card {v}", "keep") for i, v in enumerate(VALUES["card"][:2])] + [(None, None, None)]
     docs = llm.createDataFrame(rows, "doc_id int, text string, found string")
