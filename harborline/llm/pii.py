@@ -242,15 +242,23 @@ def _date(key: bytes, text: str, back: bool) -> str | None:
     return None
 
 
+# Longer secrets are permuted in pieces, so the work grows with their length.
+PIECE = 128
+
+
 def _secret(key: bytes, text: str, back: bool) -> str | None:
-    head, value = re.match(r"(?s)(AKIA|.*[=:]\s*[\"']?)(.*)", text).groups()
+    head, value = re.match(r"(?s)(AKIA|[^=:]*[=:]\s?[\"']?)(.*)", text).groups()
     if re.fullmatch("[0-9a-f]+", value):
         alphabets = [HEX] * len(value)
     elif head == "AKIA":
         alphabets = [DIGITS + UPPER] * len(value)
     else:
         alphabets = [_class(c) for c in value]
-    return head + _spelled(key, f"secret{len(value)}", value, alphabets, back=back)
+    pieces = []
+    for at in range(0, len(value), PIECE):
+        tweak = f"secret{len(value)}" + (f"/{at}" if at else "")
+        pieces.append(_spelled(key, tweak, value[at : at + PIECE], alphabets[at : at + PIECE], back=back))
+    return head + "".join(pieces)
 
 
 @dataclass(frozen=True)
@@ -265,7 +273,7 @@ class Kind:
 
 KINDS = (
     Kind("email", re.compile(r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,24}"), _email),
-    Kind("secret", re.compile(r"\bAKIA[0-9A-Z]{16}\b|\b(?i:password|passwd|secret|token|api[_-]?key)\s?[=:]\s?[\"']?[A-Za-z0-9_/+-]{8,128}"), _secret),
+    Kind("secret", re.compile(r"\bAKIA[0-9A-Z]{16}\b|\b(?i:password|passwd|secret|token|api[_-]?key)\s?[=:]\s?[\"']?[A-Za-z0-9_/+-][A-Za-z0-9_/+.=-]{6,}[A-Za-z0-9_/+=-]"), _secret),
     Kind("iban", re.compile(r"\b[A-Z]{2}[0-9]{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?\b"), _iban, _is_iban, re.compile(r"\b")),
     Kind("card", re.compile(r"(?<![0-9.-])[0-9](?:[ -]?[0-9]){12,18}(?![0-9])"), _card, _is_card, re.compile(r"(?![0-9])")),
     Kind("phone", re.compile(r"(?<![0-9+])(?:\+[0-9]{1,3}[ .-]?(?:\([0-9]{1,4}\)|[0-9]{1,4})(?:[ .-]?[0-9]{2,4}){1,4}|\([0-9]{3}\) ?[0-9]{3}[ .-][0-9]{4}|[0-9]{3}-[0-9]{3}-[0-9]{4})(?![0-9])"), _phone),

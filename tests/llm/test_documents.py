@@ -238,6 +238,18 @@ def test_values_are_found_whatever_follows(kind):
                 assert found[0][3] == pii.findings(value, KEY)[0][3]
 
 
+@pytest.mark.parametrize("value", [
+    "eyJhbGciOiJIUzI1NiJ9.eyJzdWIiOiIxMjM0In0.SflKxwRJSMeKKF2QT4fw", "c2VjcmV0IGtleQ==Zm9v", "0123456789abcdef" * 40, "aZ9" * 20_000,
+])
+def test_secrets_are_replaced_to_their_end(value):
+    text = f"token={value}. Next"
+    (_, start, end, made), = pii.findings(text, KEY)
+    assert (start, text[start:end]) == (0, f"token={value}")
+    pieces = [(value[i : i + 16], made[6:][i : i + 16]) for i in range(0, len(value), 16)]
+    assert all(a != b for a, b in pieces if len(a) == 16)
+    assert pii.restore(pii.replace(text, [("secret", start, end, made)]), KEY) == text
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.randoms())
 def test_runs_of_groups_come_back(random):
