@@ -8,12 +8,12 @@ the two word sequences aligns at least `SIMILAR` of the words of the longer one.
 
 Equal texts are one node from the start, so copies are never paired with each other. In a bucket (the texts of one
 sketch) every text is compared with the bucket's first one, its smallest node; buckets of up to `SMALL` texts are
-compared throughout. A text's label is then the first text it is linked to. What is left are buckets whose texts have
-several labels: there one delegate for each label is compared with all others, or, where a bucket has more than `MANY`
-delegates, with those that agree in one of the `NEXT` following sketches too (and with the first of them, where that is
-a crowd again). Similar texts share many sketches, so each crowd they meet in gives another chance. The work on a group
-of copies grows with its size and not its square, and no bucket is cut. Bucket sizes, first texts and delegates are
-counts and minima taken before the shuffle.
+compared throughout, and in larger ones every text is compared with the one that meets most others in large buckets, as
+the original of a group of copies does. What is left are large buckets with texts of several components: there all pairs
+of different components are compared, block against block of about `MANY` texts, each two blocks in a task of their own.
+Counts of words by their hash bound from above how many words can align; pairs that pass that bound are aligned. So two
+texts that share a sketch end in different classes only if their alignment was found too short. Groups of copies of one
+original are one component before that step; the work on a crowd of texts that are not alike grows with its square.
 
 Defined results: a null text counts as empty, and texts without words that are equal are one class; a text of fewer than
 five words is one k-mer; equal texts are in one class; rows with equal doc_id and equal text are copies; the class id is
@@ -36,8 +36,10 @@ SKETCHES = 32
 PICKED = 3
 SIMILAR = 0.8
 SMALL = 8
-MANY = 8
-NEXT = 3
+MANY = 1024
+# Words are counted in so many groups by their hash, each up to the greatest 16-bit number.
+COUNTS = 128
+MOST = (1 << 16) - 1
 
 # Up to so many k-mers all hash functions are worked off at once.
 AT_ONCE = 1 << 16
@@ -227,37 +229,72 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     few = members.where(F.col("size").between(3, SMALL)).select("key", "node", "n_words")
     starred = members.where((F.col("node") != F.col("first.node")) & _fits(F.col("n_words"), F.col("first.n_words")))
     stars = starred.select(F.col("first.node").alias("a"), F.col("node").alias("b"))
-    pairs = stage(stars.union(_pairs(few, few, "key", "node")).distinct(), "pairs")
+    pairs = stage(stars.union(_spokes(members)).union(_pairs(few, few, "key", "node")).distinct(), "pairs")
     texts = _texts(docs, nodes, members.select("node").distinct())
     links = stage(_verified(pairs, texts), "alike")
-    more = _split_buckets(members, links).join(pairs, ["a", "b"], "left_anti")
-    roots = connected(links.union(_verified(more, texts)), "a", "b")
+    roots = connected(links, "a", "b")
+    crowded = _open_buckets(members, roots)
+    if not crowded.isEmpty():
+        more = stage(_crowd_pairs(crowded, texts).join(pairs, ["a", "b"], "left_anti"), "pairs")
+        roots = connected(links.union(_verified(more, texts)), "a", "b")
     return rows, roots.join(nodes.select("node", "h1", "h2"), "node").select("h1", "h2", "root")
 
 
-def _split_buckets(members: DataFrame, links: DataFrame) -> DataFrame:
-    """Pairs of delegates of different labels that share a bucket."""
-    labels = links.groupBy(F.col("b").alias("node")).agg(F.min("a").alias("label"))
-    placed = members.select("key", "band", "node", "n_words").join(labels, "node", "left")
-    placed = placed.withColumn("label", F.coalesce("label", "node"))
-    several = placed.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x < y").select("key")
-    best = placed.join(several, "key").groupBy("key", "band", "label").agg(F.min(F.struct("node", "n_words")).alias("best"))
-    delegates = best.select("key", "band", "label", "best.node", "best.n_words")
-    delegates = stage(delegates.join(delegates.groupBy("key").agg(F.count("*").alias("n")), "key"), "delegates")
-    few, many = delegates.where(F.col("n") <= MANY), delegates.where(F.col("n") > MANY)
-    pairs = _pairs(few, few, "key", "label")
-    if many.isEmpty():
-        return pairs.distinct()
-    after = members.select("node", F.col("key").alias("second"), F.col("band").alias("later"))
-    step = F.pmod(F.col("later") - F.col("band"), F.lit(SKETCHES))
-    twice = many.join(after, "node").where(step.between(1, NEXT))
-    twice = twice.select(F.xxhash64("key", "second").alias("key"), "label", "node", "n_words")
-    counts = twice.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct("node", "n_words", "label")).alias("first"))
-    twice = stage(twice.join(counts.where("n > 1"), "key"), "delegates")
-    small, crowd = twice.where(F.col("n") <= MANY), twice.where(F.col("n") > MANY)
-    crowd = crowd.where((F.col("label") != F.col("first.label")) & _fits(F.col("n_words"), F.col("first.n_words")))
-    stars = crowd.select(F.least("node", "first.node").alias("a"), F.greatest("node", "first.node").alias("b"))
-    return pairs.union(_pairs(small, small, "key", "label")).union(stars).distinct()
+def _spokes(members: DataFrame) -> DataFrame:
+    """Pairs of the texts of large buckets with the one that meets most others in such buckets."""
+    crowd = members.where(F.col("size") > SMALL).select("key", "node", "n_words", "size")
+    known = crowd.groupBy("node").agg(F.sum("size").alias("known"))
+    hub = F.max(F.struct("known", "node", "n_words")).alias("hub")
+    hubs = crowd.join(known, "node").groupBy("key").agg(hub)
+    spokes = crowd.join(hubs, "key").where((F.col("node") != F.col("hub.node")) & _fits(F.col("n_words"), F.col("hub.n_words")))
+    return spokes.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"))
+
+
+def _open_buckets(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """key, node, n_words, label and n (texts) of the large buckets whose texts are of several components, written."""
+    placed = members.where(F.col("size") > SMALL).select("key", "node", "n_words").join(roots, "node", "left")
+    placed = placed.select("key", "node", "n_words", F.coalesce("root", "node").alias("label"))
+    several = placed.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("n"))
+    return stage(placed.join(several.where("x < y").select("key", "n"), "key"), "crowded")
+
+
+def _counts(words: bytes) -> bytes:
+    found = np.bincount(np.frombuffer(words, "<u4") % COUNTS, minlength=COUNTS)
+    return np.minimum(found, MOST).astype("<u2").tobytes()
+
+
+def _compared(table: pa.Table) -> pa.Table:
+    """The pairs of two blocks, or of one with itself, whose words may align far enough."""
+    node, label, n, block, i, j = (table.column(c).to_numpy() for c in ("node", "label", "n_words", "block", "i", "j"))
+    counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), "<u2").reshape(-1, COUNTS)
+    left, made = np.flatnonzero(block == i), [np.zeros((0, 2), np.int64)]
+    right = left if i[0] == j[0] else np.flatnonzero(block == j)
+    for x in left:
+        most = np.maximum(n[right], n[x])
+        fits = (label[right] != label[x]) & (np.minimum(n[right], n[x]) >= SIMILAR * most)
+        if i[0] == j[0]:
+            fits &= node[right] > node[x]
+        at, most = right[fits], most[fits]
+        at = at[(np.minimum(counts[at], counts[x]).sum(axis=1) >= SIMILAR * most) | (most > MOST)]
+        made.append(np.sort(np.stack([np.full(len(at), node[x]), node[at]], axis=1), axis=1))
+    pairs = np.concatenate(made)
+    return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
+
+
+def _crowd_pairs(crowded: DataFrame, texts: DataFrame) -> DataFrame:
+    """All pairs of texts of one large bucket that are of different components and may be alike."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        counts = pa.array([_counts(w) for w in batch.column(1).to_pylist()], pa.binary())
+        return pa.RecordBatch.from_arrays([batch.column(0), counts], ["node", "counts"])
+
+    wanted = texts.join(crowded.select("node").distinct(), "node", "left_semi").select("node", "words")
+    rows = crowded.join(arrow_map(wanted, run, "node bigint, counts binary"), "node")
+    blocks = F.ceil(F.col("n") / F.lit(MANY))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), blocks))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
+    rows = rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
+    return rows.groupBy("key", "i", "j").applyInArrow(_compared, "a bigint, b bigint").distinct()
 
 
 def classes(docs: DataFrame) -> DataFrame:

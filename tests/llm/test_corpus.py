@@ -1,5 +1,6 @@
 """Near-duplicates, the language model, toxicity and the pipeline against brute force and held-out labels."""
 
+import itertools
 import math
 import re
 import zlib
@@ -96,6 +97,40 @@ def test_crowded_buckets_are_split(llm, texts, monkeypatch):
     assert {r.doc_id: r.class_id for r in rows} == brute_classes(texts)
 
 
+def edited(words, share, rng):
+    words = list(words)
+    for at in rng.choice(len(words), int(share * len(words)), replace=False):
+        words[at] = f"x{rng.integers(1 << 40)}"
+    return words
+
+
+def meeting_classes(texts):
+    """Components of the pairs that share a sketch and are alike."""
+    words = {d: near.word_hashes(t) for d, t in texts.items()}
+    short = {d: (w & np.uint64(0xFFFFFFFF)).astype(np.uint32) for d, w in words.items()}
+    keys = {d: set(near.sketches(w).tolist()) for d, w in words.items()}
+    root = {d: d for d in texts}
+    for a, b in itertools.combinations(sorted(texts), 2):
+        if keys[a] & keys[b] and root[a] != root[b] and near.alike(short[a], short[b]):
+            x, y = sorted((root[a], root[b]))
+            root = {d: x if r == y else r for d, r in root.items()}
+    return root
+
+
+@pytest.mark.parametrize("block", [1024, 16])
+def test_copies_of_one_original_and_pairs_in_crowds_are_found(llm, monkeypatch, block):
+    rng = np.random.default_rng(8)
+    word = lambda n: [f"w{x}" for x in rng.integers(0, 100_000, n)]
+    original, passage = word(200), word(100)
+    texts = {i: " ".join(edited(original, 0.14, rng)) for i in range(1, 300)} | {900: " ".join(original)}
+    for i in range(0, 120, 2):
+        text = word(40) + passage + word(40)
+        texts |= {2000 - i: " ".join(text), 1001 + i: " ".join(edited(text, 0.08, rng))}
+    monkeypatch.setattr(near, "MANY", block)
+    rows = near.classes(llm.createDataFrame(list(texts.items()), "doc_id bigint, text string")).collect()
+    assert {r.doc_id: r.class_id for r in rows} == meeting_classes(texts)
+
+
 def test_near_duplicates_of_odd_rows(odd, empty):
     rows = near.classes(odd).collect()
     # Two texts under one doc_id are two classes of the same class id.
