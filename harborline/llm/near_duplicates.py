@@ -1,8 +1,8 @@
 """Near-duplicates by Order MinHash, verified by banded alignment.
 
-The k-mers of a text are its runs of five words, labelled with how often they occurred before. For each of `SKETCHES`
-hash functions the three smallest labelled k-mers are taken and kept in the order in which they stand in the text; that
-triple is one sketch. Texts that agree in a sketch share both the k-mers and their order, which is what edit similarity
+The k-mers of a text are its runs of three words, labelled with how often they occurred before. For each of `SKETCHES`
+hash functions the two smallest labelled k-mers are taken and kept in the order in which they stand in the text; that
+pair is one sketch. Texts that agree in a sketch share both the k-mers and their order, which is what edit similarity
 asks for. Texts that share at least one sketch are candidates; a candidate pair is a link if a banded alignment of
 the two word sequences aligns at least `SIMILAR` of the words of the longer one. Classes are the components of links.
 
@@ -16,7 +16,7 @@ texts that share a sketch end in different classes only if their alignment was f
 original are one component before that step; the work on a crowd of texts that are not alike grows with its square.
 
 Defined results: a null text counts as empty, and texts without words that are equal are one class; a text of fewer than
-five words is one k-mer; equal texts are in one class; rows with equal doc_id and equal text are copies; the class id is
+three words is one k-mer; equal texts are in one class; rows with equal doc_id and equal text are copies; the class id is
 the smallest doc_id in the class; an empty table gives an empty result; other columns are carried by `one_of_each`
 and not looked at.
 """
@@ -32,8 +32,10 @@ from harborline.llm.common import arrow_map, stage, whole_text
 from harborline.llm.components import connected
 
 WORDS = 5
-SKETCHES = 32
-PICKED = 3
+# Sketches are of shorter runs, so that texts of which a fifth of the words differ still meet.
+MEETING = 3
+SKETCHES = 40
+PICKED = 2
 SIMILAR = 0.8
 SMALL = 8
 MANY = 1024
@@ -57,15 +59,15 @@ def word_hashes(text: str) -> np.ndarray:
     return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
 
-def labelled_kmers(words: np.ndarray) -> np.ndarray:
-    """Hash of every run of five words with the number of equal runs before it, in text order."""
-    n = len(words) - WORDS + 1
+def labelled_kmers(words: np.ndarray, size: int = WORDS) -> np.ndarray:
+    """Hash of every run of `size` words with the number of equal runs before it, in text order."""
+    n = len(words) - size + 1
     if len(words) == 0:
         return words
     if n < 1:
-        words, n = np.concatenate([words, np.zeros(WORDS - len(words), np.uint64)]), 1
+        words, n = np.concatenate([words, np.zeros(size - len(words), np.uint64)]), 1
     found = words[:n].copy()
-    for k in range(1, WORDS):
+    for k in range(1, size):
         found = _mix(found * np.uint64(0x9E3779B97F4A7C15) + words[k : k + n])
     order = np.argsort(found, kind="stable")
     ordered = found[order]
@@ -80,7 +82,7 @@ def labelled_kmers(words: np.ndarray) -> np.ndarray:
 
 def sketches(words: np.ndarray) -> np.ndarray:
     """One 64-bit key for each hash function: its smallest labelled k-mers, in text order."""
-    kmers = labelled_kmers(words)
+    kmers = labelled_kmers(words, MEETING)
     n = len(kmers)
     if n == 0:
         return np.zeros(0, np.uint64)

@@ -117,6 +117,17 @@ def meeting_classes(texts):
     return root
 
 
+@pytest.mark.parametrize("share", [0.1, 0.12, 0.15, 0.18, 0.2])
+def test_texts_that_are_alike_meet(share):
+    rng = np.random.default_rng(6)
+    met = []
+    for n in rng.integers(50, 600, 400):
+        text = [f"w{x}" for x in rng.integers(0, 100_000, n)]
+        keys = [near.sketches(near.word_hashes(" ".join(words))) for words in (text, edited(text, share, rng))]
+        met.append((keys[0] == keys[1]).any())
+    assert np.mean(met) >= 0.95
+
+
 @pytest.mark.parametrize("block", [1024, 16])
 def test_copies_of_one_original_and_pairs_in_crowds_are_found(llm, monkeypatch, block):
     rng = np.random.default_rng(8)
