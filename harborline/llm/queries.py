@@ -6,8 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from harborline.llm import bpe, fingerprints, huffman, language_model, near_duplicates, packing, pii, quality_rules, sharding, toxicity
-from harborline.llm.common import documents, scratch_path, stage_packed, whole_text
+from harborline.llm import (
+    bpe, fingerprints, huffman, language_model, near_duplicates, packing, piece_model, pii, quality_rules, sharding, spelling,
+    toxicity, word_runs,
+)
+from harborline.llm.common import SPACES, documents, scratch_path, stage_packed, whole_text
 from harborline.llm.tokens import WORD_VOCABULARY, tokenize
 
 
@@ -87,6 +90,46 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_piece_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = piece_model.round_trip(documents(spark, sf_dir))
+    return both.select(
+        "doc_id", F.floor(F.octet_length("ids") / 4).alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def planted_period(docs: DataFrame) -> DataFrame:
+    """doc_id and text, of which one in ten by the checksum of doc_id repeats a stretch of its words to the end."""
+    check = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    seed, n = F.floor(check / 10), F.size("words")
+    # Repeated rows keep their number: nothing here joins or groups.
+    words = F.regexp_extract_all(whole_text(), F.lit(f"({SPACES.replace('[', '[^')}+)"), F.lit(1))
+    chosen = docs.select("doc_id", whole_text().alias("text"), (check % 10 == 0).alias("chosen"), seed.alias("seed"),
+                         F.when(check % 10 == 0, words).otherwise(F.array().cast("array<string>")).alias("words"))
+    placed = chosen.withColumn("a", F.when(n > 0, F.col("seed") % n).cast("int")).withColumn(
+        "p", (1 + F.floor((n - F.col("a")) / (3 + F.col("seed") % 8))).cast("int")
+    )
+    a, p = F.col("a"), F.col("p")
+    again = F.transform(F.sequence(a, n - 1), lambda i: F.get("words", a + (i - a) % p))
+    text = F.array_join(F.concat(F.slice("words", 1, a), again), " ")
+    return placed.select("doc_id", F.when(F.col("chosen") & (n > 0), text).otherwise(F.col("text")).alias("text"))
+
+
+def op12_word_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = word_runs.repetitions(planted_period(documents(spark, sf_dir)))
+    best, each = F.col("strongest"), F.transform("runs", lambda r: F.concat_ws(",", r.start, r.length, r.period))
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), "strongest.start", "strongest.length", "strongest.period",
+        F.floor(1000 * best.length / best.period).alias("exponent_milli"),
+        F.sha2(F.concat(F.array_join(each, "\n"), F.when(F.size("runs") > 0, "\n").otherwise("")), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.count_words(documents(spark, sf_dir), spelling.damaged))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_bpe": op2_bpe,
@@ -98,6 +141,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_pii": op9_pii,
     "op10_toxicity": op10_toxicity,
+    "op11_piece_model": op11_piece_model,
+    "op12_word_runs": op12_word_runs,
+    "op13_spelling": op13_spelling,
 }
 
 
