@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 from datetime import datetime, timezone
 
@@ -196,7 +197,8 @@ def _profile(t: Tables) -> DataFrame:
 
 
 def _store(t: Tables) -> TableStore:
-    return TableStore(t.spark, scratch_path(t.spark, "tables"))
+    # Each query has tables of its own in the session's catalog.
+    return TableStore(t.spark, scratch_path(t.spark, "tables"), f"q{uuid.uuid4().hex[:12]}_")
 
 
 def _upsert_calls(t: Tables) -> DataFrame:

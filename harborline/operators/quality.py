@@ -53,6 +53,7 @@ class CountOf:
     condition: str
     wording: str
     numeric: str | None = None
+    pair: tuple[str, str] | None = None
 
     def measures(self) -> list[Column]:
         return [F.count_if(F.expr(self.condition))]
@@ -70,7 +71,7 @@ def Positive(name: str, column: str) -> CountOf:
 
 
 def NotEqual(name: str, left: str, right: str) -> CountOf:
-    return CountOf(name, f"`{left}` = `{right}`", f"with {left} equal to {right}")
+    return CountOf(name, f"`{left}` = `{right}`", f"with {left} equal to {right}", pair=(left, right))
 
 
 @dataclass(frozen=True)
@@ -79,9 +80,20 @@ class UniqueKey:
     columns: tuple[str, ...]
 
 
+@dataclass(frozen=True)
+class Query:
+    """A check of one's own as a lazy frame: ``build(df)`` gives one row (passed, bad, detail).
+
+    Nothing runs when it is built; the row joins the plan of the other checks of the table.
+    """
+
+    name: str
+    build: Callable[[DataFrame], DataFrame]
+
+
 @dataclass(frozen=True)
 class Custom:
-    """A check of one's own: ``run(df)`` gives (passed, detail) and may use any Spark job."""
+    """A check of one's own: ``run(df)`` gives (passed, detail) and may use any Spark job of its own."""
 
     name: str
     run: Callable[[DataFrame], tuple[bool, str]]
@@ -107,8 +119,25 @@ def _outcome(name: str, passed: Column, bad: Column, detail: Column) -> Column:
     )
 
 
+def observable(check, schema: T.StructType) -> bool:
+    """Whether a check can be measured inside a write: plain aggregates of columns that cannot fail on any value."""
+    kinds = {f.name: f.dataType for f in schema}
+    if isinstance(check, HasRows):
+        return True
+    if isinstance(check, NoNulls):
+        return all(c in kinds for c in check.columns)
+    if isinstance(check, CountOf) and check.numeric:
+        return isinstance(kinds.get(check.numeric), T.NumericType)
+    if isinstance(check, CountOf) and check.pair:
+        left, right = check.pair
+        return left in kinds and kinds[left] == kinds.get(right)
+    return False
+
+
 def _comparable(df: DataFrame, check) -> None:
     """Raise, before anything runs, for a check the columns cannot answer."""
+    if isinstance(check, Query):
+        return
     if isinstance(check, UniqueKey):
         df.select(*check.columns)
         return
@@ -118,11 +147,12 @@ def _comparable(df: DataFrame, check) -> None:
             raise TypeError(f"{check.numeric} is not numeric")
 
 
-def run_checks(df: DataFrame, asset_key: str, checks, run_ts: datetime) -> DataFrame:
+def run_checks(df: DataFrame, asset_key: str, checks, run_ts: datetime, measured: dict[str, list] | None = None) -> DataFrame:
     """One result row per check: passed, number of offending rows, detail.
 
     Expects a stored or staged table, which it reads once for all plain checks and
-    once, keys only, per key set. The results are computed here and now, a row for each
+    once, keys only, per key set. ``measured`` holds, by check name, measures that the write took
+    already (`observed.TableFigures`); these checks read nothing. The results are computed here and now, a row for each
     check; if the common pass crashes, the checks run one by one, and those that crash
     are recorded as failed. Every check needs a name of its own.
     """
@@ -134,11 +164,11 @@ def run_checks(df: DataFrame, asset_key: str, checks, run_ts: datetime) -> DataF
     plain = [c for c in checks if not isinstance(c, Custom)]
     found = [_run_custom(df, c) for c in custom]
     try:
-        found += _measured(df, plain).collect() if plain else []
+        found += _measured(df, plain, measured).collect() if plain else []
     except Exception:
         for check in plain:
             try:
-                found += _measured(df, [check]).collect()
+                found += _measured(df, [check], measured).collect()
             except Exception as exc:  # a crash at run time is a failed check too
                 found.append(_crashed(check.name, exc))
     order = {name: at for at, name in enumerate(names)}
@@ -162,13 +192,28 @@ def _run_custom(df: DataFrame, check) -> tuple:
         return _crashed(check.name, exc)
 
 
-def _measured(df: DataFrame, checks) -> DataFrame:
-    """The results of checks on columns, as one plan."""
+def _measured(df: DataFrame, checks, measured: dict[str, list] | None = None) -> DataFrame:
+    """The results of checks on columns and of lazy frames, as one plan."""
     rows: list[Column] = []
     keyed: list[UniqueKey] = []
     measures: list[Column] = []
+    parts: list[DataFrame] = []
+    taken: list[Column] = []
     pending = []
     for check in checks:
+        if measured and check.name in measured:
+            taken.append(_outcome(check.name, *check.outcome([F.lit(n) for n in measured[check.name]])))
+            continue
+        if isinstance(check, Query):
+            try:
+                row = check.build(df)
+                parts.append(row.select(F.inline(F.array(
+                    _outcome(check.name, F.col("passed"), F.col("bad"), F.col("detail"))
+                ))))
+            except Exception as exc:  # a frame that cannot be analysed is a failed check too
+                name, passed, bad, detail = _crashed(check.name, exc)
+                taken.append(_outcome(name, F.lit(passed), F.lit(bad), F.lit(detail)))
+            continue
         try:
             _comparable(df, check)
         except Exception as exc:  # any crash is a failed check, never a silent pass
@@ -185,7 +230,11 @@ def _measured(df: DataFrame, checks) -> DataFrame:
     totals = df.agg(F.lit(None).alias("nothing"), *[m.alias(f"m{i}") for i, m in enumerate(measures)])
     for check, start, n in pending:
         rows.append(_outcome(check.name, *check.outcome([F.col(f"m{i}") for i in range(start, start + n)])))
-    parts = [totals.select(F.inline(F.array(*rows)))] if rows else []
+    if rows:
+        # Without a measure to take, nothing is read.
+        parts.append((totals if measures else df.sparkSession.range(1)).select(F.inline(F.array(*rows))))
+    if taken:
+        parts.append(df.sparkSession.range(1).select(F.inline(F.array(*taken))))
     for check in keyed:
         dupes = F.col("dupes")
         detail = F.concat(dupes.cast("string"), F.lit(f" repeated on ({', '.join(check.columns)})"))

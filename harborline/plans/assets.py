@@ -8,6 +8,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, functions as F
 
 from harborline.operators import calls, connections, quality as q, traffic
+from harborline.sinks.layout import Layout
 from harborline.sources import landed, schemas
 
 # Asset keys, key columns, check names and units of the published tables,
@@ -42,7 +43,10 @@ class Asset:
     grain: str
     upstreams: tuple[str, ...] = ()
     partition_by: str | None = None
-    sort_by: tuple[str, ...] = ()
+    layout: Layout | None = None
+    # Columns whose smallest and largest value, and whose distinct values, each run records.
+    spans: tuple[str, ...] = ()
+    distincts: tuple[str, ...] = ()
     position: tuple[str, ...] = ()
     docs: dict[str, tuple[str, str | None]] = field(default_factory=dict)
     landed: str | None = None
@@ -63,27 +67,44 @@ class Inputs:
     daily: Callable[[], DataFrame]
     stored: Callable[[str], DataFrame]
     record_shapes: dict[str, str]
+    # Step between page numbers: 1 where pages are counted, the page size where they are numbered by offset.
+    page_steps: dict[str, int] = field(default_factory=dict)
+    _parsed: dict[str, tuple[DataFrame, dict[str, int]]] = field(default_factory=dict)
+
+    def parsed(self, name: str) -> tuple[DataFrame, dict[str, int]]:
+        """The landed pages of a name, parsed once in a run, and the counts of that pass."""
+        if name not in self._parsed:
+            self._parsed[name] = landed.stage_pages(self.bodies(name), page_shape(name), f"pages-{name}")
+        return self._parsed[name]
+
+    def records(self, name: str, positions: bool = False) -> DataFrame:
+        return landed.page_records(self.parsed(name)[0], self.record_shapes[name], positions)
+
+    def forget(self) -> None:
+        """Parse anew from here on: the staged pages of a run go with its scratch folder."""
+        self._parsed.clear()
+
+
+def page_shape(name: str) -> str:
+    return "indicator" if name in ("countries", "traffic") else "features"
 
 
 def _country_dim(inputs: Inputs) -> DataFrame:
-    records = landed.read_indicator_pages(inputs.bodies("countries"), inputs.record_shapes["countries"])
-    return traffic.country_dim(records)
+    return traffic.country_dim(inputs.records("countries"))
 
 
 def _traffic(inputs: Inputs) -> DataFrame:
-    records = landed.read_indicator_pages(inputs.bodies("traffic"), inputs.record_shapes["traffic"])
-    return traffic.clean_traffic(records, inputs.stored(COUNTRY_DIM))
+    return traffic.clean_traffic(inputs.records("traffic"), inputs.stored(COUNTRY_DIM))
 
 
 def _ports(inputs: Inputs) -> DataFrame:
-    rows = landed.read_feature_pages(inputs.bodies("ports"), inputs.record_shapes["ports"], positions=True)
+    rows = inputs.records("ports", positions=True)
     renamed = [F.col(old).alias(new) for old, new in schemas.PORT_COLUMNS.items()]
     return rows.select(*renamed, "page", "position")
 
 
 def _connections(inputs: Inputs) -> DataFrame:
-    rows = landed.read_feature_pages(inputs.bodies("connections"), inputs.record_shapes["connections"])
-    return schemas.require_columns(rows, schemas.CONNECTION_COLUMNS)
+    return schemas.require_columns(inputs.records("connections"), schemas.CONNECTION_COLUMNS)
 
 
 def _calls(inputs: Inputs) -> DataFrame:
@@ -171,7 +192,8 @@ ASSETS = (
         ),
         description="Yearly container traffic of each country",
         source=INDICATORS, source_detail="IS.SHP.GOOD.TU", grain="one row per country and year",
-        upstreams=(COUNTRY_DIM,), landed="traffic", required=schemas.INDICATOR_FIELDS,
+        upstreams=(COUNTRY_DIM,), landed="traffic", required=schemas.INDICATOR_FIELDS, spans=("traffic_year",),
+        distincts=("country_iso3",),
         docs={
             "country_iso3": ("Three-letter code of the country", None),
             "country_id": ("Two-character code the source uses", None),
@@ -239,14 +261,14 @@ ASSETS = (
     ),
     Asset(
         key=CALLS_MART, build=_calls_mart, write="replace", keys=calls.CALL_KEYS, enforce_key=True,
-        checks=(q.HasRows(),), parity_with=CALLS, sort_by=("country_iso3", "portid"),
+        checks=(q.HasRows(),), parity_with=CALLS, layout=Layout(("country_iso3", "portid"), ("portid",)),
         description="Monthly calls by vessel type with the port they belong to",
         source=DERIVED, source_detail="Rebuilt whole on every run", grain="one row per port, year and month",
         upstreams=(CALLS, PORTS),
     ),
     Asset(
         key=CONNECTION_MART, build=_connection_mart, write="replace", keys=connections.PAIR, enforce_key=True,
-        checks=(q.HasRows(),), sort_by=("from_portid", "rank_from_port"),
+        checks=(q.HasRows(),), layout=Layout(("from_portid", "rank_from_port"), ("to_portid",)),
         description="Port pairs ranked by capacity at either end, with a domestic flag",
         source=DERIVED, source_detail="Rebuilt whole on every run", grain="one row per directed pair of ports",
         upstreams=(CONNECTIONS, PORTS),

@@ -6,10 +6,11 @@ from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from harborline.operators.quality import Custom, row_parity, run_checks
+from harborline.operators.observed import TableFigures
+from harborline.operators.quality import Query, row_parity, run_checks
 from harborline.operators.upserts import assert_key
 from harborline.plans import catalog
-from harborline.plans.assets import ASSETS, Asset, Inputs
+from harborline.plans.assets import ASSETS, Asset, Inputs, page_shape
 from harborline.plans.catalog import Catalog, Run
 from harborline.session import scratch_scope, stage
 from harborline.sinks.tables import TableStore
@@ -27,13 +28,19 @@ class QualityFailure(RuntimeError):
     """A check failed and the run was told to enforce checks."""
 
 
-def landed_inputs(spark: SparkSession, folder: str, store: TableStore, packed: bool = False, shapes=None) -> Inputs:
-    """Inputs from ``<folder>/<name>`` page bodies and the daily layer in ``<folder>/daily_calls``."""
+def landed_inputs(
+    spark: SparkSession, folder: str, store: TableStore, packed: bool = False, shapes=None, page_steps=None
+) -> Inputs:
+    """Inputs from ``<folder>/<name>`` page bodies and the daily layer in ``<folder>/daily_calls``.
+
+    ``page_steps`` names the page size of landings whose pages are numbered by offset (0, 1000, 2000, ...).
+    """
     return Inputs(
         bodies=lambda name: landed.read_bodies(spark, f"{folder}/{name}", packed),
         daily=lambda: spark.read.parquet(f"{folder}/daily_calls"),
         stored=store.read,
         record_shapes={**RECORD_SHAPES, **(shapes or {})},
+        page_steps=dict(page_steps or {}),
     )
 
 
@@ -45,60 +52,68 @@ def in_order(assets) -> list[Asset]:
 
 
 def run_jobs(
-    store: TableStore, inputs: Inputs, run: Run, assets=ASSETS, enforce: bool = False, refresh_docs: bool = False,
-    register: bool = False,
+    store: TableStore, inputs: Inputs, run: Run, assets=ASSETS, enforce: bool = False, refresh_docs: bool = False
 ) -> None:
     """Build, check and publish every asset; what was done is recorded even if a later one fails.
 
-    ``enforce`` turns the advisory checks into a gate before publication, ``register``
-    refreshes the SQL names of the tables. Scratch tables of the run are deleted.
+    ``enforce`` turns the advisory checks into a gate before publication. Scratch tables of the run are deleted.
     """
     record = Catalog(store)
+    inputs.forget()
     with scratch_scope(store.spark):
         try:
             for asset in in_order(assets):
                 _run_one(asset, store, inputs, run, record, enforce)
-                if register:
-                    store.register(asset.key)
         finally:
             record.flush(refresh_docs)
+            inputs.forget()
 
 
 def _run_one(asset: Asset, store: TableStore, inputs: Inputs, run: Run, record: Catalog, enforce: bool) -> None:
-    pages = _landed_checks(asset, inputs)
+    """One asset. Its batch is written once, and that write takes every figure the registry and the checks need."""
+    spark = store.spark
+    pages, landed_counts, unlisted = _landed_checks(asset, inputs)
     built = catalog.with_docs(asset.build(inputs), asset.docs)
-    commit = None
-    if asset.write == "upsert":
-        incoming = stage(built, asset.key.replace(".", "-"))
+    figures = TableFigures(built, asset.checks, asset.spans, asset.distincts)
+    content = None
+    if asset.write == "replace":
+        # Written as the table's next content, and published after the checks.
+        content = store.prepare(asset.key, built, figures=figures, layout=asset.layout)
+        incoming = store.prepared(content)
     else:
-        # Written once, as the table's next content, and published after the checks.
-        content = store.fitted(asset.key, built) if asset.write == "reload" else built
-        commit = store.prepare(asset.key, content, sort_by=asset.sort_by)
-        incoming = store.prepared(commit)
+        incoming = stage(figures.on(built), asset.key.replace(".", "-"))
     batch = incoming.drop(*asset.position)
-    if asset.docs:
-        # Computed once; as many rows as the table has columns.
-        fields = catalog.profile_fields(batch, asset.key, asset.docs)
-        fields = store.spark.createDataFrame(fields.collect(), fields.schema)
     if asset.enforce_key:
         assert_key(batch, asset.keys, asset.key)
-    results = run_checks(batch, asset.key, (*pages, *asset.checks), run.at)
+    results = run_checks(batch, asset.key, (*pages, *asset.checks), run.at, figures.measured())
     record.add(catalog.CHECK_TABLE, results)
     failed = [r["check_name"] for r in results.where(~F.col("passed")).collect()] if enforce else []
     if failed:
         raise QualityFailure(f"{asset.key}: {', '.join(failed)}")
 
-    if commit:
-        store.publish(commit)
-        stored = batch
+    if content:
+        store.publish(content)
+        stored, stored_rows = batch, figures.rows
+    elif asset.write == "reload":
+        stored, stored_rows = store.reload(asset.key, batch), figures.rows
     else:
         stored = store.upsert(asset.key, incoming, asset.keys, asset.partition_by, asset.position, staged=True)
-
-    record.add(catalog.ASSET_TABLE, catalog.asset_row(stored, batch, asset, run))
+        # Counted from file footers: no column is read.
+        stored_rows = stored.count()
+
+    record.add(catalog.ASSET_TABLE, catalog.asset_row(spark, asset, run, stored_rows, figures.rows))
+    metrics = [(f"landed_{name}", n) for name, n in landed_counts.items()]
+    metrics += [(m, n) for m, n in figures.metrics() if m.removeprefix("nulls.") not in asset.position]
+    record.add(catalog.METRIC_TABLE, catalog.metric_rows(spark, asset.key, metrics))
+    if figures.sketches():
+        record.add(catalog.SKETCH_TABLE, catalog.sketch_rows(spark, asset.key, run, figures.sketches()))
     if asset.docs:
+        fields = catalog.written_fields(spark, batch.schema, asset.key, asset.docs, figures.rows, figures.filled())
         record.add(catalog.FIELD_TABLE, fields)
     if asset.layer == "mart":
-        record.add(catalog.EDGE_TABLE, catalog.edges_to(store.spark, asset.key, asset.upstreams))
+        record.add(catalog.EDGE_TABLE, catalog.edges_to(spark, asset.key, asset.upstreams))
+    if unlisted is not None:
+        record.add(catalog.UNLISTED_TABLE, unlisted.select(F.lit(asset.key).alias("asset_key"), "*"))
     if asset.parity_with:
         record.add(catalog.CHECK_TABLE, _parity_result(asset, stored, store.read(asset.parity_with), run))
 
@@ -112,24 +127,31 @@ def _parity_result(asset: Asset, stored: DataFrame, raw: DataFrame, run: Run) ->
     return stored.sparkSession.createDataFrame(found.collect(), found.schema)
 
 
-def _landed_checks(asset: Asset, inputs: Inputs) -> tuple[Custom, ...]:
-    """What the landed pages of an asset must hold, before anything is filtered.
+def _landed_checks(asset: Asset, inputs: Inputs) -> tuple[tuple[Query, ...], dict[str, int], DataFrame | None]:
+    """What the landed pages of an asset must hold before anything is filtered, the counts of their one parse, and the
+    fields that the asset's list of columns leaves behind.
 
     A field that no landed record carries is schema drift and stops the job. Pages that
     are missing, repeated or cut off are a failed check, and under ``enforce`` a gate.
     """
     if not asset.landed:
-        return ()
-    shape = "indicator" if asset.landed in ("countries", "traffic") else "features"
-    bodies = inputs.bodies(asset.landed)
-    names = [r["field"] for r in landed.missing_fields(bodies, asset.required, shape).collect()]
+        return (), {}, None
+    pages, counts = inputs.parsed(asset.landed)
+    # As many rows as the records have fields and types.
+    inventory = stage(landed.field_inventory(pages, landed.parents_of(asset.required)), "fields")
+    names = [r["field"] for r in landed.absent_fields(inventory, asset.required).collect()] if counts["records"] else []
     if names:
-        raise ValueError(f"{asset.key}: landed records never carry {', '.join(names)}")
-    audit = landed.audit_indicator_pages if shape == "indicator" else landed.audit_feature_pages
-
-    def complete(_: DataFrame) -> tuple[bool, str]:
-        issues = audit(bodies).where("issue IS NOT NULL").groupBy("issue").agg(F.count("*").alias("pages"))
-        found = [f"{r['issue']}: {r['pages']}" for r in issues.orderBy("issue").collect()]
-        return not found, "; ".join(found) or "all pages are there"
-
-    return (Custom("pages_complete", complete),)
+        raise ValueError(f"{asset.key}: landed records never carry {', '.join(sorted(names))}")
+    step = inputs.page_steps.get(asset.landed, 1)
+
+    def complete(_: DataFrame) -> DataFrame:
+        issues = landed.page_problems(pages, page_shape(asset.landed), step)
+        text = F.concat_ws(": ", "issue", F.col("pages").cast("string"))
+        # As many rows as there are kinds of issue.
+        found = issues.agg(F.array_join(F.array_sort(F.collect_list(text)), "; ").alias("found"), F.sum("pages").alias("bad"))
+        return found.select(
+            F.col("bad").isNull().alias("passed"), F.coalesce("bad", F.lit(0)).alias("bad"),
+            F.when(F.col("bad").isNull(), "all pages are there").otherwise(F.col("found")).alias("detail"),
+        )
+
+    return (Query("pages_complete", complete),), counts, landed.unlisted_fields(inventory, asset.required)

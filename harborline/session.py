@@ -20,6 +20,11 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.ansi.enabled": "true",
+    # Landed records may repeat a field; the last one counts.
+    "spark.sql.variant.allowDuplicateKeys": "true",
+    # An overwrite replaces the partitions it brings rows for; a column that an insert lacks is an error, not NULL.
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    "spark.sql.defaultColumn.useNullsForMissingDefaultValues": "false",
     "spark.sql.session.timeZone": "UTC",
 }
 

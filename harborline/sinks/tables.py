@@ -1,148 +1,141 @@
-"""Tables on plain Parquet that are replaced and merged without a torn state.
-
-Every write goes to a commit folder of its own, ``<root>/<schema>/<table>/commit=<n>-<kind>-<id>``,
-and becomes visible when a marker file is put there after the data is complete: write,
-check, publish, with the data written once. A *full* commit hides everything before it; a
-*delta* commit holds the whole new content of the partitions it touches. Readers take, per
-partition, the newest published commit, so a crashed job leaves the old table in place and
-a running reader keeps its files.
+"""Published tables: Parquet tables of the session's catalog, replaced, reloaded and merged.
+
+The catalog knows a table's columns, partitions and folder; the work here is the joins and key checks of a merge. New
+content is written to a folder of its own, checked there, and published by pointing the table at it, so the data is
+written once and a crashed job leaves the old content in place. A merge into a partitioned table is Spark's dynamic
+partition overwrite: only the partitions of the batch are read and written. A reload is `INSERT OVERWRITE ... BY NAME`,
+where Spark holds the batch against the table's columns. Tables outlive the session where its catalog does (a metastore).
 """
 
 from __future__ import annotations
 
-import json
-import re
+import time
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from harborline.operators.upserts import assert_key, insert_ignore, last_wins, partial_upsert, upsert
 from harborline.session import hadoop_path, spread, stage
 
-MARKER = "_PUBLISHED"
-_COMMIT = re.compile(r"commit=(\d+)-(full|delta)-[0-9a-f]+$")
-
 
 @dataclass(frozen=True)
-class Commit:
+class Prepared:
     """Content that is written but not published."""
 
+    key: str
     path: str
     schema: T.StructType
-    base: str | None = None
+    partition_by: tuple[str, ...] = field(default=())
 
 
 class TableStore:
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
+    """Tables named ``schema.table`` under one root folder. ``namespace`` is put before the names of databases."""
+
+    def __init__(self, spark: SparkSession, root: str, namespace: str = ""):
+        self.spark, self.root, self.namespace = spark, root.rstrip("/"), namespace
 
     # ---- what is there -------------------------------------------------------
 
+    def name(self, key: str) -> str:
+        """The name of a table in SQL."""
+        schema, table = key.split(".")
+        return f"`{self.namespace}{schema}`.`{table}`"
+
     def path(self, key: str) -> str:
         return f"{self.root}/{key.replace('.', '/')}"
 
-    def _list(self, pattern: str) -> list[str]:
-        glob, files = hadoop_path(self.spark, pattern)
-        return sorted(s.getPath().toString() for s in files.globStatus(glob) or [])
-
-    def _commits(self, key: str) -> list[str]:
-        """Published commits since the last full one, oldest first."""
-        done = [p.rsplit("/", 1)[0] for p in self._list(f"{self.path(key)}/commit=*/{MARKER}")]
-        full = [i for i, p in enumerate(done) if _COMMIT.search(p).group(2) == "full"]
-        return done[full[-1]:] if full else []
-
-    def _partitions(self, commits: list[str]) -> list[str]:
-        """Per partition value, its folder in the newest of the commits that has it."""
-        newest: dict[str, str] = {}
-        for commit in commits:
-            for folder in self._list(f"{commit}/*=*"):
-                newest[folder.rsplit("/", 1)[1]] = folder
-        return sorted(newest.values())
-
     def exists(self, key: str) -> bool:
-        return bool(self._commits(key))
+        return self.spark.catalog.tableExists(self.name(key))
 
     def read(self, key: str, partitions: dict[str, list] | None = None) -> DataFrame:
         """Current content; ``partitions`` keeps only the listed partition values."""
-        commits = self._commits(key)
-        if not commits:
-            raise FileNotFoundError(f"no table {key} under {self.root}")
-        schema = self._schema(commits[0])
-        folders = self._partitions(commits)
-        if folders:
-            reader = self.spark.read.schema(schema).option("basePath", self.path(key))
-            df = reader.parquet(*folders).select(*schema.names)
-        else:
-            df = self.prepared(Commit(commits[-1], schema))
+        if not self.exists(key):
+            raise FileNotFoundError(f"no table {key} in {self.root}")
+        df = self.spark.table(self.name(key))
         for column, values in (partitions or {}).items():
             df = df.where(F.col(column).isin(values))
         return df
 
-    # ---- writes --------------------------------------------------------------
+    def location(self, key: str) -> str:
+        """The folder the table points at."""
+        rows = self.spark.sql(f"DESCRIBE TABLE EXTENDED {self.name(key)}").where("col_name = 'Location'").collect()
+        return rows[-1]["data_type"]
 
-    def _newest(self, key: str) -> str | None:
-        return next(reversed(self._commits(key)), None)
+    # ---- writes --------------------------------------------------------------
 
-    def prepare(self, key: str, df: DataFrame, partition_by=(), kind: str = "full", sort_by=(), base=None) -> Commit:
+    def prepare(self, key: str, df: DataFrame, partition_by=(), sort_by=(), figures=None, layout=None) -> Prepared:
         """Write new content next to the current one, not visible yet.
 
-        ``base`` is the commit the content was made from; without, the current one. ``sort_by`` orders each file, so that filters on those columns skip row groups.
+        ``figures`` are taken by the write. ``layout`` (see `sinks/layout.py`) lays rows out by range; ``sort_by`` orders
+        the rows of each file only.
         """
-        base = base or self._newest(key)
-        numbers = [int(_COMMIT.search(p).group(1)) for p in self._list(f"{self.path(key)}/commit=*")]
-        path = f"{self.path(key)}/commit={max(numbers, default=0) + 1:012d}-{kind}-{uuid.uuid4().hex[:8]}"
-        laid_out = spread(df, partition_by)
-        if sort_by:
+        path = f"{self.path(key)}/v{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+        laid_out = layout.laid_out(df) if layout else spread(df, partition_by)
+        if sort_by and not layout:
             laid_out = laid_out.sortWithinPartitions(*sort_by)
-        laid_out.write.partitionBy(*partition_by).parquet(path)
-        return Commit(path, df.schema, base)
-
-    def prepared(self, commit: Commit) -> DataFrame:
-        return self.spark.read.schema(commit.schema).parquet(commit.path).select(*commit.schema.names)
-
-    def publish(self, commit: Commit) -> None:
-        """Make prepared content the current one: the marker, with the columns in it, is moved in place.
-
-        A table that another writer changed meanwhile is left as it is, with an error.
-        """
-        table = commit.path.rsplit("/", 1)[0].removeprefix(self.root).strip("/").replace("/", ".")
-        if self._newest(table) != commit.base:
-            raise RuntimeError(f"{table} changed since {commit.path} was prepared")
-        draft, files = hadoop_path(self.spark, f"{commit.path}/.{MARKER}")
-        out = files.create(draft, False)
-        out.write(json.dumps(commit.schema.jsonValue()).encode())
-        out.close()
-        if not files.rename(draft, hadoop_path(self.spark, f"{commit.path}/{MARKER}")[0]):
-            raise RuntimeError(f"could not publish {commit.path}")
-
-    def _schema(self, commit: str) -> T.StructType:
-        marker, files = hadoop_path(self.spark, f"{commit}/{MARKER}")
-        source = files.open(marker)
-        text = self.spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(source, "UTF-8")
-        source.close()
-        return T.StructType.fromJson(json.loads(text))
+        if figures:
+            laid_out = figures.on(laid_out)
+        writer = laid_out.write.partitionBy(*partition_by)
+        for option, value in (layout.options() if layout else {}).items():
+            writer = writer.option(option, value)
+        writer.parquet(path)
+        return Prepared(key, path, df.schema, tuple(partition_by))
+
+    def prepared(self, content: Prepared) -> DataFrame:
+        return self.spark.read.schema(content.schema).parquet(content.path).select(*content.schema.names)
+
+    def publish(self, content: Prepared) -> None:
+        """Make prepared content the current one: the table points at its folder from now on."""
+        name = self.name(content.key)
+        if self.exists(content.key):
+            if not content.partition_by and self._same_columns(content):
+                self.spark.sql(f"ALTER TABLE {name} SET LOCATION '{content.path}'")
+                self.spark.catalog.refreshTable(name)
+                return
+            # Other columns or partitions are another definition. The table owns no files: the old ones stay.
+            self.spark.sql(f"DROP TABLE {name}")
+        database = name.split(".")[0]
+        folder = self.path(content.key).rsplit("/", 1)[0]
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{folder}'")
+        if not content.partition_by:
+            self.spark.catalog.createTable(name, path=content.path, source="parquet", schema=content.schema)
+            return
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in content.schema)
+        keys = ", ".join(f"`{c}`" for c in content.partition_by)
+        self.spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet PARTITIONED BY ({keys}) LOCATION '{content.path}'")
+        self.spark.catalog.recoverPartitions(name)
+
+    def _same_columns(self, content: Prepared) -> bool:
+        current = self.read(content.key).schema
+        partitioned = any(c.isPartition for c in self.spark.catalog.listColumns(self.name(content.key)))
+        return not partitioned and current.jsonValue() == T.StructType(
+            [T.StructField(f.name, f.dataType, True, f.metadata) for f in content.schema]
+        ).jsonValue()
 
     def replace(self, key: str, df: DataFrame, partition_by=()) -> DataFrame:
         """Whole new content, with whatever columns the frame has."""
         self.publish(self.prepare(key, df, partition_by))
         return self.read(key)
 
-    def fitted(self, key: str, df: DataFrame) -> DataFrame:
-        """The frame under the columns the table already has; any difference is an error."""
-        if not self.exists(key):
-            return df
-        current = self.read(key).schema
-        want = {f.name: f.dataType for f in current}
-        have = {f.name: f.dataType for f in df.schema}
-        if want != have:
-            raise ValueError(f"{key} has {want}, the batch has {have}")
-        return df.select(*current.names)
-
     def reload(self, key: str, df: DataFrame, partition_by=()) -> DataFrame:
-        """Whole new content under the columns the table already has."""
-        return self.replace(key, self.fitted(key, df), partition_by)
+        """Whole new content under the columns the table has: a missing or other column, or another type, is an error.
+
+        The frame must not read the table itself.
+        """
+        if not self.exists(key):
+            return self.replace(key, df, partition_by)
+        current = self.read(key)
+        types = {f.name: f.dataType for f in current.schema}
+        odd = [f"{f.name} {f.dataType.simpleString()}" for f in df.schema if types.get(f.name, f.dataType) != f.dataType]
+        if odd:
+            # Spark would store them after a cast that it takes for safe.
+            raise ValueError(f"{key} has other types than the batch: {', '.join(odd)}")
+        if partition_by:
+            # A dynamic overwrite leaves partitions that the batch lacks alone; a reload clears them.
+            return self.replace(key, df.select(*current.columns), partition_by)
+        self.spark.sql(f"INSERT OVERWRITE TABLE {self.name(key)} BY NAME SELECT * FROM {{batch}}", batch=df)
+        return self.read(key)
 
     def upsert(
         self, key: str, batch: DataFrame, keys, partition_by: str | None = None, position=(), staged: bool = False
@@ -151,11 +144,10 @@ class TableStore:
 
         With ``position`` columns a repeated key is allowed and its last row wins; without,
         it is an error, as is an incomplete key. Of a partitioned table only the partitions
-        the batch touches are read and rewritten. ``staged`` says the batch is a written table.
+        the batch touches are read and overwritten. ``staged`` says the batch is a written table.
         """
         if partition_by and partition_by not in keys:
             raise ValueError(f"{key}: the partition column {partition_by} must be part of the key")
-        base = self._newest(key)
         if position:
             batch = last_wins(batch, keys, position)
         if position or not staged:
@@ -164,13 +156,15 @@ class TableStore:
         if not self.exists(key):
             return self.replace(key, batch, (partition_by,) if partition_by else ())
         if not partition_by:
-            self.publish(self.prepare(key, upsert(self.read(key), batch, keys), base=base))
-            return self.read(key)
+            return self.replace(key, upsert(self.read(key), batch, keys))
         # One value per partition folder: as many as the table has folders, not rows.
         touched = [r[0] for r in batch.select(partition_by).distinct().collect()]
         if touched:
-            kept = self.read(key, {partition_by: touched})
-            self.publish(self.prepare(key, upsert(kept, batch, keys), (partition_by,), "delta", base=base))
+            merged = upsert(self.read(key, {partition_by: touched}), batch, keys)
+            self.spark.sql(
+                f"INSERT OVERWRITE TABLE {self.name(key)} BY NAME SELECT * FROM {{merged}}",
+                merged=spread(merged, (partition_by,)),
+            )
         return self.read(key)
 
     def merge_columns(self, key: str, batch: DataFrame, keys, refresh) -> DataFrame:
@@ -186,37 +180,11 @@ class TableStore:
             return self.replace(key, batch.distinct())
         return self.replace(key, insert_ignore(self.read(key), batch))
 
-    def register(self, key: str) -> None:
-        """Make the current content readable in SQL under its own name, schema included.
-
-        A partitioned table is a union of its folders with the partition value as a
-        literal, so that a filter on it drops whole branches. Call again after a write.
-        """
-        commits = self._commits(key)
-        schema = self._schema(commits[0])
-        columns = ", ".join(f"`{c}`" for c in schema.names)
-        selects = []
-        for folder in self._partitions(commits) or [commits[-1]]:
-            name, found, value = folder.rsplit("/", 1)[1].partition("=")
-            # Folders of a table without partitions are the commits themselves.
-            literal = {} if name == "commit" or not found else {name: value}
-            parts = [
-                f"CAST('{literal[f.name]}' AS {f.dataType.simpleString()}) AS `{f.name}`" if f.name in literal else f"`{f.name}`"
-                for f in schema
-            ]
-            if self._list(f"{folder}/*.parquet"):
-                selects.append(f"SELECT {', '.join(parts)} FROM parquet.`{folder}`")
-        if not selects:
-            nulls = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS `{f.name}`" for f in schema)
-            selects = [f"SELECT {nulls} WHERE false"]
-        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS `{key.split('.')[0]}`")
-        self.spark.sql(f"CREATE OR REPLACE VIEW {key} AS SELECT {columns} FROM ({' UNION ALL '.join(selects)})")
-
     def vacuum(self, key: str) -> int:
-        """Delete commits no reader of the current content needs; returns how many."""
-        keep = self._commits(key)
-        old = [c for c in self._list(f"{self.path(key)}/commit=*") if keep and c < keep[0]]
-        for commit in old:
-            folder, files = hadoop_path(self.spark, commit)
-            files.delete(folder, True)
+        """Delete content older than the current one, which no new reader needs; returns how many folders."""
+        current = self.location(key).rsplit("/", 1)[1]
+        folder, files = hadoop_path(self.spark, self.path(key))
+        old = [s.getPath() for s in files.listStatus(folder) if s.getPath().getName() < current]
+        for path in old:
+            files.delete(path, True)
         return len(old)

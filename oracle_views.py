@@ -292,7 +292,7 @@ UNION ALL SELECT 'port_mart.traffic_by_region_year', 'mart', CAST(count(*) AS BI
             ("port_raw.portwatch_ports", _suite("ports", [
                 ("has_rows", "rows", ""), ("unique_port", "unique", "portid"),
                 ("key_fields_present", "where", "portid IS NULL OR portname IS NULL")])
-             + " UNION ALL SELECT 'pages_complete', TRUE, CAST(NULL AS BIGINT)"),
+             + " UNION ALL SELECT 'pages_complete', TRUE, CAST(0 AS BIGINT)"),
             ("port_raw.port_calls_monthly", _suite(
                 "(SELECT * FROM calls_monthly WHERE calls_year >= (SELECT max(year) - 1 FROM daily_calls)) m", [
                     ("has_rows", "rows", ""), ("unique_port_month", "unique", "portid, calls_year, calls_month"),

@@ -1,6 +1,7 @@
 import os
 import sys
 import tempfile
+import uuid
 
 import pytest
 
@@ -24,7 +25,7 @@ def folder():
 
 @pytest.fixture
 def store(spark, folder):
-    return TableStore(spark, f"{folder}/tables")
+    return TableStore(spark, f"{folder}/tables", f"t{uuid.uuid4().hex[:12]}_")
 
 
 @pytest.fixture

@@ -120,6 +120,7 @@ def test_all_jobs_twice(spark, store, landed, rows):
     run_jobs(store, inputs, SECOND)
     monthly = store.read(a.CALLS)
     assert rows(monthly.groupBy("calls_year").agg(F.sum("calls_total"))) == [(2022, 27), (2023, 27), (2024, 9)]
+    assert store.read(catalog.METRIC_TABLE).groupBy("asset_key", "metric").count().where("count > 1").isEmpty()
     assert rows(store.read(a.PORTS).select("portid")) == [("p1",), ("p2",)]
     again = {r["asset_key"]: r for r in store.read(catalog.ASSET_TABLE).collect()}
     assert set(again) == set(registered)
@@ -219,6 +220,56 @@ def test_checks_of_one_name_are_refused_and_runs_do_not_multiply(spark, store, l
     assert store.read(catalog.CHECK_TABLE).count() == len(asset.checks) + 1
 
 
+def test_pages_numbered_by_offset(spark, store, folder, rows):
+    """Offsets 0, 1000, 2000 are the whole landing; a missing one is one gap of one page."""
+    for at, more in ((0, True), (1000, True), (2000, False)):
+        page(f"{folder}/landed", "ports", at, features([port(f"p{at}")], more))
+    only = [asset for asset in a.ASSETS if asset.key == a.PORTS]
+    inputs = landed_inputs(spark, f"{folder}/landed", store, page_steps={"ports": 1000})
+    run_jobs(store, inputs, FIRST, only, enforce=True)
+    assert store.read(a.PORTS).count() == 3
+    pathlib.Path(folder, "landed", "ports", "page-1000.json").unlink()
+    with pytest.raises(QualityFailure, match="pages_complete"):
+        run_jobs(store, inputs, SECOND, only, enforce=True)
+    found = store.read(catalog.CHECK_TABLE).where("check_name = 'pages_complete'").select("passed", "bad", "detail")
+    assert rows(found) == [(False, 1, "missing: 1")]
+
+
+def test_figures_come_from_the_write(spark, store, landed, rows):
+    only = [asset for asset in a.ASSETS if asset.key in (a.COUNTRY_DIM, a.TRAFFIC, a.PORTS)]
+    run_jobs(store, landed_inputs(spark, landed, store), FIRST, only)
+    metrics = {(r["asset_key"], r["metric"]): r["value"] for r in store.read(catalog.METRIC_TABLE).collect()}
+    assert metrics[(a.TRAFFIC, "landed_records")] == 5 and metrics[(a.TRAFFIC, "landed_bodies")] == 2
+    assert metrics[(a.TRAFFIC, "rows_written")] == 3
+    assert (metrics[(a.TRAFFIC, "min.traffic_year")], metrics[(a.TRAFFIC, "max.traffic_year")]) == (2010, 2019)
+    assert metrics[(a.COUNTRY_DIM, "nulls.latitude")] == 3 and metrics[(a.COUNTRY_DIM, "nulls.longitude")] == 0
+    assert metrics[(a.PORTS, "rows_written")] == 3 and (a.PORTS, "nulls.position") not in metrics
+    sketch = store.read(catalog.SKETCH_TABLE).where(F.col("asset_key") == a.TRAFFIC)
+    assert rows(sketch.select("column_name", F.hll_sketch_estimate("sketch"))) == [("country_iso3", 2)]
+
+
+def test_distinct_counts_merge_over_runs(spark, store, landed, rows):
+    asset = next(asset for asset in a.ASSETS if asset.key == a.CONNECTIONS)
+    for run, legs in ((FIRST, [leg(f"p{i}", "q", 1.0) for i in range(300)]), (SECOND, [leg(f"p{i}", "q", 1.0) for i in range(200, 700)])):
+        page(landed, "connections", 1, features(legs))
+        run_jobs(store, landed_inputs(spark, landed, store), run, [replace(asset, distincts=("from_portid",))])
+    sketches = store.read(catalog.SKETCH_TABLE)
+    assert sketches.count() == 2
+    each = rows(sketches.select(F.hll_sketch_estimate("sketch")))
+    assert [abs(n - m) <= 0.02 * m for (n,), m in zip(each, (300, 500))] == [True, True]
+    merged = rows(catalog.merged_distincts(sketches))
+    assert merged[0][:2] == (a.CONNECTIONS, "from_portid") and abs(merged[0][2] - 700) <= 14
+
+
+def test_fields_outside_the_list_are_listed(spark, store, landed, rows):
+    page(landed, "ports", 2, features([port("p3", depth=7.5, berths=3), port("p4", depth=None, berths="many")]))
+    only = [asset for asset in a.ASSETS if asset.key == a.PORTS]
+    run_jobs(store, landed_inputs(spark, landed, store), FIRST, only)
+    assert rows(store.read(catalog.UNLISTED_TABLE).select("field", "data_type", "records")) == [
+        ("berths", "BIGINT", 1), ("berths", "STRING", 1), ("depth", "DECIMAL", 1), ("depth", "VOID", 1), ("fullname", "STRING", 4),
+    ]
+
+
 def test_docs_are_refreshed_on_request(spark, store, landed, rows):
     only = [asset for asset in a.ASSETS if asset.key == a.COUNTRY_DIM]
     inputs = landed_inputs(spark, landed, store)
