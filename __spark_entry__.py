@@ -16,6 +16,7 @@ import oracle_views  # noqa: E402
 from harborline.adapters import PAGE_RECORDS, Tables, feature_bodies, indicator_bodies  # noqa: E402
 from harborline.functions.columns import lenient_double  # noqa: E402
 from harborline.operators import calls, connections, quality as q, traffic, upserts  # noqa: E402
+from harborline.operators.observed import SKETCH_BITS  # noqa: E402
 from harborline.operators.ranking import rank_min_desc, rank_within  # noqa: E402
 from harborline.plans import assets as published, catalog  # noqa: E402
 from harborline.plans.jobs import landed_inputs, run_jobs  # noqa: E402
@@ -176,6 +177,75 @@ def _checks_with_a_crash(t: Tables) -> DataFrame:
     return found.withColumn("detail", F.regexp_replace("detail", "(?s)^(check crashed):.*", "$1"))
 
 
+def _check_details(t: Tables) -> DataFrame:
+    """Every kind of check on data that breaks it, with the text that says so."""
+    broken = t.connections().select(
+        F.when(F.col("from_portid") % 4 != 1, F.col("from_iso3")).alias("from_iso3"), "to_iso3", "from_portid", "to_portid",
+        (F.col("daily_capacity_at_risk") - 6000).alias("margin"), "average_transit_days",
+    )
+    suite = (
+        q.HasRows(),
+        q.NoNulls("countries_present", ("from_iso3", "to_iso3")),
+        q.NonNegative("margin_non_negative", "margin"),
+        q.Positive("days_positive", "average_transit_days"),
+        q.NotEqual("no_domestic_legs", "from_iso3", "to_iso3"),
+        q.UniqueKey("one_leg_a_port", ("from_portid",)),
+    )
+    return _checked(broken, "details", suite, "detail")
+
+
+def _lazy_checks(t: Tables) -> DataFrame:
+    """Checks of one's own that join the plan of the others: a join, a distinct count and a bound on a share."""
+
+    def known_ports(df: DataFrame) -> DataFrame:
+        bad = F.count("*")
+        return df.join(t.table("supplier"), F.col("portid") == F.col("s_suppkey"), "left_anti").agg(
+            (bad == 0).alias("passed"), bad.alias("bad"), F.concat(bad.cast("string"), F.lit(" without a port")).alias("detail")
+        )
+
+    def twelve_months(df: DataFrame) -> DataFrame:
+        short = df.groupBy("calls_year").agg(F.count_distinct("calls_month").alias("months")).where("months < 12")
+        bad = F.count("*")
+        years = F.array_join(F.array_sort(F.collect_list(F.col("calls_year").cast("string"))), ", ")
+        return short.agg((bad == 0).alias("passed"), bad.alias("bad"), F.concat(F.lit("short years: "), years).alias("detail"))
+
+    def even_types(df: DataFrame) -> DataFrame:
+        share = F.sum("calls_tanker") * 100 >= F.sum("calls_total") * 10
+        return df.agg(share.alias("passed"), F.sum("calls_tanker").alias("bad"), F.lit("tankers are a tenth or more").alias("detail"))
+
+    suite = (
+        q.HasRows(), q.Query("ports_known", known_ports), q.Query("whole_years", twelve_months),
+        q.Query("tankers_common", even_types),
+    )
+    return _checked(t.calls_monthly(), "lazy", suite, "detail")
+
+
+def _orphans(t: Tables) -> DataFrame:
+    """Calls of ports that the port table lacks, and that the mart therefore drops."""
+    ports = t.ports().where("portid % 7 <> 0")
+    return calls.calls_without_port(t.calls_monthly(), ports).select("portid", "calls_year", "calls_month", "calls_total")
+
+
+def _lost_parity(t: Tables) -> DataFrame:
+    stored = t.stored_calls()
+    mart = calls.port_calls_mart(stored, t.ports().where("portid % 7 <> 0"))
+    return q.row_parity(mart, stored)
+
+
+def _distinct_sketches(t: Tables) -> DataFrame:
+    """Customers of each year as sketches; their union over all years against the exact count, and each year's own."""
+    orders = t.table("orders").select(F.year("o_orderdate").alias("year"), "o_custkey")
+    exact = F.count_distinct("o_custkey").alias("customers")
+    per_year = stage(orders.groupBy("year").agg(F.hll_sketch_agg("o_custkey", SKETCH_BITS).alias("sketch")), "sketches")
+    about = per_year.select("year", F.hll_sketch_estimate("sketch").alias("about")).union(
+        per_year.agg(F.lit(None).cast("int"), F.hll_sketch_estimate(F.hll_union_agg("sketch")))
+    )
+    counted = orders.groupBy("year").agg(exact).union(orders.agg(F.lit(None).cast("int"), exact))
+    both = about.withColumnRenamed("year", "of").join(counted, F.col("of").eqNullSafe(F.col("year")))
+    close = F.abs(F.col("about") - F.col("customers")) <= F.col("customers") * 0.02
+    return both.select("year", "customers", close.alias("within_two_percent"))
+
+
 def _duplicates(t: Tables) -> DataFrame:
     return q.duplicate_rows(t.table("lineitem"), ("l_orderkey", "l_linenumber"))
 
@@ -298,6 +368,43 @@ def _page_audit_indicator(t: Tables) -> DataFrame:
     return landed.audit_indicator_pages(kept.union(kept.where("page % 6 = 1")))
 
 
+def _page_gaps(t: Tables) -> DataFrame:
+    """Port pages numbered by offset, many of them absent, and one stray page far out."""
+    offset = ((F.col("s_suppkey") - 1) * 1000).cast("bigint")
+    kept = t.table("supplier").where("s_suppkey % 5 <> 3 AND s_suppkey % 7 > 1").select(offset.alias("page"))
+    stray = t.spark.range(1).select(F.lit(2_000_000_000).cast("bigint").alias("page"))
+    return landed.page_gaps(kept.union(stray), step=1000)
+
+
+def _rich_port_pages(t: Tables) -> DataFrame:
+    """Port pages whose features carry more than the listed attributes."""
+    key = F.col("portid")
+    records = t.port_records().select(
+        "*", F.concat(F.lit("Port of "), "portname").alias("fullname"),
+        F.when(key % 3 == 0, key * 10).alias("berths"), (key % 2 == 0).alias("open"),
+        F.when(key % 4 == 1, F.array(F.lit("a"), F.col("country"))).alias("lines"),
+        F.when(key % 5 == 2, F.struct(key.alias("grade"))).alias("rating"),
+    )
+    bodies = feature_bodies(records, F.floor(key / PAGE_RECORDS) + 1)
+    return landed.stage_pages(bodies, "features")[0]
+
+
+def _unlisted_fields(t: Tables) -> DataFrame:
+    return landed.unlisted_fields(landed.field_inventory(_rich_port_pages(t)), schemas.PORT_COLUMNS)
+
+
+def _unlisted_kept(t: Tables) -> DataFrame:
+    """What a fixed list of columns leaves behind stays in a VARIANT column and can be asked for later."""
+    rows = stage(landed.page_attributes(_rich_port_pages(t), SHAPES["ports"]), "rich-ports")
+    rest = F.col("unlisted")
+    return rows.select(
+        "portid", "portname", F.variant_get(rest, "$.fullname", "string").alias("fullname"),
+        F.variant_get(rest, "$.berths", "bigint").alias("berths"), F.variant_get(rest, "$.open", "boolean").alias("is_open"),
+        F.variant_get(rest, "$.lines[1]", "string").alias("second_line"),
+        F.variant_get(rest, "$.rating.grade", "bigint").alias("grade"),
+    )
+
+
 def _event_bodies(t: Tables) -> DataFrame:
     kind, props = F.col("event_type"), F.col("props")
     body = (
@@ -329,6 +436,31 @@ def _lenient_numbers(t: Tables) -> DataFrame:
 # ---- whole jobs, from landed pages to published tables ---------------------------
 
 
+def _job_write_metrics(t: Tables) -> DataFrame:
+    return _run(t, *TRAFFIC_JOBS).read(catalog.METRIC_TABLE)
+
+
+def _job_registered_names(t: Tables) -> DataFrame:
+    """The registry's names of tables lead, in SQL, to the tables; every run carries one time."""
+    store = _run(t, *TRAFFIC_JOBS)
+    found = store.read(catalog.ASSET_TABLE).where(F.col("asset_key") == published.TRAFFIC)
+    asked = t.spark.sql(
+        f"SELECT traffic_year, count(*) AS countries FROM {store.name(published.TRAFFIC)} GROUP BY traffic_year"
+    )
+    return asked.join(found.select("schema_name", "table_name", F.date_format("last_run_at", "yyyy-MM-dd").alias("run_day")))
+
+
+def _job_offset_pages(t: Tables) -> DataFrame:
+    """Ports on pages of ten, numbered by offset, every fourth page not landed."""
+    folder, store = scratch_path(t.spark, "landed"), _store(t)
+    offset = F.floor(F.col("portid") / 10) * 1000
+    feature_bodies(t.port_records(), offset).where("(page / 1000) % 4 <> 2").write.parquet(f"{folder}/ports")
+    inputs = landed_inputs(t.spark, folder, store, packed=True, shapes=SHAPES, page_steps={"ports": 1000})
+    chosen = [a for a in published.ASSETS if a.key == published.PORTS]
+    run_jobs(store, inputs, catalog.Run(at=RUN_AT, pipeline_uuid="spark_entry"), chosen)
+    return store.read(catalog.CHECK_TABLE).select("check_name", "passed", "bad", "detail")
+
+
 def _run(t: Tables, *keys: str) -> TableStore:
     """Land the tables as pages and a daily layer, then run the named assets."""
     folder, store = scratch_path(t.spark, "landed"), _store(t)
@@ -378,9 +510,8 @@ def _job_check_results(t: Tables) -> DataFrame:
 try:
     from corpus_pipeline import ORACLE_SQL as PIPELINE_SQL, run as run_pipeline  # noqa: E402
     from harborline.llm.queries import ORACLE_SQL as LLM_SQL, QUERIES as LLM_QUERIES  # noqa: E402
-except ModuleNotFoundError as missing:
-    if not (missing.name or "").startswith(("corpus_pipeline", "harborline.llm")):
-        raise
+except ImportError:
+    # The subpackage, the pipeline or a library that only they need is not here; the other queries do without.
     LLM_QUERIES, LLM_SQL = {}, {}
 else:
     LLM_QUERIES = {**LLM_QUERIES, "pipeline": run_pipeline}
@@ -423,6 +554,14 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "feature_pages_flatten": _feature_flatten,
     "page_audit": _page_audit,
     "page_audit_indicator": _page_audit_indicator,
+    "page_gaps": _page_gaps,
+    "unlisted_fields": _unlisted_fields,
+    "unlisted_kept": _unlisted_kept,
+    "check_details": _check_details,
+    "lazy_checks": _lazy_checks,
+    "orphan_calls": _orphans,
+    "lost_row_parity": _lost_parity,
+    "distinct_sketches": _distinct_sketches,
     "body_quarantine": _body_quarantine,
     "body_features": _body_features,
     "lenient_numbers": _lenient_numbers,
@@ -437,6 +576,9 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "job_asset_rows": _job_asset_rows,
     "job_check_results": _job_check_results,
     "job_field_profile": _job_field_profile,
+    "job_write_metrics": _job_write_metrics,
+    "job_registered_names": _job_registered_names,
+    "job_offset_pages": _job_offset_pages,
 }
 
 

@@ -119,6 +119,19 @@ def _suite(view: str, checks) -> str:
     return " UNION ALL ".join(parts)
 
 
+def _metrics(asset: str, view: str, columns: str, landed=(), span: str = "") -> str:
+    """(asset_key, metric, value): the rows of a view, the nulls of its columns, and counts of the landing."""
+    parts = [f"SELECT 'rows_written' AS metric, count(*) AS value FROM {view}"]
+    parts += [f"SELECT 'nulls.{c}', count(*) - count({c}) FROM {view}" for c in columns.split()]
+    if landed:
+        records, bodies = landed
+        parts += [f"SELECT 'landed_records', count(*) FROM {records}", f"SELECT 'landed_bodies', {bodies} FROM {records}" if "(" in bodies else f"SELECT 'landed_bodies', {bodies}",
+                  "SELECT 'landed_unreadable', 0"]
+    if span:
+        parts += [f"SELECT '{end}.{span}', {end}({span}) FROM {view}" for end in ("min", "max")]
+    return f"SELECT '{asset}' AS asset_key, metric, CAST(value AS BIGINT) AS value FROM ({' UNION ALL '.join(parts)}) m"
+
+
 QUERIES = {
     "country_dim_derive": "SELECT * FROM country_dim",
     "country_dim_stats": """
@@ -266,6 +279,51 @@ FROM kept
 UNION ALL
 SELECT CAST(p AS INT), 0, 0, 'missing' FROM (SELECT unnest(range(1, (SELECT max(page) FROM landed) + 1)) AS p) q
 WHERE p NOT IN (SELECT page FROM kept)""",
+    "page_gaps": """
+WITH numbers AS (SELECT CAST((s_suppkey - 1) * 1000 AS BIGINT) AS page FROM supplier WHERE s_suppkey % 5 <> 3 AND s_suppkey % 7 > 1
+                 UNION ALL SELECT 2000000000 UNION ALL SELECT -1000),
+     ordered AS (SELECT page, lead(page) OVER (ORDER BY page) AS following FROM numbers)
+SELECT page + 1000 AS first_page, following - 1000 AS last_page, CAST((following - page) / 1000 - 1 AS BIGINT) AS pages
+FROM ordered WHERE following - page > 1000""",
+    "unlisted_fields": """
+SELECT 'fullname' AS field, 'STRING' AS data_type, count(*) AS records FROM ports
+UNION ALL SELECT 'open', 'BOOLEAN', count(*) FROM ports
+UNION ALL SELECT 'berths', 'BIGINT', count(*) FROM ports WHERE portid % 3 = 0
+UNION ALL SELECT 'lines', 'ARRAY', count(*) FROM ports WHERE portid % 4 = 1
+UNION ALL SELECT 'rating', 'OBJECT', count(*) FROM ports WHERE portid % 5 = 2""",
+    "unlisted_kept": """
+SELECT portid, portname, concat('Port of ', portname) AS fullname, CASE WHEN portid % 3 = 0 THEN portid * 10 END AS berths,
+       portid % 2 = 0 AS is_open, CASE WHEN portid % 4 = 1 THEN country END AS second_line,
+       CASE WHEN portid % 5 = 2 THEN portid END AS grade
+FROM ports""",
+    "check_details": """
+WITH broken AS (SELECT CASE WHEN from_portid % 4 <> 1 THEN from_iso3 END AS f, to_iso3, from_portid,
+                       daily_capacity_at_risk - 6000 AS margin, average_transit_days AS days FROM connections),
+     n AS (SELECT count(*) AS total, count(CASE WHEN f IS NULL THEN 1 END) AS gaps, count(CASE WHEN to_iso3 IS NULL THEN 1 END) AS far_gaps,
+                  count(CASE WHEN margin < 0 THEN 1 END) AS below, count(CASE WHEN days <= 0 THEN 1 END) AS still,
+                  count(CASE WHEN f = to_iso3 THEN 1 END) AS domestic, count(*) - count(DISTINCT from_portid) AS again FROM broken)
+SELECT 'has_rows' AS check_name, total > 0 AS passed, total AS bad, concat(total, ' rows') AS detail FROM n
+UNION ALL SELECT 'countries_present', gaps + far_gaps = 0, gaps, concat('missing: from_iso3=', gaps) FROM n
+UNION ALL SELECT 'margin_non_negative', below = 0, below, concat(below, ' below zero in margin') FROM n
+UNION ALL SELECT 'days_positive', still = 0, still, concat(still, ' zero or below in average_transit_days') FROM n
+UNION ALL SELECT 'no_domestic_legs', domestic = 0, domestic, concat(domestic, ' with from_iso3 equal to to_iso3') FROM n
+UNION ALL SELECT 'one_leg_a_port', again = 0, again, concat(again, ' repeated on (from_portid)') FROM n""",
+    "lazy_checks": """
+SELECT 'has_rows' AS check_name, count(*) > 0 AS passed, count(*) AS bad, concat(count(*), ' rows') AS detail FROM calls_monthly
+UNION ALL SELECT 'ports_known', count(*) = 0, count(*), concat(count(*), ' without a port') FROM calls_monthly
+WHERE portid NOT IN (SELECT s_suppkey FROM supplier)
+UNION ALL SELECT 'whole_years', count(*) = 0, count(*), concat('short years: ', COALESCE(string_agg(CAST(calls_year AS VARCHAR(10)), ', ' ORDER BY CAST(calls_year AS VARCHAR(10))), ''))
+FROM (SELECT calls_year FROM calls_monthly GROUP BY calls_year HAVING count(DISTINCT calls_month) < 12) y
+UNION ALL SELECT 'tankers_common', sum(calls_tanker) * 100 >= sum(calls_total) * 10, CAST(sum(calls_tanker) AS BIGINT), 'tankers are a tenth or more' FROM calls_monthly""",
+    "orphan_calls": "SELECT portid, calls_year, calls_month, calls_total FROM calls_monthly WHERE portid % 7 = 0",
+    "lost_row_parity": """
+SELECT count(CASE WHEN portid % 7 = 0 THEN 1 END) = 0 AS passed, count(*) AS raw_rows, count(CASE WHEN portid % 7 <> 0 THEN 1 END) AS mart_rows,
+       concat(count(CASE WHEN portid % 7 <> 0 THEN 1 END), ' of ', count(*), ' raw rows joined') AS detail
+FROM calls_monthly""",
+    "distinct_sketches": """
+SELECT CAST(year(o_orderdate) AS INT) AS year, count(DISTINCT o_custkey) AS customers, TRUE AS within_two_percent
+FROM orders GROUP BY year(o_orderdate)
+UNION ALL SELECT NULL, count(DISTINCT o_custkey), TRUE FROM orders""",
     "body_quarantine": "SELECT source, problem FROM event_bodies WHERE problem IS NOT NULL",
     "body_features": "SELECT CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM event_bodies WHERE problem IS NULL",
     "lenient_numbers": """
@@ -306,6 +364,30 @@ UNION ALL SELECT 'port_mart.traffic_by_region_year', 'mart', CAST(count(*) AS BI
       (SELECT count(*) AS n FROM calls_monthly WHERE calls_year >= (SELECT max(year) - 1 FROM daily_calls)) b"""),
         )
     ),
+    "job_write_metrics": " UNION ALL ".join([
+        _metrics("port_raw.country_dim", "country_dim",
+                 "country_iso3 country_iso2 country_name region_code region_name capital_city longitude latitude is_aggregate",
+                 landed=("country_src", "1")),
+        _metrics("port_raw.country_port_traffic", "traffic", "country_iso3 country_id country_name traffic_year teu",
+                 landed=("traffic_src", "count(DISTINCT country_id)"), span="traffic_year"),
+        _metrics("port_mart.traffic_by_region_year", "totals",
+                 "region_code region_name traffic_year total_teu countries_reporting mean_teu"),
+    ]),
+    "job_registered_names": """
+SELECT traffic_year, count(*) AS countries, 'port_raw' AS schema_name, 'country_port_traffic' AS table_name, '2024-01-01' AS run_day
+FROM traffic GROUP BY traffic_year""",
+    "job_offset_pages": """
+WITH landed AS (SELECT portid, CAST(floor(portid / 10) AS BIGINT) AS page FROM ports),
+     kept AS (SELECT * FROM landed WHERE page % 4 <> 2),
+     bounds AS (SELECT max(page) AS newest, count(DISTINCT page) AS pages, (SELECT max(page) FROM landed) AS announced FROM kept),
+     found AS (SELECT newest + 1 - pages AS missing, CASE WHEN newest < announced THEN 1 ELSE 0 END AS cut FROM bounds)
+SELECT 'has_rows' AS check_name, count(*) > 0 AS passed, count(*) AS bad, concat(count(*), ' rows') AS detail FROM kept
+UNION ALL SELECT 'unique_port', TRUE, CAST(0 AS BIGINT), '0 repeated on (portid)'
+UNION ALL SELECT 'key_fields_present', TRUE, CAST(0 AS BIGINT), 'complete: portid, portname'
+UNION ALL SELECT 'pages_complete', missing + cut = 0, CAST(missing + cut AS BIGINT),
+  CASE WHEN missing + cut = 0 THEN 'all pages are there'
+       ELSE concat_ws('; ', CASE WHEN cut > 0 THEN concat('cut off: more was announced: ', cut) END, CASE WHEN missing > 0 THEN concat('missing: ', missing) END) END
+FROM found""",
     "job_field_profile": """
 SELECT 'port_mart.traffic_by_region_year' AS asset_key, f.* FROM (
   SELECT 'region_code' AS field_name, 'string' AS data_type, CAST(NULL AS VARCHAR(10)) AS unit, count(*) > count(region_code) AS is_nullable FROM totals
