@@ -20,6 +20,7 @@ from harborline.operators.observed import SKETCH_BITS  # noqa: E402
 from harborline.operators.ranking import rank_min_desc, rank_within  # noqa: E402
 from harborline.plans import assets as published, catalog  # noqa: E402
 from harborline.plans.jobs import landed_inputs, run_jobs  # noqa: E402
+from harborline.plans.marts import MartText, tables_read  # noqa: E402
 from harborline.session import apply_settings, scratch_path, spread, stage  # noqa: E402
 from harborline.sinks.files import write_csv  # noqa: E402
 from harborline.sinks.tables import TableStore  # noqa: E402
@@ -436,6 +437,32 @@ def _lenient_numbers(t: Tables) -> DataFrame:
 # ---- whole jobs, from landed pages to published tables ---------------------------
 
 
+def _mart_from_text(t: Tables) -> DataFrame:
+    """A mart of one's own as SQL text with a parameter, over stored tables, with the tables its plan reads."""
+    store = _store(t)
+    store.replace(published.PORTS, t.ports())
+    store.replace(published.CALLS, t.calls_monthly(), ("calls_year",))
+    text = MartText(
+        """SELECT continent, calls_year, sum(calls_total) AS calls, count(DISTINCT portid) AS ports
+           FROM {calls} JOIN {ports} USING (portid) WHERE calls_month <= :until AND calls_year >=
+             (SELECT max(calls_year) - 2 FROM {calls}) GROUP BY continent, calls_year""",
+        {"calls": published.CALLS, "ports": published.PORTS}, {"until": 6},
+    )
+    mart = text.build(t.spark, store.read)
+    read = ", ".join(sorted(name.removeprefix(store.namespace) for name in tables_read(mart)))
+    return mart.withColumn("built_from", F.lit(read))
+
+
+def _job_mart_edges(t: Tables) -> DataFrame:
+    """Lineage of the marts stated as SQL, with the rows at either end."""
+    store = _run(t, *dict.fromkeys((*CALLS_JOBS, *CONNECTION_JOBS)))
+    rows = store.read(catalog.ASSET_TABLE).select("asset_key", "last_row_count")
+    return (
+        store.read(catalog.EDGE_TABLE)
+        .join(rows.toDF("from_asset", "from_rows"), "from_asset").join(rows.toDF("to_asset", "to_rows"), "to_asset")
+    )
+
+
 def _job_write_metrics(t: Tables) -> DataFrame:
     return _run(t, *TRAFFIC_JOBS).read(catalog.METRIC_TABLE)
 
@@ -579,6 +606,8 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "job_write_metrics": _job_write_metrics,
     "job_registered_names": _job_registered_names,
     "job_offset_pages": _job_offset_pages,
+    "job_mart_edges": _job_mart_edges,
+    "mart_from_text": _mart_from_text,
 }
 
 

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from harborline.operators import calls, connections, quality as q, traffic
+from harborline.plans.marts import MartText, calls_by_month, connection_summary
 from harborline.sinks.layout import Layout
 from harborline.sources import landed, schemas
 
@@ -63,6 +64,7 @@ class Asset:
 class Inputs:
     """Where a build reads: landed bodies by name, the daily layer, and stored tables."""
 
+    spark: SparkSession
     bodies: Callable[[str], DataFrame]
     daily: Callable[[], DataFrame]
     stored: Callable[[str], DataFrame]
@@ -151,12 +153,12 @@ def _region_totals(inputs: Inputs) -> DataFrame:
     return traffic.region_totals(inputs.stored(TRAFFIC), inputs.stored(COUNTRY_DIM))
 
 
-def _calls_mart(inputs: Inputs) -> DataFrame:
-    return calls.port_calls_mart(inputs.stored(CALLS), inputs.stored(PORTS))
-
-
-def _connection_mart(inputs: Inputs) -> DataFrame:
-    return connections.connection_mart(inputs.stored(CONNECTIONS), inputs.stored(PORTS))
+def mart_asset(key: str, text: MartText, **other) -> Asset:
+    """A mart stated as SQL: what it is built from is what its text declares."""
+    return Asset(
+        key=key, build=lambda inputs: text.build(inputs.spark, inputs.stored), write="replace", enforce_key=True,
+        upstreams=text.tables, source=DERIVED, source_detail="Rebuilt whole on every run", **other,
+    )
 
 
 ASSETS = (
@@ -259,18 +261,14 @@ ASSETS = (
             "mean_teu": ("Mean over the countries that reported", "TEU"),
         },
     ),
-    Asset(
-        key=CALLS_MART, build=_calls_mart, write="replace", keys=calls.CALL_KEYS, enforce_key=True,
-        checks=(q.HasRows(),), parity_with=CALLS, layout=Layout(("country_iso3", "portid"), ("portid",)),
-        description="Monthly calls by vessel type with the port they belong to",
-        source=DERIVED, source_detail="Rebuilt whole on every run", grain="one row per port, year and month",
-        upstreams=(CALLS, PORTS),
+    mart_asset(
+        CALLS_MART, calls_by_month(CALLS, PORTS), keys=calls.CALL_KEYS, checks=(q.HasRows(),), parity_with=CALLS,
+        layout=Layout(("country_iso3", "portid"), ("portid",)), spans=("calls_year",),
+        description="Monthly calls by vessel type with the port they belong to", grain="one row per port, year and month",
     ),
-    Asset(
-        key=CONNECTION_MART, build=_connection_mart, write="replace", keys=connections.PAIR, enforce_key=True,
-        checks=(q.HasRows(),), layout=Layout(("from_portid", "rank_from_port"), ("to_portid",)),
-        description="Port pairs ranked by capacity at either end, with a domestic flag",
-        source=DERIVED, source_detail="Rebuilt whole on every run", grain="one row per directed pair of ports",
-        upstreams=(CONNECTIONS, PORTS),
+    mart_asset(
+        CONNECTION_MART, connection_summary(CONNECTIONS, PORTS), keys=connections.PAIR, checks=(q.HasRows(),),
+        layout=Layout(("from_portid", "rank_from_port"), ("to_portid",)),
+        description="Port pairs ranked by capacity at either end, with a domestic flag", grain="one row per directed pair of ports",
     ),
 )

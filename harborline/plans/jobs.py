@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from graphlib import TopologicalSorter
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -12,6 +13,7 @@ from harborline.operators.upserts import assert_key
 from harborline.plans import catalog
 from harborline.plans.assets import ASSETS, Asset, Inputs, page_shape
 from harborline.plans.catalog import Catalog, Run
+from harborline.plans.marts import Reads, tables_read
 from harborline.session import scratch_scope, stage
 from harborline.sinks.tables import TableStore
 from harborline.sources import landed, schemas
@@ -36,6 +38,7 @@ def landed_inputs(
     ``page_steps`` names the page size of landings whose pages are numbered by offset (0, 1000, 2000, ...).
     """
     return Inputs(
+        spark=spark,
         bodies=lambda name: landed.read_bodies(spark, f"{folder}/{name}", packed),
         daily=lambda: spark.read.parquet(f"{folder}/daily_calls"),
         stored=store.read,
@@ -73,7 +76,10 @@ def _run_one(asset: Asset, store: TableStore, inputs: Inputs, run: Run, record:
     """One asset. Its batch is written once, and that write takes every figure the registry and the checks need."""
     spark = store.spark
     pages, landed_counts, unlisted = _landed_checks(asset, inputs)
-    built = catalog.with_docs(asset.build(inputs), asset.docs)
+    reads = Reads(inputs.stored)
+    built = asset.build(replace(inputs, stored=reads))
+    upstreams = _upstreams(asset, store, reads.seen | tables_read(built))
+    built = catalog.with_docs(built, asset.docs)
     figures = TableFigures(built, asset.checks, asset.spans, asset.distincts)
     content = None
     if asset.write == "replace":
@@ -111,13 +117,22 @@ def _run_one(asset: Asset, store: TableStore, inputs: Inputs, run: Run, record:
         fields = catalog.written_fields(spark, batch.schema, asset.key, asset.docs, figures.rows, figures.filled())
         record.add(catalog.FIELD_TABLE, fields)
     if asset.layer == "mart":
-        record.add(catalog.EDGE_TABLE, catalog.edges_to(spark, asset.key, asset.upstreams))
+        record.add(catalog.EDGE_TABLE, catalog.edges_to(spark, asset.key, upstreams))
     if unlisted is not None:
         record.add(catalog.UNLISTED_TABLE, unlisted.select(F.lit(asset.key).alias("asset_key"), "*"))
     if asset.parity_with:
         record.add(catalog.CHECK_TABLE, _parity_result(asset, stored, store.read(asset.parity_with), run))
 
 
+def _upstreams(asset: Asset, store: TableStore, found: set[str]) -> list[str]:
+    """The published tables a build really read. One it did not declare may not have been built yet: an error."""
+    keys = sorted(name.removeprefix(store.namespace) for name in found)
+    undeclared = [key for key in keys if key not in asset.upstreams]
+    if undeclared:
+        raise ValueError(f"{asset.key} reads {', '.join(undeclared)} without declaring it")
+    return keys
+
+
 def _parity_result(asset: Asset, stored: DataFrame, raw: DataFrame, run: Run) -> DataFrame:
     found = row_parity(stored, raw).select(
         F.lit(asset.key).alias("asset_key"), F.lit("every_row_has_a_named_port").alias("check_name"), "passed",

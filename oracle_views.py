@@ -376,6 +376,20 @@ UNION ALL SELECT 'port_mart.traffic_by_region_year', 'mart', CAST(count(*) AS BI
     "job_registered_names": """
 SELECT traffic_year, count(*) AS countries, 'port_raw' AS schema_name, 'country_port_traffic' AS table_name, '2024-01-01' AS run_day
 FROM traffic GROUP BY traffic_year""",
+    "mart_from_text": """
+SELECT continent, calls_year, CAST(sum(calls_total) AS BIGINT) AS calls, count(DISTINCT portid) AS ports,
+       'port_raw.port_calls_monthly, port_raw.portwatch_ports' AS built_from
+FROM calls_mart WHERE calls_month <= 6 AND calls_year >= (SELECT max(calls_year) - 2 FROM calls_monthly)
+GROUP BY continent, calls_year""",
+    "job_mart_edges": """
+WITH n AS (SELECT 'port_raw.portwatch_ports' AS k, count(*) AS n FROM ports
+           UNION ALL SELECT 'port_raw.port_connections', count(*) FROM connections
+           UNION ALL SELECT 'port_mart.port_connection_summary', count(*) FROM connection_ranks
+           UNION ALL SELECT 'port_raw.port_calls_monthly', count(*) FROM calls_monthly WHERE calls_year >= (SELECT max(year) - 1 FROM daily_calls)
+           UNION ALL SELECT 'port_mart.port_calls_by_type_month', count(*) FROM calls_mart WHERE calls_year >= (SELECT max(year) - 1 FROM daily_calls))
+SELECT a.k AS from_asset, b.k AS to_asset, 'feeds' AS edge_type, a.n AS from_rows, b.n AS to_rows FROM n a, n b
+WHERE a.k LIKE 'port_raw%' AND b.k LIKE 'port_mart%'
+  AND (a.k LIKE '%ports' OR (a.k LIKE '%connections') = (b.k LIKE '%connection_summary'))""",
     "job_offset_pages": """
 WITH landed AS (SELECT portid, CAST(floor(portid / 10) AS BIGINT) AS page FROM ports),
      kept AS (SELECT * FROM landed WHERE page % 4 <> 2),

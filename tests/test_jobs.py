@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from harborline.operators import quality as q
 from harborline.operators.upserts import KeyViolation
 from harborline.plans import assets as a, catalog
+from harborline.plans.marts import MartText
 from harborline.plans.jobs import QualityFailure, in_order, landed_inputs, run_jobs
 
 FIRST = catalog.Run(at=datetime(2024, 1, 1, tzinfo=timezone.utc), pipeline_uuid="first", owner="ops")
@@ -284,6 +285,19 @@ def test_docs_are_refreshed_on_request(spark, store, landed, rows):
     assert stored["unit"] == "degrees"
 
 
+def test_undeclared_upstreams_are_refused(spark, store, landed):
+    only = [asset for asset in a.ASSETS if asset.key == a.COUNTRY_DIM]
+    run_jobs(store, landed_inputs(spark, landed, store), FIRST, only)
+    text = MartText("SELECT country_iso3 FROM {dim} WHERE country_iso3 < :end", {"dim": a.COUNTRY_DIM}, {"end": "B"})
+    mart = a.mart_asset("port_mart.codes", text, keys=("country_iso3",), checks=(q.HasRows(),), description="", grain="")
+    run_jobs(store, landed_inputs(spark, landed, store), FIRST, [mart])
+    assert [r[0] for r in store.read("port_mart.codes").collect()] == ["AAA"]
+    with pytest.raises(ValueError, match="without declaring"):
+        run_jobs(store, landed_inputs(spark, landed, store), FIRST, [replace(mart, upstreams=())])
+    with pytest.raises(ValueError, match="declared are"):
+        MartText("SELECT * FROM {other}", {"dim": a.COUNTRY_DIM})
+
+
 def test_upstreams_run_first():
     order = [asset.key for asset in in_order(reversed(a.ASSETS))]
     for asset in a.ASSETS:
