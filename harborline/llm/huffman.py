@@ -23,6 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -142,13 +143,22 @@ def unpack(payload: bytes, starts: np.ndarray, sizes: np.ndarray, table: tuple[n
     return out
 
 
+def joined_ids(column: pa.BinaryArray) -> np.ndarray:
+    """The ids of all rows of a binary column one after the other, straight from its buffer; a null row has none."""
+    _, offsets, values = column.buffers()
+    if values is None or not len(column):
+        return np.zeros(0, "<u4")
+    bounds = np.frombuffer(offsets, np.int32)[column.offset : column.offset + len(column) + 1]
+    return np.frombuffer(values, np.uint8)[bounds[0] : bounds[-1]].view("<u4")
+
+
 def count_ids(tokens: DataFrame) -> DataFrame:
     """How often each id occurs; summed up in each task before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(0, np.int64)
         for batch in batches:
-            ids = np.frombuffer(b"".join(x.as_py() for x in batch.column(0)), "<u4")
+            ids = joined_ids(batch.column(0))
             if len(ids):
                 new = np.bincount(ids, minlength=len(seen))
                 new[: len(seen)] += seen
@@ -177,9 +187,8 @@ def write_ids(tokens: DataFrame, path: str, limit: int = LIMIT) -> None:
     kind = tokens.schema["doc_id"].dataType.simpleString()
 
     def coded(batch: pa.RecordBatch) -> pa.RecordBatch:
-        raw = batch.column(1).to_pylist()
-        sizes = np.array([len(x) // 4 for x in raw], np.int64)
-        payload, bounds, starts = pack(np.frombuffer(b"".join(raw), "<u4"), sizes, code, length)
+        sizes = pc.binary_length(batch.column(1)).to_numpy().astype(np.int64) // 4
+        payload, bounds, starts = pack(joined_ids(batch.column(1)), sizes, code, length)
         first = np.cumsum(sizes) - sizes
         marks = [
             (starts[a : a + n : STRIDE] - 8 * b).astype("<u8").tobytes()

@@ -97,6 +97,8 @@ class ChunkEncoder(dict):
     def __init__(self, path: str):
         super().__init__()
         self.tokenizer, self.older, self.cut = load(path), {}, None
+        # A chunk is often a known word with some other mark behind it: its pieces are remembered as well.
+        self.parts: dict[str, bytes] = {}
         spec = read_spec(path)
         before, normal = spec["pre_tokenizer"] or {}, spec["normalizer"] or {}
         steps = [step.get("type") for step in normal.get("normalizers", [])]
@@ -112,12 +114,20 @@ class ChunkEncoder(dict):
             text = chunk
             if self.cut is cut_byte_level:
                 text = chunk[1:] if chunk[:1] == "\0" else chunk if chunk[:1] == "\n" else " " + chunk
-            pieces, model = [text] if chunk.isalpha() else self.pieces(text), self.tokenizer.model
-            found = little_endian([t.id for piece in pieces for t in model.tokenize(visible(piece))])
+            pieces = [text] if chunk.isalpha() else self.pieces(text)
+            found = self._part(text) if len(pieces) == 1 else b"".join(map(self._part, pieces))
         if len(chunk) <= 64:
             self[chunk] = found
         return found
 
+    def _part(self, piece: str) -> bytes:
+        ids = self.parts.get(piece)
+        if ids is None:
+            ids = little_endian([t.id for t in self.tokenizer.model.tokenize(visible(piece))])
+            if len(piece) <= 64:
+                self.parts[piece] = ids
+        return ids
+
     def encode(self, text: str | None) -> bytes:
         """Packed ids of one text; a null text counts as empty."""
         chunks = self.cut(text or "") if self.cut else None
@@ -126,6 +136,8 @@ class ChunkEncoder(dict):
         if len(self) > KEPT_CHUNKS:
             self.older = dict(self)
             self.clear()
+            if len(self.parts) > KEPT_CHUNKS:
+                self.parts.clear()
         return b"".join(map(self.__getitem__, chunks))
 
 

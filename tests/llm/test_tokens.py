@@ -5,10 +5,11 @@ import heapq
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
-from harborline.llm import bpe, huffman, packing, queries
+from harborline.llm import bpe, huffman, packing, queries, tokens
 from harborline.llm.common import scratch_path, stage_packed
 from harborline.llm.tokens import BYTE_VOCABULARY, WORD_VOCABULARY, encoder, little_endian, load, tokenize
 from harborline.session import scratch_scope
@@ -50,6 +51,22 @@ def test_cuts_are_forced():
     assert [i for p in parts for i in codec.merge(p)] == plain(WORDS, word)
 
 
+def test_ids_of_a_column_come_from_its_buffer():
+    rows = [little_endian([1, 2]), b"", little_endian([3]), None, little_endian([70_000])]
+    column = pa.array(rows, pa.binary())
+    assert huffman.joined_ids(column).tolist() == [1, 2, 3, 70_000]
+    assert huffman.joined_ids(column.slice(2, 3)).tolist() == [3, 70_000]
+    assert huffman.joined_ids(pa.array([], pa.binary())).tolist() == huffman.joined_ids(pa.array([b""], pa.binary())).tolist() == []
+
+
+def test_chunks_are_forgotten_and_found_again(monkeypatch):
+    monkeypatch.setattr(tokens, "KEPT_CHUNKS", 20)
+    texts = [f"word{i % 37}, (other{i % 11}) {'x' * 70}{i}!" for i in range(200)]
+    for path, tokenizer in ((WORD_VOCABULARY, WORDS), (BYTE_VOCABULARY, BYTES)):
+        small = tokens.ChunkEncoder(path)
+        assert [small.encode(t) for t in texts] == [little_endian(plain(tokenizer, t)) for t in texts]
+
+
 def test_long_fragments_merge_alike():
     codec = bpe.codec(WORD_VOCABULARY)
     for word in ("the" * 60, "abcabd" * 30, "aaaa" * 50):
