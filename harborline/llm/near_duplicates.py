@@ -10,8 +10,10 @@ Equal texts are one node from the start, so copies are never paired with each ot
 sketch) every text is compared with the bucket's first one, its smallest node; buckets of up to `SMALL` texts are
 compared throughout, and in larger ones every text is compared with the one that meets most others in large buckets, as
 the original of a group of copies does. What is left are large buckets with texts of several components: there all pairs
-of different components are compared, block against block of about `MANY` texts, each two blocks in a task of their own.
-Counts of words by their hash bound from above how many words can align; pairs that pass that bound are aligned. So two
+of different components are compared, block against block of about `MANY` texts, each two blocks in a task of their own,
+which holds their words and gives back links only. Counts of words by their hash bound from above how many words can
+align; pairs that pass that bound are aligned, each in one of the buckets they share. What a task has found alike is one
+component to it from then on, so near copies of one lost original take about one alignment each. So two
 texts that share a sketch end in different classes only if their alignment was found too short. Groups of copies of one
 original are one component before that step; the work on a crowd of texts that are not alike grows with its square.
 
@@ -237,8 +239,7 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     roots = connected(links, "a", "b")
     crowded = _open_buckets(members, roots)
     if not crowded.isEmpty():
-        more = stage(_crowd_pairs(crowded, texts).join(pairs, ["a", "b"], "left_anti"), "pairs")
-        roots = connected(links.union(_verified(more, texts)), "a", "b")
+        roots = connected(links.union(_crowd_links(crowded, texts)), "a", "b")
     return rows, roots.join(nodes.select("node", "h1", "h2"), "node").select("h1", "h2", "root")
 
 
@@ -260,16 +261,19 @@ def _open_buckets(members: DataFrame, roots: DataFrame) -> DataFrame:
     return stage(placed.join(several.where("x < y").select("key", "n"), "key"), "crowded")
 
 
-def _counts(words: bytes) -> bytes:
-    found = np.bincount(np.frombuffer(words, "<u4") % COUNTS, minlength=COUNTS)
-    return np.minimum(found, MOST).astype("<u2").tobytes()
+def _counts(words: list[np.ndarray]) -> np.ndarray:
+    """How many words of each text fall into each group of words."""
+    found = [np.minimum(np.bincount(w % COUNTS, minlength=COUNTS), MOST) for w in words]
+    return np.array(found, np.uint16).reshape(-1, COUNTS)
 
 
 def _compared(table: pa.Table) -> pa.Table:
-    """The pairs of two blocks, or of one with itself, whose words may align far enough."""
+    """Links between the texts of two blocks, or of one with itself: enough of them that what is alike is connected."""
     node, label, n, block, i, j = (table.column(c).to_numpy() for c in ("node", "label", "n_words", "block", "i", "j"))
-    counts = np.frombuffer(b"".join(table.column("counts").to_pylist()), "<u2").reshape(-1, COUNTS)
-    left, made = np.flatnonzero(block == i), [np.zeros((0, 2), np.int64)]
+    words = [np.frombuffer(w, "<u4") for w in table.column("words").to_pylist()]
+    buckets = [set(keys) for keys in table.column("keys").to_pylist()]
+    here, counts, label = table.column("key")[0].as_py(), _counts(words), label.copy()
+    left, links = np.flatnonzero(block == i), []
     right = left if i[0] == j[0] else np.flatnonzero(block == j)
     for x in left:
         most = np.maximum(n[right], n[x])
@@ -278,25 +282,25 @@ def _compared(table: pa.Table) -> pa.Table:
             fits &= node[right] > node[x]
         at, most = right[fits], most[fits]
         at = at[(np.minimum(counts[at], counts[x]).sum(axis=1) >= SIMILAR * most) | (most > MOST)]
-        made.append(np.sort(np.stack([np.full(len(at), node[x]), node[at]], axis=1), axis=1))
-    pairs = np.concatenate(made)
-    return pa.table({"a": pa.array(pairs[:, 0]), "b": pa.array(pairs[:, 1])})
-
-
-def _crowd_pairs(crowded: DataFrame, texts: DataFrame) -> DataFrame:
-    """All pairs of texts of one large bucket that are of different components and may be alike."""
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        counts = pa.array([_counts(w) for w in batch.column(1).to_pylist()], pa.binary())
-        return pa.RecordBatch.from_arrays([batch.column(0), counts], ["node", "counts"])
-
-    wanted = texts.join(crowded.select("node").distinct(), "node", "left_semi").select("node", "words")
-    rows = crowded.join(arrow_map(wanted, run, "node bigint, counts binary"), "node")
+        for y in at:
+            # Another bucket that both are in, with a smaller key, compares them.
+            if label[x] != label[y] and min(buckets[x] & buckets[y]) == here and alike(words[x], words[y]):
+                links.append((min(node[x], node[y]), max(node[x], node[y])))
+                label[label == label[y]] = label[x]
+    a, b = zip(*links) if links else ((), ())
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+
+
+def _crowd_links(crowded: DataFrame, texts: DataFrame) -> DataFrame:
+    """Links between texts of one large bucket that are of different components, as far as they connect something."""
+    # At most as many keys as there are sketches.
+    keys = crowded.groupBy("node").agg(F.collect_set("key").alias("keys"))
+    known = stage(texts.join(keys, "node").select("node", "words", "keys"), "crowd")
     blocks = F.ceil(F.col("n") / F.lit(MANY))
-    rows = rows.withColumn("block", F.pmod(F.xxhash64("node"), blocks))
+    rows = crowded.join(known, "node").withColumn("block", F.pmod(F.xxhash64("node"), blocks))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
     rows = rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-    return rows.groupBy("key", "i", "j").applyInArrow(_compared, "a bigint, b bigint").distinct()
+    return stage(rows.groupBy("key", "i", "j").applyInArrow(_compared, "a bigint, b bigint"), "crowd-links")
 
 
 def classes(docs: DataFrame) -> DataFrame:

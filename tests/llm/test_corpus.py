@@ -346,3 +346,38 @@ def test_pipeline_stages_on_odd_rows(llm, odd, empty):
         assert {r.doc_id for r in made.collect()} == {r.doc_id for r in kept.collect()}
     assert {r.doc_id for r in quality_rules.kept_documents(odd).collect()} >= {1}
     assert PLAIN
+
+
+def test_a_crowd_of_copies_of_a_lost_text_is_linked_in_blocks(llm, monkeypatch):
+    """Blocks and buckets that share pairs find what all pairs find; every task gives few links."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(11)
+    base = rng.integers(0, 1 << 30, 120).astype("<u4")
+    words = []
+    for copy in range(60):
+        text = base.copy() if copy < 45 else rng.integers(0, 1 << 30, 120).astype("<u4")
+        text[rng.choice(120, 10, replace=False)] = rng.integers(0, 1 << 30, 10)
+        words.append(text)
+    keys = [sorted(rng.choice([3, 5, 9], 2, replace=False).tolist()) for _ in words]
+    links = []
+    for key in (3, 5, 9):
+        inside = [i for i in range(60) if key in keys[i]]
+        for i, j in ((0, 0), (0, 1), (1, 1)):
+            rows = [x for x in inside if x % 2 in (i, j)]
+            table = pa.table({
+                "key": pa.array([key] * len(rows)), "node": pa.array(rows), "label": pa.array(rows),
+                "n_words": pa.array([120] * len(rows)), "block": pa.array([x % 2 for x in rows]),
+                "i": pa.array([i] * len(rows)), "j": pa.array([j] * len(rows)),
+                "words": pa.array([words[x].tobytes() for x in rows], pa.binary()), "keys": pa.array([keys[x] for x in rows]),
+            })
+            found = near._compared(table)
+            pairs = list(zip(found.column("a").to_pylist(), found.column("b").to_pylist()))
+            assert len(pairs) < len(rows) or not rows
+            links += pairs
+    assert len(set(links)) == len(links) and all(near.alike(words[a], words[b]) for a, b in links)
+    root = list(range(60))
+    for a, b in links:
+        ra, rb = root[a], root[b]
+        root = [ra if r == rb else r for r in root]
+    assert len(set(root[:45])) == 1 and len(set(root)) == 16
