@@ -1,15 +1,14 @@
 """Document fingerprints: a threshold-scaled sketch of word shingles, in built-in functions only.
 
 A shingle is five words in a row (lower case; a shorter text is one shingle). Every shingle hash below a fixed fraction
-of the hash range is kept, whatever the length of the text, so sketches of texts of very unequal length can be compared,
-and the union of sketches is the sketch of the joined shingle sets. The fraction is 1/8. A text with few shingles keeps
-more, 1/4, 1/2 or all, so that some 32 hashes are left where the text has them; a fingerprint begins with the shift that
-says so, and two sketches are compared at the smaller fraction of the two, where both are complete.
+of the hash range is kept, one in 4 whatever the length of the text. So sketches of texts of very unequal length can be
+compared, and the union of two sketches is the sketch of the joined shingle sets.
 
-`likeness` is the containment of the smaller sketch in the larger one, 0 to 1. Fingerprints that are equal have 1; a
-sketch without hashes has 0 with any other.
+`likeness` estimates the containment of the text with fewer kept hashes in the other one, 0 to 1: shared hashes by the
+smaller sketch's size. Equal sketches have 1. A sketch without hashes, which a text of n shingles has with a chance of
+0.75 to the power n, says nothing of its text: its likeness to another sketch is given as 0 and means unknown.
 
-Defined results: a null text counts as empty; a text without words has an empty sketch ("0-"); equal texts have equal
+Defined results: a null text counts as empty; a text without words has an empty sketch ("2-"); equal texts have equal
 fingerprints; repeated rows are separate rows; an empty table gives an empty result; other columns are not looked at.
 """
 
@@ -20,22 +19,17 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from harborline.llm.common import SPACES, whole_text
 
 SHINGLE = 5
-SHIFT = 3
-KEPT = 32
 
+# One hash in two to this number is kept; a fingerprint begins with it.
+SHIFT = 2
 
-def _limit(shift: Column) -> Column:
-    """The largest value, of 63 bits, that a hash kept at a shift may have."""
-    return F.call_function("shiftrightunsigned", F.lit(-1).cast("bigint"), shift + 1)
-
-
-def _below(hashes: Column, shift: Column) -> Column:
-    return F.filter(hashes, lambda h: F.shiftrightunsigned(h, 1) <= _limit(shift))
+# The largest value, of 63 bits, that a kept hash may have.
+LIMIT = (1 << (63 - SHIFT)) - 1
 
 
 def with_sketch(rows: DataFrame, text: str, into: str) -> DataFrame:
-    """Adds a struct column: shift, and the kept hashes in ascending order."""
-    words, hashes = f"{into}_words", f"{into}_all"
+    """Adds the kept hashes of a text in ascending order."""
+    words = f"{into}_words"
     w, n = F.col(words), F.size(F.col(words))
     cut = rows.withColumn(words, F.filter(F.split(F.lower(whole_text(text)), SPACES + "+", -1), lambda x: x != ""))
     shingles = F.when(
@@ -43,36 +37,30 @@ def with_sketch(rows: DataFrame, text: str, into: str) -> DataFrame:
         F.transform(F.sequence(F.lit(0), n - SHINGLE), lambda i: F.xxhash64(*[F.get(w, i + k) for k in range(SHINGLE)])),
     )
     shingles = shingles.when(n > 0, F.array(F.xxhash64(F.concat_ws(" ", w)))).otherwise(F.array().cast("array<bigint>"))
-    hashed = cut.withColumn(hashes, F.array_distinct(shingles)).drop(words)
-    # 2^shift times KEPT shingles are at hand.
-    shift = sum((F.size(hashes) >= KEPT << k).cast("int") for k in range(1, SHIFT + 1))
-    sketch = F.struct(shift.alias("shift"), F.array_sort(_below(F.col(hashes), shift)).alias("hashes"))
-    return hashed.withColumn(into, sketch).drop(hashes)
+    # Hashes that are not kept go before the others are compared with each other.
+    kept = F.filter(shingles, lambda h: F.shiftrightunsigned(h, 1) <= LIMIT)
+    return cut.withColumn(into, F.array_sort(F.array_distinct(kept))).drop(words)
 
 
 def fingerprint(sketch: Column) -> Column:
     """A sketch as a string: the shift, and the hashes in hexadecimal."""
-    digits = F.transform(sketch["hashes"], lambda h: F.lpad(F.hex(h), 16, "0"))
-    return F.concat(sketch["shift"].cast("string"), F.lit("-"), F.concat_ws("", digits))
+    digits = F.transform(sketch, lambda h: F.lpad(F.hex(h), 16, "0"))
+    return F.concat(F.lit(f"{SHIFT}-"), F.concat_ws("", digits))
 
 
 def common_size(a: Column, b: Column) -> tuple[Column, Column]:
-    """Shared hashes and the size of the smaller sketch, at the smaller fraction of two sketches."""
-    shift = F.greatest(a["shift"], b["shift"])
-    left, right = (F.when(x["shift"] == shift, x["hashes"]).otherwise(_below(x["hashes"], shift)) for x in (a, b))
-    return F.size(F.array_intersect(left, right)), F.least(F.size(left), F.size(right))
+    """Shared hashes, and the size of the smaller sketch."""
+    return F.size(F.array_intersect(a, b)), F.least(F.size(a), F.size(b))
 
 
 def likeness(a: Column, b: Column) -> Column:
     shared, least = common_size(a, b)
-    return F.when((a["shift"] == b["shift"]) & (a["hashes"] == b["hashes"]), 1.0).when(least > 0, shared / least).otherwise(0.0)
+    return F.when(a == b, 1.0).when(least > 0, shared / least).otherwise(0.0)
 
 
 def merge(a: Column, b: Column) -> Column:
     """The sketch of two texts' shingles taken together."""
-    shift = F.greatest(a["shift"], b["shift"])
-    both = F.array_union(_below(a["hashes"], shift), _below(b["hashes"], shift))
-    return F.struct(shift.alias("shift"), F.array_sort(both).alias("hashes"))
+    return F.array_sort(F.array_union(a, b))
 
 
 def with_next(rows: DataFrame, doc_id: str, value: Column, into: str, chunks: int) -> DataFrame:

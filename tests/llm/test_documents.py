@@ -86,25 +86,36 @@ def test_edited_texts_and_likeness(llm, texts):
         for value, other in ((row.near_edited, edited), (row.near_next, after)):
             a, b = shingles(text), shingles(other)
             true = len(a & b) / min(len(a), len(b)) if a and b else float(a == b)
-            errors.append(value - true)
-    assert abs(np.mean(errors)) < 0.02 and np.quantile(np.abs(errors), 0.95) < 0.2
+            # Of a text of few shingles perhaps none is kept, which says nothing.
+            errors.append(value - true if min(len(a), len(b)) >= 16 else None)
+    known = [e for e in errors if e is not None]
+    assert len(known) > 0.8 * len(errors)
+    assert abs(np.mean(known)) < 0.03 and np.quantile(np.abs(known), 0.95) < 0.3
+
+
+def test_the_union_of_sketches_is_the_sketch_of_the_joined_shingles(llm, texts):
+    """One fraction for all lengths: merged sketches of two texts are the sketch of a text with the shingles of both."""
+    pair = [t for t in texts.values() if len(t.split()) >= 5][:40]
+    # Copies of the two texts, joined so that shingles across the seam are known and taken out again.
+    rows = [(a, b, " ".join(a.split()[-4:] + b.split()[:4]), a + " " + b) for a, b in zip(pair[::2], pair[1::2])]
+    df = llm.createDataFrame(rows, "a string, b string, c string, d string")
+    for name in "abcd":
+        df = fingerprints.with_sketch(df, name, f"s{name}")
+    merged = fingerprints.merge(fingerprints.merge(F.col("sa"), F.col("sb")), F.col("sc"))
+    kept = total = 0
+    for r in df.select("*", merged.alias("m")).collect():
+        assert r.m == r.sd
+        total, kept = total + len(shingles(r.d)), kept + len(r.sd)
+        assert set(r.sa) <= set(r.sd) and set(r.sb) <= set(r.sd)
+    assert abs(kept / total - 0.25) < 0.03
 
 
-def test_sketches_keep_all_hashes_of_small_texts_and_merge(llm, texts):
-    pair = list(texts.values())[:40]
-    rows = [(a, b, a + " " + b) for a, b in zip(pair[::2], pair[1::2])]
-    df = llm.createDataFrame(rows, "a string, b string, c string")
-    for name in "abc":
-        df = fingerprints.with_sketch(df, name, f"s{name}")
-    df = df.select("a", "b", "sa", "sb", "sc", fingerprints.merge(F.col("sa"), F.col("sb")).alias("m"))
-    for r in df.collect():
-        for text, sketch in ((r.a, r.sa), (r.b, r.sb)):
-            n = len(shingles(text))
-            assert sketch.shift == min(3, max(0, int(np.log2(max(n, 1) / 32)) if n >= 32 else 0))
-            assert len(sketch.hashes) == n if sketch.shift == 0 else True
-        shift = max(r.sa.shift, r.sb.shift)
-        low = lambda s: {h for h in s if (h % (1 << 64)) >> 1 < 1 << (63 - shift)}
-        assert set(r.m.hashes) == low(r.sa.hashes) | low(r.sb.hashes)
+def test_containment_in_a_much_longer_text(llm):
+    rng = np.random.default_rng(2)
+    long = " ".join(f"w{x}" for x in rng.integers(0, 5000, 3000))
+    rows = [(" ".join(long.split()[at : at + 200]), long) for at in range(0, 2800, 140)]
+    df = fingerprints.with_sketch(fingerprints.with_sketch(llm.createDataFrame(rows, "a string, b string"), "a", "sa"), "b", "sb")
+    assert {r[0] for r in df.select(fingerprints.likeness(F.col("sa"), F.col("sb"))).collect()} == {1.0}
 
 
 def test_fingerprints_of_odd_rows(odd, empty):
@@ -113,7 +124,7 @@ def test_fingerprints_of_odd_rows(odd, empty):
         fingerprints.likeness(F.col("sketch"), F.col("next_sketch")).alias("near"),
     ).collect()
     assert sorted((r.doc_id or 0, r.n_chars) for r in rows) == sorted((r[0] or 0, len(r[1] or "")) for r in ODD_ROWS)
-    assert len({r.f for r in rows if r.doc_id in (1, 2)}) == 1 and {r.f for r in rows if r.doc_id in (3, 4, 5)} == {"0-"}
+    assert len({r.f for r in rows if r.doc_id in (1, 2)}) == 1 and {r.f for r in rows if r.doc_id in (3, 4, 5)} == {"2-"}
     assert all(0 <= r.near <= 1 for r in rows)
     assert fingerprints.edited_fingerprints(empty).count() == 0
 
