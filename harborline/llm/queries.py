@@ -78,7 +78,7 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.spans(documents(spark, sf_dir)).withColumn("n_found", F.size("found").cast("bigint"))
+    return pii.spans(documents(spark, sf_dir), pii.session_key(spark)).withColumn("n_found", F.size("found").cast("bigint"))
 
 
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

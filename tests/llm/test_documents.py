@@ -4,6 +4,7 @@ import datetime
 import hashlib
 import itertools
 import re
+import time
 import zlib
 
 import numpy as np
@@ -274,17 +275,117 @@ def test_runs_of_groups_come_back(random):
     assert pii.restore(pii.replace(text, pii.findings(text, KEY)), KEY) == text
 
 
+# What a reader would call the value, and what stands around it.
+HIDDEN = {
+    "+44 20 7946 0958": ("phone", " 2024"), "+1 212 555 0100": ("phone", " 2024 5555"), "+49 30 901820": ("phone", " 2024"),
+    "+12125550100": ("phone", " 99 88"), "+33 1 23 45 67 89": ("phone", " 10 11"), "+33 (0)1 23 45 67 89": ("phone", " 75"),
+    "(212) 555-0100": ("phone", " 2024"), "123-45-6789": ("social", "- 12"), "8.8.4.4": ("ip", ". 2024"),
+    "de89 3704 0044 0532 0130 00": ("iban", " is mine"), "3/4/2024": ("date", " 10"), "2024/3/15": ("date", ", 7"),
+    "password is hunter22b": ("secret", " now"), "Bearer abcDEF123456.ghiJKL-789": ("secret", " sent"),
+    "ghp_" + "a1B2c3D4e5" * 4: ("secret", " x"), "password=abc:def:ghijkl": ("secret", " y"),
+    "access_token=0a1b2c3d4e": ("secret", " z"),
+}
+
+
+@pytest.mark.parametrize("value", HIDDEN)
+def test_values_are_whole_and_nothing_else(value):
+    kind, more = HIDDEN[value]
+    for before in ("", "tel ", "Nr. 7, "):
+        text = before + value + more
+        found = pii.findings(text, KEY)
+        named = value[value.index("token") :] if value.startswith("access") else value
+        assert [(f[0], text[f[1] : f[2]]) for f in found] == [(kind, named)]
+        new = pii.replace(text, found)
+        assert value not in new and len(new) == len(text) and pii.restore(new, KEY) == text
+
+
+def test_one_phone_has_one_pseudonym():
+    def digits(text):
+        return "".join(c for c in pii.findings(text, KEY)[0][3] if c.isdigit())
+
+    assert len({digits(t) for t in ("+49 30 901820", "+49 30 901820 2024", "+4930901820", "+49-30-901820, 11")}) == 1
+    assert digits("+12125550100") == digits("+1 (212) 555-0100") == "1" + digits("212-555-0100")
+    assert digits("+44 (0)20 7946 0958")[:3] == "440"
+    assert digits("+44 (0)20 7946 0958")[3:] == digits("+44 20 7946 0958")[2:]
+
+
+def test_words_that_only_look_like_secrets_stay():
+    for text in ("password is required for all", "bearer responsibilities", "token: https://example.com/a1", "no12 text word"):
+        assert pii.findings(text, KEY) == []
+
+
+def _planted(random):
+    """A value made without the operator, its kind and its digits or letters."""
+
+    def digits(n):
+        return "".join(random.choice("0123456789") for _ in range(n))
+
+    def luhn(body):
+        total = sum(sum(divmod(2 * int(d), 10)) if at % 2 == 0 else int(d) for at, d in enumerate(reversed(body)))
+        return body + str(-total % 10)
+
+    kind = random.choice(["card", "iban", "phone", "social", "date", "ip", "email"])
+    if kind == "card":
+        whole = luhn("4" + digits(14))
+        return random.choice(["", " ", "-"]).join(whole[i : i + 4] for i in range(0, 16, 4))
+    if kind == "iban":
+        body = digits(18)
+        return f"DE{98 - int(body + '131400') % 97:02d}{body}"
+    if kind == "phone":
+        number = f"{random.randrange(2, 10)}{digits(2)}-{random.randrange(2, 10)}{digits(2)}-{digits(4)}"
+        return random.choice(["+1 ", "", "+1-"]) + number
+    if kind == "social":
+        return f"{random.randrange(1, 666):03d}-{random.randrange(1, 100):02d}-{random.randrange(1, 10000):04d}"
+    if kind == "date":
+        day = datetime.date(1950, 1, 1) + datetime.timedelta(random.randrange(30_000))
+        return random.choice([day.isoformat(), day.strftime("%d.%m.%Y"), f"{day.month}/{day.day}/{day.year}"])
+    if kind == "ip":
+        return ".".join(str(random.randrange(256)) for _ in range(4))
+    return f"user{digits(3)}.x@mail{digits(1)}.example.org"
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.randoms(use_true_random=False))
+def test_no_planted_value_is_missed(random):
+    words = ["paid", "on", "to", "see", "from,", "until:", "no"]
+    planted = [_planted(random) for _ in range(5)]
+    text = " ".join(f"{random.choice(words)} {value} {random.choice(words)}" for value in planted)
+    found = pii.findings(text, KEY)
+    assert [text[a:b] for _, a, b, _ in found] == planted
+    new = pii.replace(text, found)
+    assert len(new) == len(text) and pii.restore(new, KEY) == text
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.randoms(use_true_random=False))
+def test_values_next_to_numbers_come_back(random):
+    groups = [_planted(random) if random.random() < 0.4 else str(random.randrange(10 ** random.randrange(1, 6))) for _ in range(8)]
+    text = random.choice([" ", "-", "+", "."]).join(groups) if random.random() < 0.3 else " ".join(groups)
+    assert pii.restore(pii.replace(text, pii.findings(text, KEY)), KEY) == text
+
+
+def test_work_grows_with_the_number_of_values():
+    def seconds(n):
+        text = " ".join(f"user{i}@example.com +1 212 555 {i % 10000:04d}" for i in range(n))
+        start = time.process_time()
+        assert len(pii.findings(text, KEY)) == 2 * n
+        return time.process_time() - start
+
+    small = min(seconds(500) for _ in range(2))
+    assert seconds(4000) < 20 * small
+
+
 def test_pseudonyms_of_tables(llm, odd, empty):
     rows = [(i, f"card {v}", "keep") for i, v in enumerate(VALUES["card"][:2])] + [(None, None, None)]
     docs = llm.createDataFrame(rows, "doc_id int, text string, found string")
-    made = {r.doc_id: r for r in pii.pseudonymise(docs).collect()}
+    made = {r.doc_id: r for r in pii.pseudonymise(docs, KEY).collect()}
     assert made[0].found == "keep" and made[None].text is None
     assert made[0].text.split()[1] == "".join(made[1].text.split()[1:])
-    spans = {r.doc_id: r for r in pii.spans(docs).collect()}
+    spans = {r.doc_id: r for r in pii.spans(docs, KEY).collect()}
     assert spans[0].text == made[0].text and spans[0].found[0].pseudonym == made[0].text[5:] and spans[None].found == []
     plain = {(r[0], r[1]) for r in ODD_ROWS}
-    assert {(r.doc_id, r.text) for r in pii.pseudonymise(odd).collect()} == plain
-    assert pii.pseudonymise(empty).columns == empty.columns and pii.spans(empty).count() == 0
+    assert {(r.doc_id, r.text) for r in pii.pseudonymise(odd, KEY).collect()} == plain
+    assert pii.pseudonymise(empty, KEY).columns == empty.columns and pii.spans(empty, KEY).count() == 0
 
 
 def test_pii_query_hides_what_it_finds(llm, texts):
