@@ -35,7 +35,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal values by pseudonyms of the same format; the length of a text stays."""
     prepare(spark)
-    return pii.pseudonymise(docs)
+    return pii.pseudonymise(docs, pii.session_key(spark))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
