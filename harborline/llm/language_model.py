@@ -1,20 +1,23 @@
 """A hierarchical Pitman-Yor language model over the whole corpus, and the score of every document under it.
 
-Each context is a restaurant: the previous word, hashed into `CONTEXTS` restaurants (rare contexts may share one). A
-customer is a training token; a word's tables in all context restaurants are its customers in the parent restaurant,
-whose own base is uniform over the known words and one unknown word. Seating is sampled by Gibbs: the number of tables
-of a word in a restaurant is drawn from its conditional distribution given the other restaurants (by generalised
-Stirling numbers up to `EXACT` customers, above that by seating the further customers in groups). After `BURN_IN`
-rounds, in which restaurants hear of each other's new tables, `SAMPLES` samples are drawn and the predictive
-probabilities of a token are averaged over them; a document's score is the sum of their log10.
-
-Tokens are moved once. A task cuts documents into blocks and each block's tokens into shares by the hash of the word, so
-all of a word's counts meet in one share, while contexts, of bounded number, are summed up between rounds. Words so
-frequent that they would overfill a share (a list of bounded length, from a hash sample of documents; it steers the load
-and no count) are dealt out by their context as well, and their totals are summed up between rounds too. A share is one
-row of a written table, a compressed sorted column of tokens; every round reads it again, so a lost task is run again
-from files. Shares answer with sums for each document of a block, and a block's sums meet in one small group. On the
-driver arrive the context totals, the frequent words and a few counts.
+Each context, a previous word, is a restaurant (known by 32 bits of its hash; of ten million contexts two in a thousand
+share one), so restaurants grow in number with the corpus. A customer is a training token; a word's tables in all context
+restaurants are its customers in the parent restaurant, whose own base is uniform over the known words and one unknown
+word. Seating is sampled by Gibbs: the number of tables of a word in a restaurant is drawn from its conditional
+distribution given the other restaurants (by generalised Stirling numbers up to `EXACT` customers, above that by seating
+the further customers in groups). After `BURN_IN` rounds, in which restaurants hear of each other's new tables, `SAMPLES`
+samples are drawn and the predictive probabilities of a token are averaged over them; a document's score is the sum of
+their log10.
+
+Tokens are moved once. A task cuts documents into blocks, in which equal texts stand once with their number of copies, and
+deals each block's tokens into shares by the hash of the word, so all of a word's counts meet in one share. A share is one
+row of a written table bucketed by share, a compressed sorted column of tokens. What contexts hold in all is never
+gathered: after a round every share sends its contexts' customers and tables, by ranges of the context, to groups that add
+them up and answer each share with the totals of its own contexts, and only these meet the share's bucket in the next
+round. Words so frequent that they would overfill a share (a list of bounded length, from a hash sample of documents; it
+steers the load and no count) are dealt out by their context as well, and their totals are summed up between rounds.
+Every round reads written tables, so a lost task is run again from files. Shares answer with sums for each text of a
+block, and a block's sums meet in one small group. On the driver arrive the frequent words and a few counts.
 
 Discounts follow from how many things occur once and twice; the strength is 1. Everything is seeded by share and round.
 
@@ -27,6 +30,7 @@ from __future__ import annotations
 
 import math
 import struct
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -37,12 +41,13 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from harborline.llm.common import stage, whole_text
+from harborline.llm.common import scratch_path, stage, whole_text
 
-CONTEXTS = 1 << 16
-SHARE_BYTES = 12 << 20
+SHARE_BYTES = 8 << 20
 BLOCK_TOKENS = 1 << 19
 BLOCK_DOCS = 1 << 15
+# Spark's own limit on buckets is 100,000; beyond this several shares are in one.
+BUCKETS = 20_000
 EXACT = 64
 BURN_IN = 1
 SAMPLES = 3
@@ -65,7 +70,7 @@ def tokens(text: str) -> np.ndarray:
 
 
 def context(previous: np.ndarray) -> np.ndarray:
-    return ((previous * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)).astype(np.uint16)
+    return ((previous * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(32)).astype(np.uint32)
 
 
 def pack_arrays(arrays: list[np.ndarray]) -> bytes:
@@ -132,14 +137,18 @@ def discount_of(once: float, twice: float) -> float:
 # ---- moving the tokens -----------------------------------------------------------
 
 
-def _block(rows: list[tuple], number: int, shares: int, frequent: np.ndarray, kind: pa.DataType) -> pa.RecordBatch:
-    """One block's rows: its documents, and a blob of tokens for each share that gets some."""
-    sizes = np.array([len(r[2]) for r in rows])
-    words = np.concatenate([r[2] for r in rows])
+def _block(
+    rows: list[tuple], texts: list[np.ndarray], number: int, shares: int, frequent: np.ndarray, kind: pa.DataType
+) -> pa.RecordBatch:
+    """One block's rows: its documents (id, held out, place of the text), and a blob of tokens for each share that gets some."""
+    place = np.array([r[2] for r in rows])
+    copies = np.bincount(place, [not r[1] for r in rows], len(texts)).astype(np.uint16)
+    sizes = np.array([len(t) for t in texts])
+    words = np.concatenate(texts)
     before = np.concatenate([[np.uint64(START)], words[:-1]])
     before[np.cumsum(sizes)[:-1]] = START
     contexts = context(before)
-    doc = np.repeat(np.arange(len(rows)) | np.array([0 if r[1] else 1 << 15 for r in rows]), sizes).astype(np.uint16)
+    doc = np.repeat(np.arange(len(texts), dtype=np.uint16), sizes)
     spread = words >> np.uint64(17)
     if len(frequent):
         often = frequent[np.minimum(np.searchsorted(frequent, words), len(frequent) - 1)] == words
@@ -152,11 +161,11 @@ def _block(rows: list[tuple], number: int, shares: int, frequent: np.ndarray, ki
     for s in np.flatnonzero(np.diff(cuts)):
         a, b = cuts[s], cuts[s + 1]
         unique, times = np.unique(words[a:b], return_counts=True)
-        blobs.append(pack_arrays([unique, times.astype(np.uint32), contexts[a:b], doc[a:b]]))
+        blobs.append(pack_arrays([unique, times.astype(np.uint32), contexts[a:b], doc[a:b], copies[doc[a:b]]]))
         names.append(int(s))
     docs = pa.StructArray.from_arrays(
-        [pa.array([r[0] for r in rows], kind), pa.array([r[1] for r in rows]), pa.array(sizes, pa.int64())],
-        ["doc_id", "held_out", "n_tokens"],
+        [pa.array([r[0] for r in rows], kind), pa.array([r[1] for r in rows]), pa.array(sizes[place], pa.int64()), pa.array(place, pa.int32())],
+        ["doc_id", "held_out", "n_tokens", "place"],
     )
     offsets = pa.array([0, *[len(rows)] * len(names)], pa.int32())
     columns = [pa.array(names, pa.int32()), pa.array([number] * len(names), pa.int64())]
@@ -173,16 +182,16 @@ def _merged(table: pa.Table) -> pa.Table:
         parts = [unpack_arrays(b.as_py()) for b in rest.column("blob")]
         unique, rank = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
         times = np.concatenate([p[1] for p in parts])
-        # Word and context as one number to sort by: a share has far fewer than 2^48 words.
-        key = np.repeat(rank.astype(np.uint64) << np.uint64(16), times)
+        # Word and context as one number to sort by: a share has far fewer than 2^32 words.
+        key = np.repeat(rank.astype(np.uint64) << np.uint64(32), times)
         key |= np.concatenate([p[2] for p in parts])
-        doc = np.concatenate([p[3] for p in parts])
+        doc, copies = (np.concatenate([p[i] for p in parts]) for i in (3, 4))
         block = np.repeat(np.arange(len(parts), dtype=np.uint32), [len(p[3]) for p in parts])
         del parts
         times = np.bincount(rank, times, len(unique)).astype(np.uint32)
         order = np.argsort(key, kind="stable")
-        contexts = (key & np.uint64(0xFFFF)).astype(np.uint16)
-        blob = pack_arrays([unique, times, contexts[order], block[order], doc[order], blocks.astype(np.int64)])
+        contexts = key.astype(np.uint32)
+        blob = pack_arrays([unique, times, *(v[order] for v in (contexts, block, doc, copies)), blocks.astype(np.int64)])
         row = {"share": rest.column("share")[:1], "block": pa.nulls(1, pa.int64()), "docs": pa.nulls(1, table.schema.field("docs").type)}
         out.append(pa.table({**row, "blob": pa.array([blob], pa.binary())}, schema=table.schema))
     return pa.concat_tables(out)
@@ -194,6 +203,7 @@ class Share:
 
     words: np.ndarray
     pair_word: np.ndarray
+    contexts: np.ndarray
     pair_context: np.ndarray
     pair_of: np.ndarray
     count: np.ndarray
@@ -201,17 +211,37 @@ class Share:
     block: np.ndarray
     doc: np.ndarray
     blocks: np.ndarray
+    # Customers and tables of its contexts in all shares.
+    context_customers: np.ndarray
+    context_tables: np.ndarray
 
     @classmethod
     def read(cls, blob: bytes) -> Share:
-        words, times, contexts, block, doc, blocks = unpack_arrays(blob)
+        words, times, contexts, block, doc, copies, blocks = unpack_arrays(blob)
         of = np.repeat(np.arange(len(words)), times)
         new = np.concatenate([[True], (of[1:] != of[:-1]) | (contexts[1:] != contexts[:-1])])
         pair_of = np.cumsum(new) - 1
-        train = doc >> 15 == 1
-        count = np.bincount(pair_of[train], minlength=int(new.sum()))
-        word_count = np.bincount(of[train], minlength=len(words))
-        return cls(words, of[new], contexts[new].astype(np.int64), pair_of, count, word_count, block, doc & 0x7FFF, blocks)
+        count = np.bincount(pair_of, copies, int(new.sum())).astype(np.int64)
+        word_count = np.bincount(of, copies, len(words)).astype(np.int64)
+        used, pair_context = np.unique(contexts[new], return_inverse=True)
+        none = np.zeros(len(used))
+        return cls(words, of[new], used, pair_context, pair_of, count, word_count, block, doc, blocks, none, none)
+
+    def tell(self, tables: np.ndarray, shares: int) -> Iterator[tuple[int, bytes]]:
+        """Its contexts with their customers and tables here, by ranges of contexts."""
+        customers = np.bincount(self.pair_context, self.count, len(self.contexts)).astype(np.uint64)
+        opened = np.bincount(self.pair_context, tables, len(self.contexts)).astype(np.uint64)
+        place = (self.contexts.astype(np.uint64) * np.uint64(shares)) >> np.uint64(32)
+        cuts = np.searchsorted(place, np.arange(shares + 1, dtype=np.uint64))
+        for i in np.flatnonzero(np.diff(cuts)).tolist():
+            at = slice(cuts[i], cuts[i + 1])
+            yield i, pack_arrays([self.contexts[at], customers[at], opened[at]])
+
+    def hear(self, answers: pa.Table) -> None:
+        """Take in the totals of its contexts: the answers of the ranges, in order, are in the order of its contexts."""
+        order = np.argsort(answers.column("place").to_numpy())
+        parts = [unpack_arrays(answers.column("blob")[i].as_py()) for i in order.tolist()]
+        self.context_customers, self.context_tables = (np.concatenate([p[i] for p in parts]).astype(np.float64) for i in (0, 1))
 
     def frequent(self, state: State) -> tuple[np.ndarray, np.ndarray]:
         """Which of the words are on the list of frequent ones, and where they stand there."""
@@ -227,8 +257,6 @@ class State:
     """What all shares know between rounds."""
 
     frequent: np.ndarray
-    context_customers: np.ndarray
-    context_tables: np.ndarray
     frequent_counts: np.ndarray
     frequent_customers: np.ndarray
     tokens: float = 0.0
@@ -255,70 +283,92 @@ def seat_parent(share: Share, state: State, tables: np.ndarray, rng) -> tuple[np
 
 def seat_contexts(share: Share, state: State, parent: np.ndarray, rng) -> np.ndarray:
     """Tables of each pair, given the parent's probabilities."""
-    others = np.maximum(state.context_tables[share.pair_context] - np.minimum(share.count, 1), 0)
+    others = np.maximum(share.context_tables[share.pair_context] - np.minimum(share.count, 1), 0)
     return draw_tables(share.count, others, parent[share.pair_word], state.discounts[0], rng)
 
 
 def predictive(share: Share, state: State, tables: np.ndarray, parent: np.ndarray) -> np.ndarray:
     """Probability of each pair's word in its context."""
     d, c = state.discounts[0], share.pair_context
-    return (share.count - d * tables + (STRENGTH + d * state.context_tables[c]) * parent[share.pair_word]) / (
-        STRENGTH + state.context_customers[c]
+    return (share.count - d * tables + (STRENGTH + d * share.context_tables[c]) * parent[share.pair_word]) / (
+        STRENGTH + share.context_customers[c]
     )
 
 
 # ---- rounds ----------------------------------------------------------------------
 
-# Keys of the sums that shares report; contexts are 0 and up, frequent words follow them.
-TOKENS, KNOWN, PAIRS_ONCE, PAIRS_TWICE, WORDS_ONCE, WORDS_TWICE, PARENT_TABLES = -1, -2, -3, -4, -5, -6, -7
+# Keys of the sums that shares report; frequent words are 0 and up.
+TOKENS, KNOWN, PAIRS_ONCE, PAIRS_TWICE, WORDS_ONCE, WORDS_TWICE, PARENT_TABLES, OPENED = range(-8, 0)
+TOLD = "k bigint, x double, y double, place int, share int, blob binary"
 
 
-def _report(shares: DataFrame, state: State, turn: int) -> dict[int, tuple[float, float]]:
-    """One round over all shares: sums by key. Turn 0 counts; later turns seat."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _told(share: Share, number: int, shares: int, state: State, turn: int) -> pa.Table:
+    """What a share tells after a round: rows of sums by key, and rows of contexts by range. Round 0 counts; later ones seat."""
+    tables, m, rng = np.minimum(share.count, 1), None, np.random.default_rng([turn, number])
+    if turn:
+        _, _, parent = seat_parent(share, state, tables, rng)
+        tables = seat_contexts(share, state, parent, rng)
+        _, m, _ = seat_parent(share, state, tables, rng)
+    n = np.bincount(share.pair_word, tables, len(share.words))
+    mine, at = share.frequent(state)
+    own = np.ones(len(share.words), bool)
+    own[mine] = False
+    single = {
+        TOKENS: share.word_count.sum(), KNOWN: (share.word_count[own] > 0).sum(), OPENED: tables.sum(),
+        PAIRS_ONCE: (share.count == 1).sum(), PAIRS_TWICE: (share.count == 2).sum(),
+        WORDS_ONCE: (n[own] == 1).sum(), WORDS_TWICE: (n[own] == 2).sum(),
+        PARENT_TABLES: 0 if m is None else m[own].sum(),
+    }
+    keys = [*single, *at.tolist()]
+    x = [*map(float, single.values()), *share.word_count[mine].astype(float).tolist()]
+    y = [0.0] * len(single) + n[mine].tolist()
+    places, blobs = zip(*share.tell(tables, shares))
+    none, empty = [None] * len(keys), [None] * len(places)
+    kinds = [pa.int64(), pa.float64(), pa.float64(), pa.int32(), pa.int32(), pa.binary()]
+    columns = [keys + empty, x + empty, y + empty, [*none, *places], none + [number] * len(places), [*none, *blobs]]
+    return pa.table([pa.array(c, k) for c, k in zip(columns, kinds)], ["k", "x", "y", "place", "share", "blob"])
+
+
+def _round(written: DataFrame, totals: DataFrame | None, shares: int, state: State, turn: int) -> tuple[DataFrame, dict]:
+    """One round over all shares: totals of contexts for each share, and sums by key."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for number, blob in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                share, rng = Share.read(blob), np.random.default_rng([turn, number])
-                tables, m = np.minimum(share.count, 1), None
-                mine, at = share.frequent(state)
-                if turn:
-                    _, _, parent = seat_parent(share, state, tables, rng)
-                    tables = seat_contexts(share, state, parent, rng)
-                    _, m, _ = seat_parent(share, state, tables, rng)
-                n = np.bincount(share.pair_word, tables, len(share.words))
-                customers = np.bincount(share.pair_context, share.count, CONTEXTS)
-                opened = np.bincount(share.pair_context, tables, CONTEXTS)
-                used = np.flatnonzero(customers)
-                own = np.ones(len(share.words), bool)
-                own[mine] = False
-                single = {
-                    TOKENS: share.word_count.sum(), KNOWN: (share.word_count[own] > 0).sum(),
-                    PAIRS_ONCE: (share.count == 1).sum(), PAIRS_TWICE: (share.count == 2).sum(),
-                    WORDS_ONCE: (n[own] == 1).sum(), WORDS_TWICE: (n[own] == 2).sum(),
-                    PARENT_TABLES: 0 if m is None else m[own].sum(),
-                }
-                keys = np.concatenate([list(single), used, CONTEXTS + at])
-                x = np.concatenate([list(single.values()), customers[used], share.word_count[mine]])
-                y = np.concatenate([np.zeros(len(single)), opened[used], n[mine]])
-                columns = [pa.array(keys, pa.int64()), pa.array(x, pa.float64()), pa.array(y, pa.float64())]
-                yield pa.RecordBatch.from_arrays(columns, ["k", "x", "y"])
-
-    rows = shares.select("share", "blob").where("blob IS NOT NULL").mapInArrow(run, "k bigint, x double, y double")
-    found = rows.groupBy("k").agg(F.sum("x").alias("x"), F.sum("y").alias("y")).toPandas()
-    return dict(zip(found["k"].tolist(), zip(found["x"].tolist(), found["y"].tolist())))
+                yield from _told(Share.read(blob), number, shares, state, turn).to_batches()
+
+    def seat(mine: pa.Table, answers: pa.Table) -> pa.Table:
+        share = Share.read(mine.column("blob")[0].as_py())
+        share.hear(answers)
+        return _told(share, mine.column("share")[0].as_py(), shares, state, turn)
+
+    own = written.where("blob IS NOT NULL").select("share", "blob")
+    if totals is None:
+        told = stage(own.mapInArrow(count, TOLD), "told")
+    else:
+        told = stage(own.groupBy("share").cogroup(totals.groupBy("share")).applyInArrow(seat, TOLD), "told")
+    found = told.where("k IS NOT NULL").groupBy("k").agg(F.sum("x").alias("x"), F.sum("y").alias("y")).toPandas()
+    sums = dict(zip(found["k"].tolist(), zip(found["x"].tolist(), found["y"].tolist())))
+    rows = told.where("k IS NULL").select("place", "share", "blob")
+    return rows.groupBy("place").applyInArrow(_summed, "place int, share int, blob binary"), sums
+
+
+def _summed(table: pa.Table) -> pa.Table:
+    """Totals of one range of contexts, for each share those of its own contexts in their order."""
+    parts = [unpack_arrays(b.as_py()) for b in table.column("blob")]
+    _, at = np.unique(np.concatenate([p[0] for p in parts]), return_inverse=True)
+    customers, opened = (np.bincount(at, np.concatenate([p[i] for p in parts])).astype(np.uint64) for i in (1, 2))
+    cuts = np.cumsum([0, *(len(p[0]) for p in parts)])
+    blobs = [pack_arrays([customers[at[a:b]], opened[at[a:b]]]) for a, b in zip(cuts[:-1], cuts[1:])]
+    return pa.table([table.column("place"), table.column("share"), pa.array(blobs, pa.binary())], ["place", "share", "blob"])
 
 
 def _next_state(frequent: np.ndarray, sums: dict[int, tuple[float, float]], last: State | None, turn: int) -> State:
-    totals = np.zeros((CONTEXTS + len(frequent), 2))
-    for key, pair in sums.items():
-        if key >= 0:
-            totals[key] = pair
-    one = {key: sums.get(key, (0.0, 0.0))[0] for key in range(PARENT_TABLES, 0)}
-    often = totals[CONTEXTS:]
-    state = State(frequent, totals[:CONTEXTS, 0], totals[:CONTEXTS, 1], often[:, 0], often[:, 1], tokens=one[TOKENS])
+    often = np.array([sums.get(key, (0.0, 0.0)) for key in range(len(frequent))]).reshape(-1, 2)
+    one = {key: sums.get(key, (0.0, 0.0))[0] for key in range(TOKENS, 0)}
+    state = State(frequent, often[:, 0], often[:, 1], tokens=one[TOKENS])
     state.known = one[KNOWN] + float((often[:, 0] > 0).sum())
-    state.customers = float(state.context_tables.sum())
+    state.customers = one[OPENED]
     if last is None:
         state.discounts = (
             discount_of(one[PAIRS_ONCE], one[PAIRS_TWICE]),
@@ -333,60 +383,54 @@ def _next_state(frequent: np.ndarray, sums: dict[int, tuple[float, float]], last
     return state
 
 
-def _answers(shares: DataFrame, state: State) -> DataFrame:
-    """For each block and share: known tokens, sum of log10(c + 1) and sum of log10 of the model, by document."""
-    list_type = shares.schema["docs"].simpleString().split(":", 1)[1]
+def _answers(written: DataFrame, totals: DataFrame, state: State) -> DataFrame:
+    """For each block and share: known tokens, sum of log10(c + 1) and sum of log10 of the model, by text."""
+
+    def run(mine: pa.Table, answers: pa.Table) -> pa.Table:
+        share = Share.read(mine.column("blob")[0].as_py())
+        share.hear(answers)
+        rng = np.random.default_rng([99, mine.column("share")[0].as_py()])
+        tables, mean = np.minimum(share.count, 1), np.zeros(len(share.count))
+        for _ in range(SAMPLES):
+            _, _, parent = seat_parent(share, state, tables, rng)
+            tables = seat_contexts(share, state, parent, rng)
+            _, _, parent = seat_parent(share, state, tables, rng)
+            mean += predictive(share, state, tables, parent) / SAMPLES
+        counts = share.word_count.astype(np.float64)
+        often, at = share.frequent(state)
+        counts[often] = state.frequent_counts[at]
+        words = counts[share.pair_word]
+        key = share.block.astype(np.int64) << 16 | share.doc
+        texts, where = np.unique(key, return_inverse=True)
+        known, base, score = (
+            np.bincount(where, v[share.pair_of], len(texts)) for v in (words > 0, np.log10(words + 1), np.log10(mean))
+        )
+        cuts = np.searchsorted(texts >> 16, np.arange(len(share.blocks) + 1))
+        blobs, names = [], []
+        for b in np.flatnonzero(np.diff(cuts)):
+            s = slice(cuts[b], cuts[b + 1])
+            count = known[s].astype(np.uint16 if known[s].max() < 1 << 16 else np.uint32)
+            # Sums of the model, which is sampled, travel in single precision; those of the base do not.
+            blobs.append(pack_arrays([(texts[s] & 0xFFFF).astype(np.uint16), count, base[s], score[s].astype(np.float32)]))
+            names.append(int(share.blocks[b]))
+        return pa.table([pa.array(names, pa.int64()), pa.array(blobs, pa.binary())], ["block", "blob"])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            is_doc = batch.column(2).is_valid()
-            docs = batch.filter(is_doc)
-            if docs.num_rows:
-                yield pa.RecordBatch.from_arrays([docs.column(1), docs.column(2), pa.nulls(docs.num_rows, pa.binary())], ["block", "docs", "blob"])
-            for number, blob in zip(batch.column(0).to_pylist(), batch.column(3).to_pylist()):
-                if blob is None:
-                    continue
-                share, rng = Share.read(blob), np.random.default_rng([99, number])
-                tables, mean = np.minimum(share.count, 1), np.zeros(len(share.count))
-                for _ in range(SAMPLES):
-                    _, _, parent = seat_parent(share, state, tables, rng)
-                    tables = seat_contexts(share, state, parent, rng)
-                    _, _, parent = seat_parent(share, state, tables, rng)
-                    mean += predictive(share, state, tables, parent) / SAMPLES
-                counts = share.word_count.astype(np.float64)
-                mine, at = share.frequent(state)
-                counts[mine] = state.frequent_counts[at]
-                words = counts[share.pair_word]
-                key = share.block.astype(np.int64) << 15 | share.doc
-                docs_of, where = np.unique(key, return_inverse=True)
-                known, base, score = (
-                    np.bincount(where, v[share.pair_of], len(docs_of)) for v in (words > 0, np.log10(words + 1), np.log10(mean))
-                )
-                block = docs_of >> 15
-                cuts = np.searchsorted(block, np.arange(len(share.blocks) + 1))
-                blobs, names = [], []
-                for b in np.flatnonzero(np.diff(cuts)):
-                    s = slice(cuts[b], cuts[b + 1])
-                    count = known[s].astype(np.uint16 if known[s].max() < 1 << 16 else np.uint32)
-                    # Sums of the model, which is sampled, travel in single precision; those of the base do not.
-                    blobs.append(pack_arrays([(docs_of[s] & 0x7FFF).astype(np.uint16), count, base[s], score[s].astype(np.float32)]))
-                    names.append(int(share.blocks[b]))
-                columns = [pa.array(names, pa.int64()), pa.nulls(len(names), batch.schema.field(2).type), pa.array(blobs, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, ["block", "docs", "blob"])
-
-    return shares.select("share", "block", "docs", "blob").mapInArrow(run, f"block bigint, docs {list_type}, blob binary")
+    own = written.where("blob IS NOT NULL").select("share", "blob")
+    sums = own.groupBy("share").cogroup(totals.groupBy("share")).applyInArrow(run, "block bigint, blob binary")
+    return written.where("docs IS NOT NULL").select("block", "docs").unionByName(sums, allowMissingColumns=True)
 
 
 def _finished(table: pa.Table, state: State) -> pa.Table:
     """One row for each document of a block."""
     docs = table.filter(table.column("docs").is_valid()).column("docs").combine_chunks().flatten()
-    sums = np.zeros((3, len(docs)))
+    place = docs.field("place").to_numpy()
+    sums = np.zeros((3, int(place.max()) + 1))
     for blob in table.column("blob").to_pylist():
         if blob is not None:
             at, *values = unpack_arrays(blob)
             for total, value in zip(sums, values):
                 total[at] += value
-    n = docs.field("n_tokens")
+    sums, n = sums[:, place], docs.field("n_tokens")
     base = sums[1] - n.to_numpy() * math.log10(state.tokens + state.known + 1)
     return pa.table({
         "doc_id": docs.field("doc_id"), "held_out": docs.field("held_out"), "n_tokens": n,
@@ -424,32 +468,45 @@ def scores(docs: DataFrame, held_out) -> DataFrame:
     frequent = frequent_words(docs, shares)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, made, held, size = TaskContext.get().partitionId(), 0, [], 0
-        doc_kind = None
+        part, made, kind = TaskContext.get().partitionId(), 0, None
+        held, texts, places, size = [], [], {}, 0
         for batch in batches:
-            doc_kind = batch.schema.field(0).type
-            for row in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), map(tokens, batch.column(2).to_pylist())):
-                held.append(row)
-                size += len(row[2])
+            kind = batch.schema.field(0).type
+            for doc_id, is_held, text in zip(*(column.to_pylist() for column in batch.columns)):
+                name = xxhash.xxh3_128_digest(text.encode("utf-8", "surrogatepass"))
+                if name not in places:
+                    places[name] = len(texts)
+                    texts.append(tokens(text))
+                    size += len(texts[-1])
+                held.append((doc_id, is_held, places[name]))
                 if size >= BLOCK_TOKENS or len(held) >= BLOCK_DOCS:
-                    yield _block(held, part << 32 | made, shares, frequent, doc_kind)
-                    made, held, size = made + 1, [], 0
+                    yield _block(held, texts, part << 32 | made, shares, frequent, kind)
+                    made, held, texts, places, size = made + 1, [], [], {}, 0
         if held:
-            yield _block(held, part << 32 | made, shares, frequent, doc_kind)
+            yield _block(held, texts, part << 32 | made, shares, frequent, kind)
 
-    listed = f"array<struct<doc_id: {kind}, held_out: boolean, n_tokens: bigint>>"
+    listed = f"array<struct<doc_id: {kind}, held_out: boolean, n_tokens: bigint, place: int>>"
     schema = f"share int, block bigint, docs {listed}, blob binary"
-    moved = rows.mapInArrow(cut, schema).groupBy("share").applyInArrow(_merged, schema)
-    written = stage(moved, "shares")
-    state = _next_state(frequent, _report(written, _empty(frequent), 0), None, 0)
+    written = _bucketed(rows.mapInArrow(cut, schema).groupBy("share").applyInArrow(_merged, schema), shares)
+    none = np.zeros(len(frequent))
+    totals, sums = _round(written, None, shares, State(frequent, none, none), 0)
+    state = _next_state(frequent, sums, None, 0)
     for turn in range(1, BURN_IN + 1):
-        state = _next_state(frequent, _report(written, state, turn), state, turn)
+        totals, sums = _round(written, totals, shares, state, turn)
+        state = _next_state(frequent, sums, state, turn)
     result = (
         f"doc_id {kind}, held_out boolean, n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double"
     )
-    return _answers(written, state).groupBy("block").applyInArrow(lambda table: _finished(table, state), result)
+    return _answers(written, totals, state).groupBy("block").applyInArrow(lambda table: _finished(table, state), result)
 
 
-def _empty(frequent: np.ndarray) -> State:
-    none = np.zeros(len(frequent))
-    return State(frequent, np.zeros(CONTEXTS), np.zeros(CONTEXTS), none, none)
+def _bucketed(moved: DataFrame, shares: int) -> DataFrame:
+    """The shares as a written table bucketed by share, so that rounds bring the totals to the shares and not both together.
+
+    The catalog knows the table only until its files are found here.
+    """
+    spark, name = moved.sparkSession, f"shares_{uuid.uuid4().hex}"
+    moved.write.format("parquet").bucketBy(min(shares, BUCKETS), "share").option("path", scratch_path(spark, "shares")).saveAsTable(name)
+    found = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")
+    return found

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
@@ -197,10 +198,8 @@ def test_language_model_query(llm, texts, monkeypatch):
 
 def shares_of(llm, docs, frequent=()):
     """A share of all tokens of some documents, and the state after counting."""
-    rows = [(i, False, language_model.tokens(t)) for i, t in enumerate(docs)]
-    import pyarrow as pa
-
-    block = language_model._block(rows, 0, 1, np.array(frequent, np.uint64), pa.int64())
+    rows, words = [(i, False, i) for i in range(len(docs))], [language_model.tokens(t) for t in docs]
+    block = language_model._block(rows, words, 0, 1, np.array(frequent, np.uint64), pa.int64())
     merged = language_model._merged(pa.Table.from_batches([block]))
     return [language_model.Share.read(b) for b in merged.column("blob").to_pylist() if b is not None][0]
 
@@ -208,12 +207,12 @@ def shares_of(llm, docs, frequent=()):
 def test_probabilities_sum_to_one(llm):
     share = shares_of(llm, ["the cat sat on the mat", "the dog sat on the cat", "a dog"])
     n, words = len(share.words), share.words
-    state = language_model.State(np.zeros(0, np.uint64), *[np.zeros(language_model.CONTEXTS)] * 2, np.zeros(0), np.zeros(0))
+    state = language_model.State(np.zeros(0, np.uint64), np.zeros(0), np.zeros(0))
     state.known, state.discounts, rng = n, (0.6, 0.4), np.random.default_rng(0)
     tables = np.minimum(share.count, 1)
-    state.context_customers = np.bincount(share.pair_context, share.count, language_model.CONTEXTS)
-    state.context_tables = np.bincount(share.pair_context, tables, language_model.CONTEXTS)
-    state.customers = state.context_tables.sum()
+    share.context_customers = np.bincount(share.pair_context, share.count)
+    share.context_tables = np.bincount(share.pair_context, tables)
+    state.customers = share.context_tables.sum()
     counts, m, parent = language_model.seat_parent(share, state, tables, rng)
     state.tables = m.sum()
     d = state.discounts[1]
@@ -223,11 +222,61 @@ def test_probabilities_sum_to_one(llm):
     p = language_model.predictive(share, state, tables, parent)
     for c in set(share.pair_context.tolist()):
         mine = share.pair_context == c
-        back = (1 + state.discounts[0] * state.context_tables[c]) / (1 + state.context_customers[c])
+        back = (1 + state.discounts[0] * share.context_tables[c]) / (1 + share.context_customers[c])
         rest = 1 - parent[share.pair_word[mine]].sum()
         assert p[mine].sum() + back * rest == pytest.approx(1)
 
 
+def test_every_previous_word_is_a_context_and_totals_reach_every_share(llm, texts, monkeypatch):
+    """What shares hear about their contexts, against counts of word pairs."""
+    monkeypatch.setattr(language_model, "SHARE_BYTES", 100_000)
+    docs, heard = llm.createDataFrame([*texts.items(), *((-d, t) for d, t in texts.items())], "doc_id bigint, text string"), []
+    round_ = language_model._round
+
+    def listen(written, totals, shares, state, turn):
+        if totals is not None:
+            heard.append((written, totals))
+        return round_(written, totals, shares, state, turn)
+
+    monkeypatch.setattr(language_model, "_round", listen)
+    language_model.scores(docs, toxicity.id_check() % 7 == 2).collect()
+    pairs = Counter()
+    for d, text in texts.items():
+        times = sum(zlib.crc32(str(i).encode()) % 7 != 2 for i in (d, -d))
+        hashes = language_model.tokens(text)
+        before = language_model.context(np.concatenate([[np.uint64(language_model.START)], hashes[:-1]]))
+        for pair in zip(before.tolist(), hashes.tolist()):
+            pairs[pair] += times
+    customers, tables = Counter(), Counter()
+    for (before, _), n in pairs.items():
+        customers[before] += n
+        tables[before] += n > 0
+    written, totals = heard[0]
+    answers = totals.toArrow()
+    found = written.where("blob IS NOT NULL").select("share", "blob").collect()
+    assert len(found) > 3
+    for number, blob in found:
+        share = language_model.Share.read(blob)
+        share.hear(answers.filter([n == number for n in answers.column("share").to_pylist()]))
+        assert [customers[c] for c in share.contexts.tolist()] == share.context_customers.tolist()
+        assert [tables[c] for c in share.contexts.tolist()] == share.context_tables.tolist()
+    met = written.where("blob IS NOT NULL").select("share", "blob").groupBy("share").cogroup(totals.groupBy("share"))
+    plan = met.applyInArrow(lambda a, b: a.select(["share"]), "share int")._jdf.queryExecution().executedPlan().toString()
+    left = plan[plan.index("FlatMapCoGroups") :].split("applyInArrow")[0].split("FlatMapGroups")[0]
+    assert "Bucketed: true" in left and left.count("Exchange hashpartitioning(share") == 1, plan
+
+
+def test_copies_in_a_block_move_once(llm):
+    """A text that stands in a block many times makes one entry for each of its tokens, with the number of its copies."""
+    words = [language_model.tokens("a b a c"), language_model.tokens("b a")]
+    rows = [(i, i % 5 == 0, 0) for i in range(1000)] + [(1000, False, 1)]
+    block = language_model._block(rows, words, 0, 1, np.zeros(0, np.uint64), pa.int64())
+    merged = language_model._merged(pa.Table.from_batches([block]))
+    share = language_model.Share.read([b for b in merged.column("blob").to_pylist() if b is not None][0])
+    assert len(share.doc) == 8 and share.word_count.sum() == 800 * 5 + 3
+    assert dict(zip(share.words.tolist(), share.word_count.tolist()))[int(language_model.tokens("a")[0])] == 1601
+
+
 def test_tables_follow_their_conditional():
     rng = np.random.default_rng(1)
     customers, others, base, d = 5, 3.0, 0.2, 0.5
