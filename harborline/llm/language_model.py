@@ -43,8 +43,8 @@ from pyspark.sql import DataFrame, functions as F
 
 from harborline.llm.common import scratch_path, stage, whole_text
 
-SHARE_BYTES = 8 << 20
-BLOCK_TOKENS = 1 << 19
+SHARE_BYTES = 10 << 20
+BLOCK_TOKENS = 1 << 21
 BLOCK_DOCS = 1 << 15
 # Spark's own limit on buckets is 100,000; beyond this several shares are in one.
 BUCKETS = 20_000
@@ -52,6 +52,9 @@ EXACT = 64
 BURN_IN = 1
 SAMPLES = 3
 STRENGTH = 1.0
+# Sums of logarithms travel as whole numbers of these parts; those of the model, which is sampled, need few.
+BASE_UNIT = 1 << 32
+SCORE_UNIT = 1 << 12
 # A word with more than this part of a share's tokens is dealt out; the sample is one in so many documents.
 FREQUENT = 0.25
 SAMPLED = 64
@@ -74,20 +77,37 @@ def context(previous: np.ndarray) -> np.ndarray:
 
 
 def pack_arrays(arrays: list[np.ndarray]) -> bytes:
-    head = b"".join(struct.pack("<2sq", a.dtype.str[1:].encode(), len(a)) for a in arrays)
-    body = b"".join(np.ascontiguousarray(a).tobytes() for a in arrays)
-    return zstandard.ZstdCompressor(level=3).compress(struct.pack("<i", len(arrays)) + head + body)
+    """Arrays as one string of bytes: sorted ones as differences, and the bytes of each significance squeezed apart."""
+    squeeze, heads, bodies = zstandard.ZstdCompressor(level=3).compress, [struct.pack("<i", len(arrays))], []
+    for a in arrays:
+        rising = a.dtype.kind == "u" and len(a) > 1 and bool((a[1:] >= a[:-1]).all())
+        planes = np.ascontiguousarray(np.diff(a, prepend=a.dtype.type(0)) if rising else a).view(np.uint8).reshape(len(a), a.itemsize).T
+        heads.append(struct.pack("<2s?q", a.dtype.str[1:].encode(), rising, len(a)))
+        for plane in planes if len(a) else ():
+            raw = plane.tobytes()
+            bodies.append(min(raw, squeeze(raw), key=len))
+            heads.append(struct.pack("<i", len(bodies[-1])))
+    return b"".join(heads + bodies)
 
 
 def unpack_arrays(blob: bytes) -> list[np.ndarray]:
-    raw = zstandard.ZstdDecompressor().decompress(blob)
-    many = struct.unpack_from("<i", raw)[0]
-    heads = [struct.unpack_from("<2sq", raw, 4 + 10 * i) for i in range(many)]
-    at, out = 4 + 10 * many, []
-    for kind, size in heads:
-        dtype = np.dtype("<" + kind.decode())
-        out.append(np.frombuffer(raw, dtype, size, at))
-        at += size * dtype.itemsize
+    open_up, at, found = zstandard.ZstdDecompressor().decompress, 4, []
+    for _ in range(struct.unpack_from("<i", blob)[0]):
+        kind, rising, size = struct.unpack_from("<2s?q", blob, at)
+        dtype, at = np.dtype("<" + kind.decode()), at + 11
+        lengths = struct.unpack_from(f"<{dtype.itemsize}i", blob, at) if size else ()
+        at += 4 * len(lengths)
+        found.append((dtype, rising, size, lengths))
+    out = []
+    for dtype, rising, size, lengths in found:
+        bytes_ = np.empty((size, dtype.itemsize), np.uint8)
+        for i, length in enumerate(lengths):
+            # A plane as long as the array is stored as it is.
+            raw = blob[at : at + length]
+            bytes_[:, i] = np.frombuffer(raw if length == size else open_up(raw), np.uint8)
+            at += length
+        values = bytes_.reshape(-1).view(dtype)
+        out.append(np.cumsum(values, dtype=dtype) if rising else values)
     return out
 
 
@@ -410,8 +430,8 @@ def _answers(written: DataFrame, totals: DataFrame, state: State) -> DataFrame:
         for b in np.flatnonzero(np.diff(cuts)):
             s = slice(cuts[b], cuts[b + 1])
             count = known[s].astype(np.uint16 if known[s].max() < 1 << 16 else np.uint32)
-            # Sums of the model, which is sampled, travel in single precision; those of the base do not.
-            blobs.append(pack_arrays([(texts[s] & 0xFFFF).astype(np.uint16), count, base[s], score[s].astype(np.float32)]))
+            fixed = (np.rint(v[s] * unit).astype(np.uint64) for v, unit in ((base, BASE_UNIT), (-score, SCORE_UNIT)))
+            blobs.append(pack_arrays([(texts[s] & 0xFFFF).astype(np.uint16), count, *fixed]))
             names.append(int(share.blocks[b]))
         return pa.table([pa.array(names, pa.int64()), pa.array(blobs, pa.binary())], ["block", "blob"])
 
@@ -428,8 +448,8 @@ def _finished(table: pa.Table, state: State) -> pa.Table:
     for blob in table.column("blob").to_pylist():
         if blob is not None:
             at, *values = unpack_arrays(blob)
-            for total, value in zip(sums, values):
-                total[at] += value
+            for total, value, unit in zip(sums, values, (1, BASE_UNIT, -SCORE_UNIT)):
+                total[at] += value / unit
     sums, n = sums[:, place], docs.field("n_tokens")
     base = sums[1] - n.to_numpy() * math.log10(state.tokens + state.known + 1)
     return pa.table({

@@ -266,6 +266,17 @@ def test_every_previous_word_is_a_context_and_totals_reach_every_share(llm, text
     assert "Bucketed: true" in left and left.count("Exchange hashpartitioning(share") == 1, plan
 
 
+def test_arrays_are_packed_and_unpacked():
+    rng = np.random.default_rng(3)
+    arrays = [
+        np.sort(rng.integers(0, 1 << 64, 5000, np.uint64)), rng.integers(0, 1 << 64, 300, np.uint64), np.zeros(0, np.uint32),
+        np.arange(70000, dtype=np.uint32) // 3, np.array([65535, 0, 7], np.uint16), np.array([-5, 1 << 40]), np.ones(1, np.uint16),
+        rng.random(100), np.full(9, (1 << 64) - 1, np.uint64),
+    ]
+    back = language_model.unpack_arrays(language_model.pack_arrays(arrays))
+    assert all(a.dtype == b.dtype and np.array_equal(a, b) for a, b in zip(arrays, back, strict=True))
+
+
 def test_copies_in_a_block_move_once(llm):
     """A text that stands in a block many times makes one entry for each of its tokens, with the number of its copies."""
     words = [language_model.tokens("a b a c"), language_model.tokens("b a")]
