@@ -28,7 +28,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from harborline.llm.common import arrow_map, stage, whole_text
 from harborline.llm.components import connected
@@ -246,9 +246,10 @@ def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _spokes(members: DataFrame) -> DataFrame:
     """Pairs of the texts of large buckets with the one that meets most others in such buckets."""
     crowd = members.where(F.col("size") > SMALL).select("key", "node", "n_words", "size")
-    known = crowd.groupBy("node").agg(F.sum("size").alias("known"))
+    # A node is in at most as many buckets as there are sketches, so no window is larger than that.
+    known = F.sum("size").over(Window.partitionBy("node"))
     hub = F.max(F.struct("known", "node", "n_words")).alias("hub")
-    hubs = crowd.join(known, "node").groupBy("key").agg(hub)
+    hubs = crowd.withColumn("known", known).groupBy("key").agg(hub)
     spokes = crowd.join(hubs, "key").where((F.col("node") != F.col("hub.node")) & _fits(F.col("n_words"), F.col("hub.n_words")))
     return spokes.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b"))
 

@@ -143,6 +143,14 @@ def test_copies_of_one_original_and_pairs_in_crowds_are_found(llm, monkeypatch,
     assert {r.doc_id: r.class_id for r in rows} == meeting_classes(texts)
 
 
+def test_spokes_join_the_rows_of_large_buckets_once(llm):
+    # Node 30 is in two large buckets, so it meets most others; bucket 3 is small.
+    rows = [(1, n, 10, 9) for n in range(22, 31)] + [(2, n, 10, 10) for n in range(30, 40)] + [(3, n, 10, 2) for n in (22, 39)]
+    spokes = near._spokes(llm.createDataFrame(rows, "key bigint, node bigint, n_words bigint, size bigint"))
+    assert sorted(map(tuple, spokes.collect())) == [(n, 30) for n in range(22, 30)] + [(30, n) for n in range(31, 40)]
+    assert spokes._jdf.queryExecution().analyzed().toString().count("Join ") == 1
+
+
 def test_near_duplicates_of_odd_rows(odd, empty):
     rows = near.classes(odd).collect()
     # Two texts under one doc_id are two classes of the same class id.
