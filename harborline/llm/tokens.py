@@ -24,17 +24,21 @@ WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 # Chunks a worker remembers of the newer and of the older half; bounds memory, not the result.
 KEPT_CHUNKS = 400_000
 
+# Marks that may stand behind letters; without the apostrophe, which may begin a piece of letters.
+MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+
 ODD_SPACES = "\t\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0"
 
 _encoders: dict[str, "ChunkEncoder"] = {}
 
 
+if array("I").itemsize != 4 or array("H", [1]).tobytes() != b"\1\0":
+    raise RuntimeError("needs a little-endian machine with 4-byte integers")
+
+
 def little_endian(ids: list[int]) -> bytes:
     """Ids as little-endian unsigned 32-bit integers."""
-    out = array("I", ids)
-    if out.itemsize != 4 or array("H", [1]).tobytes() != b"\1\0":
-        raise RuntimeError("needs a little-endian machine with 4-byte integers")
-    return out.tobytes()
+    return array("I", ids).tobytes()
 
 
 def byte_alphabet() -> dict[int, str]:
@@ -96,7 +100,8 @@ class ChunkEncoder(dict):
 
     def __init__(self, path: str):
         super().__init__()
-        self.tokenizer, self.older, self.cut = load(path), {}, None
+        self.tokenizer, self.older, self.cut, self.space = load(path), {}, None, ""
+        self.model = self.tokenizer.model
         # A chunk is often a known word with some other mark behind it: its pieces are remembered as well.
         self.parts: dict[str, bytes] = {}
         spec = read_spec(path)
@@ -104,28 +109,40 @@ class ChunkEncoder(dict):
         steps = [step.get("type") for step in normal.get("normalizers", [])]
         splits = before.get("pretokenizers", [])
         if before.get("type") == "ByteLevel" and before.get("use_regex") and not before["add_prefix_space"] and not normal:
-            self.cut, self.pieces = cut_byte_level, regex.compile(public_tokenizers.PATTERN).findall
+            self.cut, self.pieces, self.space = cut_byte_level, regex.compile(public_tokenizers.PATTERN).findall, " "
         elif steps == ["NFC", "Replace", "Lowercase"] and [s.get("type") for s in splits] == ["Split", "ByteLevel"]:
             self.cut, self.pieces = cut_words, regex.compile(splits[0]["pattern"]["Regex"]).findall
 
+        # Whether letters are one piece and marks behind them one more, which saves looking for them by the pattern.
+        self.plain = self.cut is not None and self.pieces(self.space + "ab" + MARKS) == [self.space + "ab", MARKS]
+
     def __missing__(self, chunk: str) -> bytes:
         found = self.older.pop(chunk, None)
         if found is None:
-            text = chunk
-            if self.cut is cut_byte_level:
-                text = chunk[1:] if chunk[:1] == "\0" else chunk if chunk[:1] == "\n" else " " + chunk
-            pieces = [text] if chunk.isalpha() else self.pieces(text)
-            found = self._part(text) if len(pieces) == 1 else b"".join(map(self._part, pieces))
+            found = self._made(chunk)
         if len(chunk) <= 64:
             self[chunk] = found
         return found
 
+    def _made(self, chunk: str) -> bytes:
+        known = self.parts.get
+        word = chunk if chunk.isalpha() else chunk.rstrip(MARKS)
+        if self.plain and word.isalpha():
+            text = self.space + word
+            found = known(text) or self._part(text)
+            if len(word) == len(chunk):
+                return found
+            marks = chunk[len(word) :]
+            return found + (known(marks) or self._part(marks))
+        text = chunk
+        if self.cut is cut_byte_level:
+            text = chunk[1:] if chunk[:1] == "\0" else chunk if chunk[:1] == "\n" else " " + chunk
+        return b"".join([known(piece) or self._part(piece) for piece in self.pieces(text)])
+
     def _part(self, piece: str) -> bytes:
-        ids = self.parts.get(piece)
-        if ids is None:
-            ids = little_endian([t.id for t in self.tokenizer.model.tokenize(visible(piece))])
-            if len(piece) <= 64:
-                self.parts[piece] = ids
+        ids = array("I", [t.id for t in self.model.tokenize(visible(piece))]).tobytes()
+        if len(piece) <= 64:
+            self.parts[piece] = ids
         return ids
 
     def encode(self, text: str | None) -> bytes:

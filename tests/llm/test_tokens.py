@@ -67,6 +67,23 @@ def test_chunks_are_forgotten_and_found_again(monkeypatch):
         assert [small.encode(t) for t in texts] == [little_endian(plain(tokenizer, t)) for t in texts]
 
 
+@pytest.mark.parametrize("path, tokenizer", [(BYTE_VOCABULARY, BYTES), (WORD_VOCABULARY, WORDS)])
+def test_letters_and_marks_need_no_pattern(path, tokenizer):
+    marked = ["word", "wörd,", "ab***", "ª?!", "x_", *(f"a{m}{m}" for m in tokens.MARKS)]
+    # Here the pattern decides.
+    other = ["it's", "its'", "a,b", "3.", "(a)", "a1", "1a", ",", "''s", "a'.s", "a.'s", "²a", "a²,", "\nab,"]
+    made = tokens.ChunkEncoder(path)
+    asked, pieces = [], made.pieces
+    made.pieces = lambda text: asked.append(text) or pieces(text)
+    for chunk in marked:
+        assert made[chunk] == little_endian(plain(tokenizer, (made.space + chunk)))
+    assert not asked
+    for chunk in other:
+        text = chunk if chunk[:1] == "\n" else made.space + chunk
+        assert made[chunk] == little_endian(plain(tokenizer, text))
+    assert len(asked) == len(other)
+
+
 def test_long_fragments_merge_alike():
     codec = bpe.codec(WORD_VOCABULARY)
     for word in ("the" * 60, "abcabd" * 30, "aaaa" * 50):
