@@ -27,7 +27,7 @@ import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from harborline.llm.common import arrow_map
+from harborline.llm.common import arrow_map, stage
 
 LIMIT = 18
 STRIDE = 512
@@ -199,7 +199,8 @@ def write_ids(tokens: DataFrame, path: str, limit: int = LIMIT) -> None:
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "tie", "n", "marks", "bits"])
 
     schema = f"doc_id {kind}, tie bigint, n bigint, marks binary, bits binary"
-    each = arrow_map(tokens.select("doc_id", "ids", F.crc32("ids").alias("tie")), coded, schema)
+    # Written, as the range shuffle runs what stands before it twice, first to sample.
+    each = stage(arrow_map(tokens.select("doc_id", "ids", F.crc32("ids").alias("tie")), coded, schema), "coded")
     width = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = each.repartitionByRange(width, "doc_id", "tie").sortWithinPartitions("doc_id", "tie")
 

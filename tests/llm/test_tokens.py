@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 
 from harborline.llm import bpe, huffman, packing, queries, tokens
 from harborline.llm.common import scratch_path, stage_packed
@@ -225,6 +226,35 @@ def test_token_file_query(llm, texts):
         start += len(ids)
 
 
+def test_ids_are_coded_once(llm, odd, monkeypatch):
+    # That shuffle samples its input, so what stands before it runs twice.
+    ranged, kind = [], type(odd)
+    real = kind.repartitionByRange
+    monkeypatch.setattr(kind, "repartitionByRange", lambda df, *by: ranged.append(df) or real(df, *by))
+    with scratch_scope(llm):
+        ids = stage_packed(tokenize(odd, WORD_VOCABULARY, 1), "ids")
+        huffman.write_ids(ids, scratch_path(llm, "files"))
+        plans = [df._jdf.queryExecution().optimizedPlan().toString() for df in ranged]
+    assert len(plans) == 1 and "InArrow" not in plans[0]
+
+
+@pytest.mark.parametrize("kind", ["bigint", "string"])
+def test_blocks_end_with_the_row_that_fills_them(llm, monkeypatch, kind):
+    monkeypatch.setattr(huffman, "BLOCK_IDS", 700)
+    rng = np.random.default_rng(5)
+    sizes = [0, 3, 512, 1400, 699, 1, 700, 0, 0, 701, 513, 40, 2048]
+    want = [(n, rng.integers(0, 300, size, dtype=np.uint32).astype("<u4").tobytes()) for n, size in enumerate(sizes, 10)]
+    rows = llm.createDataFrame(want, "doc_id bigint, ids binary").withColumn("doc_id", F.col("doc_id").cast(kind)).coalesce(1)
+    with scratch_scope(llm):
+        path = scratch_path(llm, "files")
+        huffman.write_ids(stage_packed(rows, "ids"), path)
+        found = sorted(huffman.read_ids(llm, path).collect(), key=lambda r: (r.start, int(r.doc_id)))
+        assert [(int(r.doc_id), bytes(r.ids)) for r in found] == want
+        assert [r.n_ids for r in found] == sizes
+        for block in llm.read.parquet(f"{path}/blocks").collect():
+            assert sum(block.n_ids[:-1]) < 700
+
+
 @pytest.mark.parametrize("block", [1 << 19, 700])
 def test_token_files_of_odd_rows(llm, odd, empty, monkeypatch, block):
     monkeypatch.setattr(huffman, "BLOCK_IDS", block)
