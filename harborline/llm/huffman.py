@@ -28,11 +28,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from harborline.llm.common import arrow_map, stage
+from harborline.llm.tokens import forget
 
 LIMIT = 18
 STRIDE = 512
 BLOCK_IDS = 1 << 19
 
+# Ids that are coded at once, in whole documents: their arrays fit a core's cache.
+PACK_IDS = 1 << 16
+
 BLOCKS = (
     "part int, block int, before bigint, doc_ids array<{kind}>, n_ids array<bigint>, bit_starts array<bigint>, "
     "checkpoints binary, payload binary"
@@ -143,6 +147,21 @@ def unpack(payload: bytes, starts: np.ndarray, sizes: np.ndarray, table: tuple[n
     return out
 
 
+def pack_rows(ids: np.ndarray, sizes: np.ndarray, code: np.ndarray, length: np.ndarray) -> tuple[list[bytes], list[bytes]]:
+    """Checkpoints and bits of each document, some documents at a time."""
+    marks, parts = [], []
+    ends = np.cumsum(sizes)
+    firsts = np.flatnonzero(np.diff((ends - sizes) // PACK_IDS, prepend=-1)).tolist()
+    for first, last in zip(firsts, [*firsts[1:], len(sizes)]):
+        n, begin = sizes[first:last], int(ends[first] - sizes[first])
+        payload, bounds, starts = pack(ids[begin : int(ends[last - 1])], n, code, length)
+        places = zip((np.cumsum(n) - n).tolist(), n.tolist(), bounds[:-1].tolist(), bounds[1:].tolist())
+        for at, size, a, b in places:
+            marks.append((starts[at : at + size : STRIDE] - 8 * a).astype("<u8").tobytes())
+            parts.append(payload[a:b])
+    return marks, parts
+
+
 def joined_ids(column: pa.BinaryArray) -> np.ndarray:
     """The ids of all rows of a binary column one after the other, straight from its buffer; a null row has none."""
     _, offsets, values = column.buffers()
@@ -156,6 +175,8 @@ def count_ids(tokens: DataFrame) -> DataFrame:
     """How often each id occurs; summed up in each task before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The ids are there: what a worker remembers from making them would stay in memory through all that follows.
+        forget()
         seen = np.zeros(0, np.int64)
         for batch in batches:
             ids = joined_ids(batch.column(0))
@@ -181,20 +202,15 @@ def write_ids(tokens: DataFrame, path: str, limit: int = LIMIT) -> None:
     `tokens` is read twice, so it should be a written table.
     """
     spark, made = tokens.sparkSession, build_code(tokens, limit)
-    rows = zip(made.ids.tolist(), made.lengths.tolist())
-    spark.createDataFrame(list(rows), "id bigint, length int").coalesce(1).write.parquet(f"{path}/codes")
+    # From Arrow: plain rows would start a second set of Python workers in the executors, which then stay.
+    table = pa.table({"id": made.ids, "length": made.lengths.astype(np.int32)})
+    spark.createDataFrame(table, "id bigint, length int").coalesce(1).write.parquet(f"{path}/codes")
     code, length = made.encoder()
     kind = tokens.schema["doc_id"].dataType.simpleString()
 
     def coded(batch: pa.RecordBatch) -> pa.RecordBatch:
         sizes = pc.binary_length(batch.column(1)).to_numpy().astype(np.int64) // 4
-        payload, bounds, starts = pack(joined_ids(batch.column(1)), sizes, code, length)
-        first = np.cumsum(sizes) - sizes
-        marks = [
-            (starts[a : a + n : STRIDE] - 8 * b).astype("<u8").tobytes()
-            for a, n, b in zip(first.tolist(), sizes.tolist(), bounds.tolist())
-        ]
-        parts = [payload[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
+        marks, parts = pack_rows(joined_ids(batch.column(1)), sizes, code, length)
         columns = [batch.column(0), batch.column(2), pa.array(sizes), pa.array(marks, pa.binary()), pa.array(parts, pa.binary())]
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "tie", "n", "marks", "bits"])
 
@@ -250,7 +266,8 @@ def read_ids(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             if not lookup:
                 lookup.append(code.table())
-            for row in batch.to_pylist():
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
                 n = np.array(row["n_ids"], np.int64)
                 pieces = -(-n // STRIDE)
                 stretch = np.full(int(pieces.sum()), STRIDE, np.int64)

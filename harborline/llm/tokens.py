@@ -22,7 +22,7 @@ BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
 # Chunks a worker remembers of the newer and of the older half; bounds memory, not the result.
-KEPT_CHUNKS = 400_000
+KEPT_CHUNKS = 600_000
 
 # Marks that may stand behind letters; without the apostrophe, which may begin a piece of letters.
 MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -102,7 +102,7 @@ class ChunkEncoder(dict):
         super().__init__()
         self.tokenizer, self.older, self.cut, self.space = load(path), {}, None, ""
         self.model = self.tokenizer.model
-        # A chunk is often a known word with some other mark behind it: its pieces are remembered as well.
+        # A chunk is often a known word with some other mark behind it: the word is a chunk as well, other pieces stand here.
         self.parts: dict[str, bytes] = {}
         spec = read_spec(path)
         before, normal = spec["pre_tokenizer"] or {}, spec["normalizer"] or {}
@@ -128,19 +128,20 @@ class ChunkEncoder(dict):
         known = self.parts.get
         word = chunk if chunk.isalpha() else chunk.rstrip(MARKS)
         if self.plain and word.isalpha():
-            text = self.space + word
-            found = known(text) or self._part(text)
             if len(word) == len(chunk):
-                return found
+                return self._ids(self.space + word)
             marks = chunk[len(word) :]
-            return found + (known(marks) or self._part(marks))
+            return self[word] + (known(marks) or self._part(marks))
         text = chunk
         if self.cut is cut_byte_level:
             text = chunk[1:] if chunk[:1] == "\0" else chunk if chunk[:1] == "\n" else " " + chunk
         return b"".join([known(piece) or self._part(piece) for piece in self.pieces(text)])
 
+    def _ids(self, piece: str) -> bytes:
+        return array("I", [t.id for t in self.model.tokenize(visible(piece))]).tobytes()
+
     def _part(self, piece: str) -> bytes:
-        ids = array("I", [t.id for t in self.model.tokenize(visible(piece))]).tobytes()
+        ids = self._ids(piece)
         if len(piece) <= 64:
             self.parts[piece] = ids
         return ids
@@ -165,6 +166,11 @@ def encoder(path: str) -> ChunkEncoder:
     return _encoders[path]
 
 
+def forget() -> None:
+    """Let go of this worker's encoders with all they remember; who needs one again makes it anew."""
+    _encoders.clear()
+
+
 def tokenize(docs: DataFrame, path: str, end_id: int | None = None) -> DataFrame:
     """doc_id and ids (binary, little-endian unsigned 32-bit) of each document, with an end id if one is named."""
     tail = b"" if end_id is None else little_endian([end_id])

@@ -238,6 +238,54 @@ def test_ids_are_coded_once(llm, odd, monkeypatch):
     assert len(plans) == 1 and "InArrow" not in plans[0]
 
 
+def test_words_are_remembered_once():
+    known = tokens.ChunkEncoder(WORD_VOCABULARY)
+    want = little_endian(plain(WORDS, "harbour, harbour line; x9"))
+    assert known.encode("harbour, harbour line; x9") == known.encode("harbour, harbour line; x9") == want
+    assert {"harbour", "harbour,", "line", "line;", "x9"} == set(known)
+    assert set(known.parts) == {",", ";", "x", "9"}
+
+
+def test_counting_lets_go_of_the_encoders(llm, monkeypatch):
+    runs, ids = [], llm.createDataFrame([(b"\1\0\0\0",)], "ids binary")
+    real = type(ids).mapInArrow
+    monkeypatch.setattr(type(ids), "mapInArrow", lambda df, run, schema: runs.append(run) or real(df, run, schema))
+    huffman.count_ids(ids)
+    tokens.encoder(WORD_VOCABULARY)
+    assert [batch.to_pydict() for batch in runs[0](iter([]))] == [{"id": [], "n": []}]
+    assert not tokens._encoders
+
+
+def test_codes_are_written_without_rows_of_python(llm, monkeypatch):
+    with scratch_scope(llm):
+        ids = stage_packed(llm.createDataFrame([(1, b"\5\0\0\0\7\0\0\0\5\0\0\0")], "doc_id bigint, ids binary"), "ids")
+        monkeypatch.setattr(type(llm.sparkContext), "parallelize", None)
+        path = scratch_path(llm, "files")
+        huffman.write_ids(ids, path)
+        codes = llm.read.parquet(f"{path}/codes")
+        assert codes.dtypes == [("id", "bigint"), ("length", "int")]
+        assert sorted(map(tuple, codes.collect())) == [(5, 1), (7, 1)]
+        assert [bytes(r.ids) for r in huffman.read_ids(llm, path).collect()] == [b"\5\0\0\0\7\0\0\0\5\0\0\0"]
+
+
+def test_documents_are_coded_some_at_a_time(monkeypatch):
+    monkeypatch.setattr(huffman, "PACK_IDS", 700)
+    rng = np.random.default_rng(6)
+    sizes = np.array([0, 3, 512, 1400, 699, 0, 1, 700, 2048, 5, 0])
+    ids, packed, real = rng.integers(0, 300, sizes.sum()), [], huffman.pack
+    table = huffman.Code(np.arange(300), huffman.code_lengths(rng.integers(1, 9, 300))).encoder()
+    payload, bounds, starts = real(ids, sizes, *table)
+    monkeypatch.setattr(huffman, "pack", lambda *given: packed.append(given[1].tolist()) or real(*given))
+    marks, parts = huffman.pack_rows(ids, sizes, *table)
+    assert sum(packed, []) == sizes.tolist() and all(sum(n[:-1]) <= 700 for n in packed)
+    assert parts == [payload[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+    first = np.cumsum(sizes) - sizes
+    assert [np.frombuffer(m, "<u8").tolist() for m in marks] == [
+        (starts[a : a + n : huffman.STRIDE] - 8 * b).tolist() for a, n, b in zip(first, sizes, bounds)
+    ]
+    assert huffman.pack_rows(ids[:0], sizes[:0], *table) == ([], [])
+
+
 @pytest.mark.parametrize("kind", ["bigint", "string"])
 def test_blocks_end_with_the_row_that_fills_them(llm, monkeypatch, kind):
     monkeypatch.setattr(huffman, "BLOCK_IDS", 700)
