@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import os
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from harborline.session import apply_settings, scratch_path, stage
 
-__all__ = ["arrow_map", "documents", "keep_rows", "prepare", "scratch_path", "stage", "stage_packed", "whole_text"]
+__all__ = ["arrow_map", "documents", "holding", "keep_rows", "prepare", "scratch_path", "stage", "stage_packed", "whole_text"]
 
 # Documents are long: few of them in one Arrow batch keep a Python worker's memory small.
 ARROW_ROWS = 500
@@ -48,6 +50,26 @@ def stage_packed(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def holding() -> Iterator[Callable[[DataFrame], DataFrame]]:
+    """Gives a function that holds a frame on the executors' disks for several passes, until the block ends.
+
+    For frames that are not read after the block and come out the same if a part is lost and made again. Unlike `stage`
+    it creates no files in the shared folder: on a local file system Hadoop starts a process for each file it creates.
+    """
+    held: list[DataFrame] = []
+
+    def hold(df: DataFrame) -> DataFrame:
+        held.append(df.persist(StorageLevel.DISK_ONLY))
+        return held[-1]
+
+    try:
+        yield hold
+    finally:
+        for df in reversed(held):
+            df.unpersist()
+
+
 def arrow_map(df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
     """One Arrow batch in, one out, in parallel over the partitions."""
 

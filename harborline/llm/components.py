@@ -4,30 +4,37 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from harborline.llm.common import stage
+from harborline.llm.common import holding, stage
 
 
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+def _starred(edges: DataFrame) -> DataFrame:
+    """One large and one small star."""
+    both = edges.union(edges.select("v", "u"))
+    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
+    large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = large.groupBy("u").agg(F.min("v").alias("m"))
+    small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return small.union(least.select("u", "m")).where("u <> v").distinct()
+
+
+def _done(edges: DataFrame) -> bool:
+    """Whether every node has one link and none of them leads to a node that has a link itself."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("out"), F.lit(0).alias("into"))
+    ends = ends.union(edges.select("v", F.lit(0), F.lit(1)))
+    each = ends.groupBy("node").agg(F.sum("out").alias("out"), F.max("into").alias("into"))
+    return each.where("out > 1 OR (out > 0 AND into > 0)").isEmpty()
 
 
 def connected(links: DataFrame, a: str, b: str) -> DataFrame:
     """node and root (the smallest node of its component) for every node that has a link, but for the roots themselves.
 
     Large and small stars in turn: each node points its larger neighbours, then itself and its smaller neighbours, at
-    the smallest one it knows. The rounds grow with the logarithm of the longest path; each is written, so lineage
-    stays short, and minima are taken before the shuffle, so a node of very many links is no burden to one task.
+    the smallest one it knows. The rounds grow with the logarithm of the longest path; every second one is written, so
+    lineage stays short, and minima are taken before the shuffle, so a node of very many links is no burden to one task.
     """
     edges = links.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct()
     edges = stage(edges, "links")
-    state = _state(edges)
-    while True:
-        both = edges.union(edges.select("v", "u"))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-        large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = stage(small.union(least.select("u", "m")).where("u <> v").distinct(), "links")
-        last, state = state, _state(edges)
-        if state == last:
-            return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
+    while not _done(edges):
+        with holding() as hold:
+            edges = stage(_starred(hold(_starred(edges))), "links")
+    return edges.select(F.col("u").alias("node"), F.col("v").alias("root"))

@@ -25,12 +25,14 @@ and not looked at.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from harborline.llm.common import arrow_map, stage, whole_text
+from harborline.llm.common import arrow_map, holding, stage, whole_text
 from harborline.llm.components import connected
 
 WORDS = 5
@@ -222,25 +224,38 @@ def _texts(docs: DataFrame, nodes: DataFrame, wanted: DataFrame) -> DataFrame:
 def _classes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """The sketched rows, and node with root for nodes in components of several; nodes are rows of distinct texts."""
     rows = _sketched(docs)
+    with holding() as hold:
+        roots = _roots(docs, rows, hold)
+    return rows, roots.join(rows.withColumnRenamed("row", "node"), "node").select("h1", "h2", "root")
+
+
+def _roots(docs: DataFrame, rows: DataFrame, hold: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """node and root, from written tables only."""
     first = rows.groupBy("h1", "h2").agg(F.min_by("row", F.struct("doc_id", "row")).alias("node"))
     one = first.select(F.col("node").alias("row"), "node")
-    nodes = stage(rows.join(one, "row").select("node", "doc_id", "h1", "h2", "n_words", "keys"), "nodes")
+    nodes = hold(rows.join(one, "row").select("node", "doc_id", "h1", "h2", "n_words", "keys"))
 
-    exploded = nodes.select("node", "n_words", F.posexplode("keys").alias("band", "key"))
+    exploded = nodes.select("node", "n_words", F.explode("keys").alias("key"))
     first = F.min(F.struct("node", "n_words")).alias("first")
     shared = exploded.groupBy("key").agg(F.count("*").alias("size"), first).where("size > 1")
+    # Written, as what is held keeps the shuffles it was made from: here all sketches, for the words all texts.
     members = stage(exploded.join(shared, "key"), "members")
     few = members.where(F.col("size").between(3, SMALL)).select("key", "node", "n_words")
     starred = members.where((F.col("node") != F.col("first.node")) & _fits(F.col("n_words"), F.col("first.n_words")))
     stars = starred.select(F.col("first.node").alias("a"), F.col("node").alias("b"))
-    pairs = stage(stars.union(_spokes(members)).union(_pairs(few, few, "key", "node")).distinct(), "pairs")
+    pairs = stars.union(_spokes(members)).union(_pairs(few, few, "key", "node")).distinct()
     texts = _texts(docs, nodes, members.select("node").distinct())
-    links = stage(_verified(pairs, texts), "alike")
-    roots = connected(links, "a", "b")
-    crowded = _open_buckets(members, roots)
-    if not crowded.isEmpty():
-        roots = connected(links.union(_crowd_links(crowded, texts)), "a", "b")
-    return rows, roots.join(nodes.select("node", "h1", "h2"), "node").select("h1", "h2", "root")
+    roots = connected(_verified(pairs, texts), "a", "b")
+    crowded = hold(_open_buckets(members, roots))
+    if crowded.isEmpty():
+        return roots
+    # The links found now are between components, so only these are joined further.
+    links = _crowd_links(crowded, texts)
+    for end in ("a", "b"):
+        links = links.join(roots.withColumnRenamed("node", end), end, "left").withColumn(end, F.coalesce("root", end)).drop("root")
+    further = connected(links, "a", "b").select(F.col("node").alias("root"), F.col("root").alias("further"))
+    onward = roots.join(further, "root", "left").select("node", F.coalesce("further", "root").alias("root"))
+    return onward.union(further.select(F.col("root").alias("node"), F.col("further").alias("root")))
 
 
 def _spokes(members: DataFrame) -> DataFrame:
@@ -255,11 +270,11 @@ def _spokes(members: DataFrame) -> DataFrame:
 
 
 def _open_buckets(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """key, node, n_words, label and n (texts) of the large buckets whose texts are of several components, written."""
+    """key, node, n_words, label and n (texts) of the large buckets whose texts are of several components."""
     placed = members.where(F.col("size") > SMALL).select("key", "node", "n_words").join(roots, "node", "left")
     placed = placed.select("key", "node", "n_words", F.coalesce("root", "node").alias("label"))
     several = placed.groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y"), F.count("*").alias("n"))
-    return stage(placed.join(several.where("x < y").select("key", "n"), "key"), "crowded")
+    return placed.join(several.where("x < y").select("key", "n"), "key")
 
 
 def _counts(words: list[np.ndarray]) -> np.ndarray:
@@ -296,22 +311,25 @@ def _crowd_links(crowded: DataFrame, texts: DataFrame) -> DataFrame:
     """Links between texts of one large bucket that are of different components, as far as they connect something."""
     # At most as many keys as there are sketches.
     keys = crowded.groupBy("node").agg(F.collect_set("key").alias("keys"))
-    known = stage(texts.join(keys, "node").select("node", "words", "keys"), "crowd")
+    known = texts.join(keys, "node").select("node", "words", "keys")
     blocks = F.ceil(F.col("n") / F.lit(MANY))
     rows = crowded.join(known, "node").withColumn("block", F.pmod(F.xxhash64("node"), blocks))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)))
     rows = rows.withColumn("i", F.least("block", "other")).withColumn("j", F.greatest("block", "other"))
-    return stage(rows.groupBy("key", "i", "j").applyInArrow(_compared, "a bigint, b bigint"), "crowd-links")
+    return rows.groupBy("key", "i", "j").applyInArrow(_compared, "a bigint, b bigint")
 
 
 def classes(docs: DataFrame) -> DataFrame:
     """doc_id, class_id, class_size and kept (true for one row of each class), h1 and h2 of every document."""
-    rows, roots = _classes(docs)
+    return _judged(*_classes(docs))
+
+
+def _judged(rows: DataFrame, roots: DataFrame) -> DataFrame:
+    """What `classes` returns, from the sketched rows and the roots."""
     texts = rows.groupBy("h1", "h2").agg(
         F.count("*").alias("n"), F.min_by("row", F.struct("doc_id", "row")).alias("head"), F.min("doc_id").alias("least")
     )
     texts = texts.join(roots, ["h1", "h2"], "left").withColumn("root", F.coalesce("root", "head"))
-    texts = stage(texts, "texts")
     order = F.struct(F.col("least").isNull().alias("none"), "least", "head")
     found = texts.groupBy("root").agg(
         F.min("least").alias("class_id"), F.sum("n").alias("class_size"), F.min_by("head", order).alias("chosen")
@@ -323,10 +341,11 @@ def classes(docs: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame) -> DataFrame:
     """One document of each class, with all its columns: the one with the smallest doc_id."""
-    rows = classes(docs).groupBy("doc_id", "h1", "h2").agg(F.max("kept").alias("kept"), F.count("*").alias("_harborline_times"))
-    winners = stage(_named(rows.where("kept"), "_harborline_times"), "winners")
-    kept = docs.join(winners, _same(*_key()))
-    if winners.where("_harborline_times > 1").isEmpty():
+    rows, roots = _classes(docs)
+    text = ("doc_id", "h1", "h2")
+    judged = _judged(rows, roots).groupBy(*text).agg(F.max("kept").alias("kept"), F.count("*").alias("_harborline_times"))
+    kept = docs.join(_named(judged.where("kept"), "_harborline_times"), _same(*_key()))
+    if rows.groupBy(*text).count().where("count > 1").isEmpty():
         return kept.select(*docs.columns)
     repeated = kept.where("_harborline_times > 1").dropDuplicates(["_harborline_id", "_harborline_h1", "_harborline_h2"])
     return kept.where("_harborline_times = 1").union(repeated).select(*docs.columns)

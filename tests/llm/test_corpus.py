@@ -12,6 +12,7 @@ import pytest
 from hypothesis import given, settings, strategies as st
 
 import corpus_pipeline
+from harborline import session
 from harborline.llm import language_model, near_duplicates as near, packing, pii, quality_rules, queries, toxicity
 from harborline.llm.components import connected
 from tests_llm_rows import ODD_ROWS, PLAIN, SMALL
@@ -151,6 +152,33 @@ def test_spokes_join_the_rows_of_large_buckets_once(llm):
     assert spokes._jdf.queryExecution().analyzed().toString().count("Join ") == 1
 
 
+def test_near_duplicates_write_few_tables_and_hold_nothing_after(llm, monkeypatch):
+    rng = np.random.default_rng(9)
+    word = lambda n: [f"w{x}" for x in rng.integers(0, 100_000, n)]
+    original, passage = word(200), word(100)
+    texts = {i: " ".join(edited(original, 0.14, rng)) for i in range(1, 100)} | {900: " ".join(original)}
+    for i in range(0, 80, 2):
+        text = word(40) + passage + word(40)
+        texts |= {2000 - i: " ".join(text), 1001 + i: " ".join(edited(text, 0.08, rng))}
+    written, crowds, path, crowd_links = [], [], session.scratch_path, near._crowd_links
+    monkeypatch.setattr(session, "scratch_path", lambda spark, name: written.append(name) or path(spark, name))
+    monkeypatch.setattr(near, "_crowd_links", lambda *frames: crowds.append(1) or crowd_links(*frames))
+    held = llm.sparkContext._jsc.getPersistentRDDs().size()
+    rows = near.one_of_each(llm.createDataFrame(list(texts.items()), "doc_id bigint, text string")).collect()
+    assert {r.doc_id for r in rows} == set(meeting_classes(texts).values()) and crowds
+    # The links before and after each two rounds, of the pairs and of the crowds.
+    assert set(written) == {"sketches", "members", "words", "links"} and len(written) <= 8
+    assert llm.sparkContext._jsc.getPersistentRDDs().size() == held
+
+
+def test_components_of_stars_need_no_round(llm, monkeypatch):
+    written, path = [], session.scratch_path
+    monkeypatch.setattr(session, "scratch_path", lambda spark, name: written.append(name) or path(spark, name))
+    stars = [(n % 3, n) for n in range(3, 50)]
+    found = connected(llm.createDataFrame(stars, "a bigint, b bigint"), "a", "b").collect()
+    assert sorted(map(tuple, found)) == [(n, n % 3) for n in range(3, 50)] and written == ["links"]
+
+
 def test_near_duplicates_of_odd_rows(odd, empty):
     rows = near.classes(odd).collect()
     # Two texts under one doc_id are two classes of the same class id.
