@@ -13,7 +13,7 @@ from hypothesis import given, settings, strategies as st
 
 import corpus_pipeline
 from harborline import session
-from harborline.llm import language_model, near_duplicates as near, packing, pii, quality_rules, queries, toxicity
+from harborline.llm import components, language_model, near_duplicates as near, packing, pii, quality_rules, queries, toxicity
 from harborline.llm.components import connected
 from tests_llm_rows import ODD_ROWS, PLAIN, SMALL
 
@@ -179,6 +179,27 @@ def test_components_of_stars_need_no_round(llm, monkeypatch):
     assert sorted(map(tuple, found)) == [(n, n % 3) for n in range(3, 50)] and written == ["links"]
 
 
+@pytest.mark.parametrize("links, files", [(components.LINKS_IN_FILE, 1), (8, 5)])
+def test_components_write_each_star_into_as_many_files_as_its_links_need(llm, monkeypatch, links, files):
+    written, stage = [], components.stage
+    monkeypatch.setattr(components, "stage", lambda df, name: written.append(df) or stage(df, name))
+    monkeypatch.setattr(components, "LINKS_IN_FILE", links)
+    small = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = llm.conf.get(small)
+    llm.conf.set(small, "false")
+    llm.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        found = connected(llm.createDataFrame([(n, n + 1) for n in range(40)], "a bigint, b bigint"), "a", "b")
+        assert sorted(map(tuple, found.collect())) == [(n, 0) for n in range(1, 41)]
+    finally:
+        llm.conf.set(small, before)
+        llm.conf.set("spark.sql.shuffle.partitions", "4")
+    assert len(written) > 2 and 1 <= len(found.inputFiles()) <= files
+    for df in written[1:]:
+        plan = df._jdf.queryExecution().optimizedPlan()
+        assert plan.collectLeaves().size() <= 9 and "InMemory" not in plan.toString()
+
+
 def test_near_duplicates_of_odd_rows(odd, empty):
     rows = near.classes(odd).collect()
     # Two texts under one doc_id are two classes of the same class id.
